@@ -172,3 +172,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_test_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return interactions_from_events(read_table(spark, folder, "events"))
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """A test table as a file stream."""
+    schema = read_table(spark, folder, name).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    return reader.options(**options).parquet(folder)
