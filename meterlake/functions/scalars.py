@@ -64,7 +64,7 @@ def whitespace_token_count(text) -> Column:
 def _json_ascii(text: Column) -> Column:
     """A JSON string literal in which every character above 0x7e is \\uXXXX."""
     quoted = F.to_json(F.array(text))
-    inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    inner = F.substring(quoted, F.lit(3), F.length(quoted) - 4)
 
     def escape(ch: Column) -> Column:
         utf16 = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
@@ -75,14 +75,17 @@ def _json_ascii(text: Column) -> Column:
     # Only texts with such characters pay for the per-character rewrite.
     plain = ~F.rlike(text, F.lit(r"[^\t\n\r\x20-\x7e]"))
     slow = F.array_join(F.transform(F.split(inner, ""), escape), "")
-    return F.when(plain, inner).otherwise(slow)
+    literal = F.concat(F.lit('"'), F.when(plain, inner).otherwise(slow), F.lit('"'))
+    return F.coalesce(literal, F.lit("null"))
 
 
 def cache_key(prefix: str, *parts) -> Column:
     """prefix:first 16 hex digits of sha256 over the JSON array of the parts."""
     items = [_json_ascii(_col(p).cast("string")) for p in parts]
     body = F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
-    return F.concat(F.lit(prefix + ":"), F.substring(F.sha2(body, 256), 1, 16))
+    key = F.concat(F.lit(prefix + ":"), F.substring(F.sha2(body, 256), 1, 16))
+    # Never null, so a join on the key adds no null check that hashes the text again.
+    return F.coalesce(key, F.lit(prefix + ":"))
 
 
 def dimension(embedding="embedding") -> Column:
@@ -121,7 +124,9 @@ def parse_vector(value="value") -> Column:
 
 def serialize_interaction(*columns) -> Column:
     """One JSON message with the given columns in their order."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    # The default format of a time stops at milliseconds.
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*columns), options)
 
 
 def glob_to_regex(pattern: str) -> str:

@@ -9,7 +9,6 @@ from meterlake.functions import scalars as S
 from meterlake.functions.filters import as_date
 from meterlake.streaming.windows import (
     FIVE_MINUTES,
-    ONE,
     ONE_MINUTE,
     cache_hit_ratio,
     latency_p95_p99,
@@ -38,7 +37,7 @@ def _daily_cost(df: DataFrame) -> DataFrame:
 
 def error_rate(df: DataFrame, limit: float = 0.01, error: str = "is_error") -> DataFrame:
     counts = windowed_sums(
-        df, {"errors": F.col(error).cast("int"), "calls": ONE}, FIVE_MINUTES, ONE_MINUTE
+        df, {"errors": F.col(error).cast("int"), "calls": F.lit(1)}, FIVE_MINUTES, ONE_MINUTE
     )
     rates = counts.withColumn("rate", S.safe_ratio("errors", "calls")).where(F.col("rate") > limit)
     return _alerts(rates, "error_rate", F.lit("all"), "window_start", "rate", limit)

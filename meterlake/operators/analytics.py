@@ -9,7 +9,8 @@ from meterlake.functions import scalars as S
 from meterlake.functions.filters import date_range, entity_in, optional_user, trailing_days
 from meterlake.functions.order_stats import distinct_counts, nearest_rank, running_counts
 
-ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _zero(aggregate: Column) -> Column:
@@ -35,7 +36,7 @@ def _token_aggregates() -> list[Column]:
         _zero(F.avg("total_tokens")).alias("avg_tokens_per_request"),
         _zero(F.sum("input_tokens")).alias("total_input_tokens"),
         _zero(F.sum("output_tokens")).alias("total_output_tokens"),
-        ROWS.alias("interaction_count"),
+        _rows().alias("interaction_count"),
     ]
 
 
@@ -47,7 +48,7 @@ def token_stats(df: DataFrame, as_of, days: int = 30) -> DataFrame:
 def top_users_by_cost(df: DataFrame, as_of, days: int = 30, limit: int = 10) -> DataFrame:
     totals = trailing_days(df, as_of, days).groupBy("user_id").agg(
         F.sum("cost_usd").alias("total_cost"),
-        ROWS.alias("interaction_count"),
+        _rows().alias("interaction_count"),
         F.sum("total_tokens").alias("total_tokens"),
         F.avg("latency_ms").alias("avg_latency_ms"),
     )
@@ -58,7 +59,7 @@ def offline_features(df: DataFrame, entity_ids=None, start=None, end=None) -> Da
     """Per entity totals over an inclusive date range, for training."""
     rows = entity_in(date_range(df, start, end), entity_ids)
     return rows.groupBy(F.col("user_id").alias("entity_id")).agg(
-        ROWS.alias("interaction_count"),
+        _rows().alias("interaction_count"),
         F.sum("cost_usd").alias("total_cost"),
         F.sum("total_tokens").alias("total_tokens"),
         F.avg("latency_ms").alias("avg_latency"),
@@ -116,7 +117,7 @@ def cost_summary_record(df: DataFrame, start=None, end=None, cache_log: DataFram
         F.max("timestamp").alias("period_end"),
         _zero(F.sum("cost_usd")).cast("double").alias("total_cost_usd"),
         _zero(F.sum("total_tokens")).alias("total_tokens"),
-        ROWS.alias("total_interactions"),
+        _rows().alias("total_interactions"),
     )
     totals = totals.withColumns({
         "avg_cost_per_interaction": S.safe_ratio("total_cost_usd", "total_interactions"),
@@ -151,7 +152,7 @@ def cost_breakdown(df: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def count_by_model(df: DataFrame) -> DataFrame:
-    return df.groupBy("model").agg(ROWS.alias("count"))
+    return df.groupBy("model").agg(_rows().alias("count"))
 
 
 def distinct_dates(df: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def interaction_stats(df: DataFrame) -> DataFrame:
     """(provider, figures); the row with provider 'all' is the total."""
     grouped = df.groupingSets([[F.col("provider")], []], F.col("provider")).agg(
         F.grouping("provider").alias("overall"),
-        ROWS.alias("total_interactions"),
+        _rows().alias("total_interactions"),
         _zero(F.sum("total_tokens")).alias("total_tokens"),
         _zero(F.sum("cost_usd")).cast("double").alias("total_cost"),
         _zero(F.avg("latency_ms")).alias("avg_latency_ms"),
@@ -203,7 +204,7 @@ def cost_metric_rollup(metrics: DataFrame, daily_budget: float) -> DataFrame:
     """
     day = F.to_date("timestamp")
     grouped = metrics.groupBy(day.alias("date"), "operation", "model").agg(
-        ROWS.alias("requests"),
+        _rows().alias("requests"),
         F.sum("cost_usd").alias("total_cost"),
         F.sum("total_tokens").alias("total_tokens"),
         F.sum(F.col("cache_hit").cast("int")).alias("cache_hits"),
@@ -218,7 +219,7 @@ def cost_metric_rollup(metrics: DataFrame, daily_budget: float) -> DataFrame:
 
 def cost_metric_by_user(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("user_id").agg(
-        ROWS.alias("requests"), F.sum("cost_usd").alias("total_cost")
+        _rows().alias("requests"), F.sum("cost_usd").alias("total_cost")
     )
 
 
@@ -272,7 +273,7 @@ def latency_percentiles_approx(
 def tier_consistency(online: DataFrame, facts: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Online totals next to fact totals per user; consistent is true where they agree."""
     totals = facts.groupBy("user_id").agg(
-        ROWS.alias("fact_count"),
+        _rows().alias("fact_count"),
         F.sum("total_tokens").alias("fact_tokens"),
         F.sum("cost_usd").alias("fact_cost"),
     )
@@ -294,7 +295,7 @@ def tier_consistency(online: DataFrame, facts: DataFrame, tolerance: float = 0.0
 def session_rollup(df: DataFrame) -> DataFrame:
     """Calls grouped by session; rows without a session are left out."""
     return df.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
-        ROWS.alias("interaction_count"),
+        _rows().alias("interaction_count"),
         F.sum("cost_usd").alias("total_cost"),
         F.sum("total_tokens").alias("total_tokens"),
         F.min("timestamp").alias("first_interaction"),

@@ -21,8 +21,9 @@ ONLINE_NAMES = [
 ]
 AGGREGATE_NAMES = ["interaction_count", "total_cost", "total_tokens", "avg_latency"]
 
-# The newest call of a group: by time, then by id.
-_LATEST = F.max(F.struct("timestamp", "interaction_id", "model"))
+def _latest() -> Column:
+    """Aggregate: the newest call of a group, by time and then by id."""
+    return F.max(F.struct("timestamp", "interaction_id", "model"))
 
 
 def _once(df: DataFrame, count_duplicates: bool) -> DataFrame:
@@ -41,7 +42,7 @@ def online_features_lifetime(df: DataFrame, count_duplicates: bool = True) -> Da
         F.sum("total_tokens").alias("total_tokens"),
         F.count(F.lit(1)).alias("interaction_count"),
         F.avg("latency_ms").alias("avg_latency"),
-        _LATEST.alias("_last"),
+        _latest().alias("_last"),
     ).select(
         "user_id", "total_cost", "total_tokens", "interaction_count", "avg_latency",
         F.col("_last.model").alias("last_model"),
@@ -68,7 +69,7 @@ def activity_sessions(
         F.min(at).alias("first_at"),
         F.max(at).alias("last_at"),
         F.min("timestamp").alias("first_time"),
-        _LATEST.alias("last"),
+        _latest().alias("last"),
     )
     w = Window.partitionBy("user_id").orderBy("slot")
     starts = F.col("first_at") - F.lag("last_at").over(w) >= gap
@@ -214,7 +215,8 @@ def rolling_features(df: DataFrame, days: int = 7, **options) -> DataFrame:
     )
     moves = calls.select("user_id", *sums, F.inline(steps))
     per_moment = moves.groupBy("user_id", "moment").agg(
-        *[F.sum(F.col(c) * F.col("sign")).alias(c) for c in sums],
+        # Negated, not multiplied: a product would lose decimal places.
+        *[F.sum(F.when(F.col("sign") == 1, F.col(c)).otherwise(-F.col(c))).alias(c) for c in sums],
         F.sum(F.when(F.col("sign") == 1, 1).otherwise(0)).alias("entering"),
     )
     totals = running_counts(per_moment, ["user_id"], "moment", [*sums, "entering"], **options)

@@ -15,7 +15,7 @@ NOON = datetime(2024, 1, 30, 12)
 
 def _sessions(gap: int, where: str = "true") -> str:
     return f"""{CALLS}, g AS (
-SELECT *, CASE WHEN epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w) >= {gap} * 1000000
+SELECT *, CASE WHEN epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w) >= {gap}000000
   OR lag("timestamp") OVER w IS NULL THEN 1 ELSE 0 END AS s FROM calls WHERE {where}
 WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", interaction_id)),
 n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY "timestamp", interaction_id)::BIGINT AS session_no FROM g),

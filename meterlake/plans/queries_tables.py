@@ -25,16 +25,19 @@ from meterlake.sources.interactions import (
     stream_table,
 )
 from meterlake.streaming import jobs as J
-from meterlake.streaming.windows import sessionized_online_features
+from meterlake.streaming.windows import sessionized_online_features, with_event_time
 
 NOON = datetime(2024, 1, 30, 12)
 RAW_NAMES = [f.name for f in RAW_INTERACTION]
-EVENT = F.substring("interaction_id", 5, 20).cast("long")
+
+
+def _event():
+    return F.substring("interaction_id", 5, 20).cast("long")
 
 
 def with_faults(rows):
     """Calls as they might arrive: some break a rule, chosen by the event number."""
-    n = EVENT
+    n = _event()
     return rows.withColumns({
         "input_tokens": F.when(n % 11 == 0, -5).otherwise(F.col("input_tokens")),
         "provider": F.when(n % 13 == 0, "elsewhere").otherwise(F.col("provider")),
@@ -115,7 +118,7 @@ def s4(spark, folder):
 
 def _repeated(rows):
     """Every third call arrives again, one day later."""
-    again = rows.where(EVENT % 3 == 0).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+    again = rows.where(_event() % 3 == 0).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
     return again.unionByName(rows)
 
 
@@ -406,7 +409,7 @@ WHERE last_interaction_time + INTERVAL 299999999 MICROSECOND <=
   (SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL 1 HOUR FROM calls)""")
 def t11(spark, folder):
     path = work_folder(spark, "sessions")
-    stream = _event_stream(spark, folder).withWatermark("timestamp", J.WATERMARK)
+    stream = with_event_time(_event_stream(spark, folder), J.WATERMARK)
     sessions = sessionized_online_features(stream).drop("expires_at")
     _landed(J.start_metric(sessions, f"{path}/out", f"{path}/checkpoint"))
     rows = rounded(spark.read.parquet(f"{path}/out"), "total_cost")
@@ -429,7 +432,7 @@ def t12(spark, folder):
     _ingest(spark, path, facts)
     # The same clicks again in a later batch: refused.
     as_messages(rows.where("operation = 'click'").where(
-        (EVENT % 7 != 0) & (EVENT % 11 != 0) & (EVENT % 13 != 0) & (EVENT % 17 != 0)), RAW_NAMES
+        (_event() % 7 != 0) & (_event() % 11 != 0) & (_event() % 13 != 0) & (_event() % 17 != 0)), RAW_NAMES
     ).select("value").write.mode("append").text(f"{path}/in")
     _ingest(spark, path, facts)
     stored = facts.read().select(F.lit("fact").alias("target"), "interaction_id", "total_tokens", text("date"))

@@ -22,10 +22,10 @@ def p1(spark, folder):
 
 
 @query("P2_cost_per_token", f"""{CALLS}
-SELECT interaction_id, round(CASE WHEN total_tokens > 0 THEN cost_usd / total_tokens ELSE 0 END, 10) AS cost_per_token
+SELECT interaction_id, round(CASE WHEN total_tokens > 0 THEN cost_usd / total_tokens ELSE 0 END, 13) AS cost_per_token
 FROM calls""")
 def p2(spark, folder):
-    return calls(spark, folder).select("interaction_id", F.round(S.cost_per_token(), 10).alias("cost_per_token"))
+    return calls(spark, folder).select("interaction_id", F.round(S.cost_per_token(), 13).alias("cost_per_token"))
 
 
 @query("P3_event_date", "SELECT event_id, ts::DATE::VARCHAR AS date FROM events")

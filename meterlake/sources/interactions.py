@@ -94,8 +94,9 @@ def decode_json(messages: DataFrame, schema: StructType = RAW_INTERACTION, value
     do not fit, keeps its text in _corrupt. Other columns of messages are kept."""
     wide = StructType(list(schema.fields) + [StructField(CORRUPT, STR, True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = messages.withColumn("_parsed", F.from_json(value, wide, options))
-    return parsed.select("*", "_parsed.*").drop("_parsed")
+    # As a generator the text is parsed once; a plain column would be parsed again
+    # for every field that a later filter looks at.
+    return messages.select("*", F.inline(F.array(F.from_json(value, wide, options))))
 
 
 def decode_embedding_requests(messages: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from meterlake.operators.validation import apply_defaults, split_messages
 from meterlake.sources.archive import VersionedTable
 from meterlake.sources.interactions import decode_embedding_requests, decode_json, with_derived
 from meterlake.sources.online import online_rows, publish_online_features
+from meterlake.streaming.windows import with_event_time
 
 WATERMARK = "1 hour"
 AVAILABLE_NOW = {"availableNow": True}
@@ -28,11 +29,11 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def streaming_dedupe(stream: DataFrame, delay: str = WATERMARK, time: str = "timestamp") -> DataFrame:
+def streaming_dedupe(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """One row per interaction_id among rows that arrive within the delay of each
     other; state older than the watermark is dropped. Any repeat that comes
     later is refused by the key check of the fact table."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(INTERACTION_KEY)
+    return with_event_time(stream, delay).dropDuplicatesWithinWatermark(INTERACTION_KEY)
 
 
 def accepted_rows(batch: DataFrame, facts: VersionedTable) -> DataFrame:

@@ -12,12 +12,27 @@ from meterlake.schemas import COST_SAVED_PER_HIT, FEATURE_TTL_SECONDS
 
 FIVE_MINUTES, ONE_MINUTE, ONE_HOUR, ONE_DAY = "5 minutes", "1 minute", "1 hour", "24 hours"
 WINDOW_SECONDS = 300
-ONE = F.lit(1)
+
+
+EVENT_TIME = "event_time"
+
+
+def with_event_time(stream: DataFrame, delay: str) -> DataFrame:
+    """Add the watermark column. A watermark needs a time with zone; the session
+    zone has to be UTC, as everywhere here, so that the cast keeps the clock."""
+    return stream.withColumn(EVENT_TIME, F.col("timestamp").cast("timestamp")).withWatermark(EVENT_TIME, delay)
+
+
+def _time(df: DataFrame) -> str:
+    return EVENT_TIME if EVENT_TIME in df.columns else "timestamp"
+
+
+def _edge(name: str) -> Column:
+    return F.col(f"w.{name}").cast("timestamp_ntz").alias(f"window_{name}")
 
 
 def windowed_sums(
-    df: DataFrame, sums: dict[str, Column], width: str, slide: str | None = None,
-    by: Sequence[str] = (), time: str = "timestamp",
+    df: DataFrame, sums: dict[str, Column], width: str, slide: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """Sums per window (window_start, window_end) and group.
 
@@ -26,6 +41,7 @@ def windowed_sums(
     A stream aggregates the windows directly, which keeps one stateful step.
     The width has to be a multiple of the slide.
     """
+    time = _time(df)
     if slide and not df.isStreaming:
         panes = df.groupBy(F.window(time, slide).alias("pane"), *by).agg(
             *[F.sum(c).alias(name) for name, c in sums.items()]
@@ -39,12 +55,12 @@ def windowed_sums(
             *[F.sum(c).alias(name) for name, c in sums.items()]
         )
     return grouped.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, *sums
+        _edge("start"), _edge("end"), *by, *sums
     )
 
 
 def interactions_per_second(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    counts = windowed_sums(df, {"calls": ONE}, FIVE_MINUTES, ONE_MINUTE, by)
+    counts = windowed_sums(df, {"calls": F.lit(1)}, FIVE_MINUTES, ONE_MINUTE, by)
     return counts.withColumn("per_second", F.col("calls") / WINDOW_SECONDS)
 
 
@@ -59,7 +75,7 @@ def ratio_band(ratio="hit_ratio", low: float = 0.8, high: float = 0.95) -> Colum
 
 def cache_hit_ratio(df: DataFrame) -> DataFrame:
     hit = F.col("cache_hit").cast("int")
-    counts = windowed_sums(df, {"hits": hit, "lookups": ONE}, FIVE_MINUTES, ONE_MINUTE)
+    counts = windowed_sums(df, {"hits": hit, "lookups": F.lit(1)}, FIVE_MINUTES, ONE_MINUTE)
     return counts.withColumn("hit_ratio", S.safe_ratio("hits", "lookups")).withColumn("band", ratio_band())
 
 
@@ -71,12 +87,12 @@ def latency_p95_p99(
     A group with no more distinct values than the accuracy gets values of its
     own rows at the exact rank.
     """
-    grouped = df.groupBy(F.window("timestamp", FIVE_MINUTES, ONE_MINUTE).alias("w"), by).agg(
+    grouped = df.groupBy(F.window(_time(df), FIVE_MINUTES, ONE_MINUTE).alias("w"), by).agg(
         F.percentile_approx(value, F.array(F.lit(0.95), F.lit(0.99)), accuracy).alias("p"),
         F.count(value).alias("calls"),
     )
     return grouped.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), by,
+        _edge("start"), _edge("end"), by,
         F.col("p")[0].alias("p95"), F.col("p")[1].alias("p99"), "calls",
     )
 
@@ -118,15 +134,15 @@ def sessionized_online_features(df: DataFrame, gap_seconds: int = FEATURE_TTL_SE
     there. Sessions are merged per task before the exchange when
     spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition is on.
     """
-    session = F.session_window("timestamp", f"{gap_seconds * 1_000_000 - 1} microseconds")
+    session = F.session_window(_time(df), f"{gap_seconds * 1_000_000 - 1} microseconds")
     grouped = df.groupBy("user_id", session.alias("s")).agg(
         F.sum("cost_usd").alias("total_cost"),
         F.sum("total_tokens").alias("total_tokens"),
-        F.count(ONE).alias("interaction_count"),
+        F.count(F.lit(1)).alias("interaction_count"),
         F.max(F.struct("timestamp", "interaction_id", "model")).alias("last"),
     )
     return grouped.select(
-        "user_id", F.col("s.start").alias("session_start"),
+        "user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
         "total_cost", "total_tokens", "interaction_count",
         F.col("last.model").alias("last_model"),
         F.col("last.timestamp").alias("last_interaction_time"),
