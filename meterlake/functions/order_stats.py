@@ -16,8 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CUTS = 512
-ROWS_PER_CUT = 200_000
+# A power of two: finding the block of a value is then LEVELS halving steps.
+LEVELS = 10
+MAX_CUTS = 2**LEVELS
+ROWS_PER_CUT = 1_000_000
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, **counts: Column) -> DataFrame:
@@ -64,10 +66,14 @@ def running_counts(
     """
     keys = list(keys)
     cuts = _cuts(collapsed, value, counts, rows_per_cut)
-    # The cut is never null: a null check on it would be pushed below the exchange.
-    pieces = collapsed.withColumn("_cuts", cuts).withColumn(
-        "_cut", F.expr(f"coalesce(size(filter(_cuts, edge -> edge <= `{value}`)), 0)")
-    ).drop("_cuts")
+    # Number of cuts <= value, by halving; 0 when there are none. It is never null:
+    # a null check on it would be pushed below the exchange.
+    halves = ", ".join(str(2**level) for level in reversed(range(LEVELS)))
+    search = (
+        f"coalesce(aggregate(array({halves}), 0, (at, step) -> "
+        f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0)"
+    )
+    pieces = collapsed.withColumn("_cuts", cuts).withColumn("_cut", F.expr(search)).drop("_cuts")
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     blocks = pieces.groupBy(*keys, "_cut").agg(*[F.sum(c).alias(c) for c in counts])

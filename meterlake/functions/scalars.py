@@ -66,15 +66,16 @@ def _json_ascii(text: Column) -> Column:
     quoted = F.to_json(F.array(text))
     inner = F.substring(quoted, F.lit(3), F.length(quoted) - 4)
 
-    def escape(ch: Column) -> Column:
-        utf16 = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
-        return F.when(F.ascii(ch).between(0x01, 0x7E), ch).otherwise(
+    def escape(run: Column) -> Column:
+        utf16 = F.lower(F.hex(F.encode(run, "UTF-16BE")))
+        return F.when(F.ascii(run).between(0x01, 0x7E), run).otherwise(
             F.regexp_replace(utf16, "(.{4})", r"\\u$1")
         )
 
-    # Only texts with such characters pay for the per-character rewrite.
+    # Only texts with such characters are cut into runs and put together again.
     plain = ~F.rlike(text, F.lit(r"[^\t\n\r\x20-\x7e]"))
-    slow = F.array_join(F.transform(F.split(inner, ""), escape), "")
+    runs = F.regexp_extract_all(inner, F.lit(r"[\x01-\x7e]+|[^\x01-\x7e]+"), F.lit(0))
+    slow = F.array_join(F.transform(runs, escape), "")
     literal = F.concat(F.lit('"'), F.when(plain, inner).otherwise(slow), F.lit('"'))
     return F.coalesce(literal, F.lit("null"))
 

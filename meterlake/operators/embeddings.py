@@ -36,9 +36,9 @@ def hash_embedder(model: str, dimension: int = EMBEDDING_DIMENSION) -> Embedder:
     def embed(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dimension), dtype=np.float32)
         for row, text in enumerate(texts):
-            for word in text.split():
-                code = zlib.crc32(word.encode(), salt)
-                out[row, (code >> 1) % dimension] += 1.0 if code & 1 else -1.0
+            codes = np.array([zlib.crc32(word.encode(), salt) for word in text.split()], dtype=np.int64)
+            signs = np.where(codes & 1, 1.0, -1.0)
+            out[row] = np.bincount((codes >> 1) % dimension, weights=signs, minlength=dimension)
         norms = np.linalg.norm(out, axis=1)
         out[norms == 0, 0] = 1.0
         return out / np.where(norms == 0, 1.0, norms)[:, None]
