@@ -70,8 +70,8 @@ def running_counts(
     # a null check on it would be pushed below the exchange.
     halves = ", ".join(str(2**level) for level in reversed(range(LEVELS)))
     search = (
-        f"coalesce(aggregate(array({halves}), 0, (at, step) -> "
-        f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0)"
+        f"CASE WHEN size(_cuts) = 0 THEN 0 ELSE coalesce(aggregate(array({halves}), 0, (at, step) -> "
+        f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0) END"
     )
     pieces = collapsed.withColumn("_cuts", cuts).withColumn("_cut", F.expr(search)).drop("_cuts")
     group = Window.partitionBy(*keys)

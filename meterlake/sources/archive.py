@@ -2,9 +2,9 @@
 
 Layout under the root:
     data/commit=<n>/date=<day>/*.parquet   rows written by commit n
-    commits/*.json                         one row per published commit
+    commits/<n>.json                       one short file per published commit
 
-A commit becomes visible when its row is added to commits/, after all its data
+A commit becomes visible when its file appears in commits/, after all its data
 is written. An overwrite or compact commit hides every earlier one. One writer
 at a time is assumed.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,17 @@ COMMIT = StructType([
     StructField("readable_from", IntegerType()),
 ])
 
+
+
+class Commit(NamedTuple):
+    version: int
+    mode: str
+    committed_at: datetime
+    row_count: int
+    schema_json: str
+    readable_from: int
+
+
 ROWS_PER_FILE = 2_000_000
 # Modes after which earlier commits are no longer part of the table.
 BASE_MODES = ("overwrite", "compact")
@@ -53,6 +65,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = partition_by
+        self._seen: dict[str, Commit] = {}
 
     # -- commits -----------------------------------------------------------
 
@@ -61,25 +74,42 @@ class VersionedTable:
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _exists(self, path: str) -> bool:
-        fs, hadoop_path = self._path(path)
-        return fs.exists(hadoop_path)
-
     def history(self) -> DataFrame:
         """One row per commit, oldest first."""
-        if not self._exists(f"{self.root}/commits"):
-            return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).json(f"{self.root}/commits").orderBy("version")
-
-    def _commits(self) -> list:
-        # The commit log has one short row per write and is read by the driver,
-        # as any table's metadata is.
-        return sorted(self.history().collect(), key=lambda r: r.version)
+        return self.spark.createDataFrame(self._commits(), COMMIT)
+
+    def _commits(self) -> list[Commit]:
+        """The commits, oldest first. Each is one short file that never changes, so
+        only files not seen before are read."""
+        folder = f"{self.root}/commits"
+        fs, path = self._path(folder)
+        if not fs.exists(path):
+            return []
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if name.endswith(".json") and name not in self._seen:
+                stream = fs.open(status.getPath())
+                try:
+                    fields = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+                finally:
+                    stream.close()
+                fields["committed_at"] = datetime.fromisoformat(fields["committed_at"])
+                self._seen[name] = Commit(**fields)
+        return sorted(self._seen.values(), key=lambda c: c.version)
 
     def _publish(self, version, mode, rows, schema, readable_from) -> None:
-        row = (version, mode, _utc_now(), rows, schema.json(), readable_from)
-        one = self.spark.createDataFrame([row], COMMIT).coalesce(1)
-        one.write.mode("append").json(f"{self.root}/commits")
+        """Make a commit visible: its file is written aside and then renamed."""
+        fields = dict(version=version, mode=mode, committed_at=_utc_now().isoformat(), row_count=rows,
+                      schema_json=schema.json(), readable_from=readable_from)
+        fs, final = self._path(f"{self.root}/commits/{version:010d}.json")
+        _, aside = self._path(f"{self.root}/commits/{version:010d}.writing")
+        if fs.exists(final):
+            raise RuntimeError(f"version {version} was committed by another writer")
+        out = fs.create(aside, True)
+        out.write(bytearray(json.dumps(fields).encode()))
+        out.close()
+        if not fs.rename(aside, final):
+            raise RuntimeError(f"version {version} could not be committed")
 
     # -- write -------------------------------------------------------------
 
