@@ -23,6 +23,8 @@ def build_session(name: str = "meterlake", master: str | None = None, **config)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Do not record the calling line for every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         **config,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -131,40 +131,29 @@ def publish_interactions(
 # --- events of the test data ------------------------------------------------
 
 
-def _by_remainder(values: list[str]) -> Column:
-    pick = F.col("event_id") % 5
-    chain = F.when(pick == 0, values[0])
-    for i, value in enumerate(values[1:-1], start=1):
-        chain = chain.when(pick == i, value)
-    return chain.otherwise(values[-1])
-
-
 def interactions_from_events(events: DataFrame) -> DataFrame:
     """Interaction rows made from a generic event table (event_id, ts, user_id,
     event_type, value, props). Adds is_error and event_type for the metrics."""
-    event, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
-    models = ["gpt-4", "gpt-3.5-turbo", "claude-3-opus", "claude-3-sonnet", "other-model"]
-    providers = ["openai", "openai", "anthropic", "anthropic", "local"]
-    calls = events.select(
-        F.concat(F.lit("int_"), event).alias("interaction_id"),
-        F.concat(F.lit("user_"), user).alias("user_id"),
-        F.concat(F.lit("sess_"), user, F.lit("_"), F.to_date("ts").cast("string")).alias("session_id"),
-        _by_remainder(models).alias("model"),
-        _by_remainder(providers).alias("provider"),
-        F.concat(F.lit("Test prompt "), event).alias("prompt"),
-        F.concat(F.lit("Test response "), event).alias("response"),
-        (F.get_json_object("props", "$.k").cast("int") + 10).alias("input_tokens"),
-        ((F.col("event_id") % 300).cast("int") + 20).alias("output_tokens"),
-        (F.col("value") * 10).alias("latency_ms"),
-        F.col("ts").alias("timestamp"),
-        F.to_date("ts").alias("date"),
-        F.col("props").alias("metadata"),
+    calls = events.selectExpr(
+        "concat('int_', event_id) AS interaction_id",
+        "concat('user_', user_id) AS user_id",
+        "concat('sess_', user_id, '_', to_date(ts)) AS session_id",
+        "CASE event_id % 5 WHEN 0 THEN 'gpt-4' WHEN 1 THEN 'gpt-3.5-turbo' WHEN 2 THEN 'claude-3-opus' "
+        "WHEN 3 THEN 'claude-3-sonnet' ELSE 'other-model' END AS model",
+        "CASE WHEN event_id % 5 < 2 THEN 'openai' WHEN event_id % 5 < 4 THEN 'anthropic' ELSE 'local' END AS provider",
+        "concat('Test prompt ', event_id) AS prompt",
+        "concat('Test response ', event_id) AS response",
+        "CAST(get_json_object(props, '$.k') AS INT) + 10 AS input_tokens",
+        "CAST(event_id % 300 AS INT) + 20 AS output_tokens",
+        "input_tokens + output_tokens AS total_tokens",
+        "value * 10 AS latency_ms",
+        "ts AS timestamp",
+        "to_date(ts) AS date",
+        "props AS metadata",
         "event_type",
-        (F.col("event_type") == "error").alias("is_error"),
+        "event_type = 'error' AS is_error",
     )
-    calls = estimate_cost(calls.withColumn("total_tokens", S.total_tokens()))
-    extra = ["event_type", "is_error"]
-    return calls.select(*[f.name for f in INTERACTION], *extra)
+    return estimate_cost(calls).select(*[f.name for f in INTERACTION], "event_type", "is_error")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
