@@ -68,6 +68,19 @@ def offline_features(df: DataFrame, entity_ids=None, start=None, end=None) -> Da
     )
 
 
+def _with_total_row(rows: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
+    """(overall, key, sums): one row per key value and one for everything, which is
+    zero when there are no rows. The rows are read once; the second, tiny
+    aggregation only makes sure of the total row."""
+    level = rows.groupingSets([[F.col(key)], []], F.col(key)).agg(
+        (F.grouping(key) == 1).alias("overall"), *[c.alias(name) for name, c in sums.items()]
+    )
+    zero = rows.sparkSession.sql("SELECT true AS overall").select(
+        "overall", F.lit(None).cast("string").alias(key), *[F.lit(0).alias(name) for name in sums]
+    )
+    return level.unionByName(zero).groupBy("overall", key).agg(*[F.sum(n).alias(n) for n in sums])
+
+
 def cost_summary(df: DataFrame, as_of, days: int = 30, top: int = 10) -> DataFrame:
     """Total, by model, token figures and top users as (section, key, metric, value).
 
@@ -75,13 +88,13 @@ def cost_summary(df: DataFrame, as_of, days: int = 30, top: int = 10) -> DataFra
     the users are a second pass that ends in a top-k, not a sort.
     """
     rows = trailing_days(df, as_of, days).select(
-        "model", "user_id", "cost_usd", "input_tokens", "output_tokens", "total_tokens", "latency_ms"
-    )
-    level = rows.groupingSets([[F.col("model")], []], F.col("model")).agg(
-        F.grouping("model").alias("overall"),
-        _zero(F.sum("cost_usd")).cast("double").alias("total_cost"),
-        *_token_aggregates(),
+        "model", "cost_usd", "input_tokens", "output_tokens", "total_tokens"
     )
+    sums = {"total_cost": "cost_usd", "total_tokens": "total_tokens",
+            "total_input_tokens": "input_tokens", "total_output_tokens": "output_tokens"}
+    level = _with_total_row(
+        rows, "model", {**{name: F.sum(c) for name, c in sums.items()}, "interaction_count": _rows()}
+    ).withColumn("avg_tokens_per_request", S.safe_ratio("total_tokens", "interaction_count"))
     token_metrics = ["total_tokens", "avg_tokens_per_request", "total_input_tokens",
                      "total_output_tokens", "interaction_count"]
 
@@ -97,7 +110,7 @@ def cost_summary(df: DataFrame, as_of, days: int = 30, top: int = 10) -> DataFra
         *[entry("token_stats", everything, m, m) for m in token_metrics],
     )
     model = F.array(entry("cost_by_model", F.col("model"), "total_cost", "total_cost"))
-    head = level.select(F.inline(F.when(F.col("overall") == 1, overall).otherwise(model)))
+    head = level.select(F.inline(F.when(F.col("overall"), overall).otherwise(model)))
     user_metrics = ["total_cost", "interaction_count", "total_tokens", "avg_latency_ms"]
     users = top_users_by_cost(df, as_of, days, top).select(
         F.inline(F.array(*[entry("top_users", F.col("user_id"), m, m) for m in user_metrics]))
@@ -165,15 +178,17 @@ def avg_latency_by_model(df: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 def interaction_stats(df: DataFrame) -> DataFrame:
     """(provider, figures); the row with provider 'all' is the total."""
-    grouped = df.groupingSets([[F.col("provider")], []], F.col("provider")).agg(
-        F.grouping("provider").alias("overall"),
-        _rows().alias("total_interactions"),
-        _zero(F.sum("total_tokens")).alias("total_tokens"),
-        _zero(F.sum("cost_usd")).cast("double").alias("total_cost"),
-        _zero(F.avg("latency_ms")).alias("avg_latency_ms"),
+    level = _with_total_row(df, "provider", {
+        "total_interactions": _rows(),
+        "total_tokens": F.sum("total_tokens"),
+        "total_cost": F.sum("cost_usd"),
+        "latency": F.sum("latency_ms"),
+    })
+    name = F.when(F.col("overall"), F.lit("all")).otherwise(F.col("provider"))
+    return level.select(
+        name.alias("provider"), "total_interactions", "total_tokens", "total_cost",
+        S.safe_ratio("latency", "total_interactions").alias("avg_latency_ms"),
     )
-    name = F.when(F.col("overall") == 1, F.lit("all")).otherwise(F.col("provider"))
-    return grouped.withColumn("provider", name).drop("overall")
 
 
 def monthly_cost_report(df: DataFrame) -> DataFrame:
