@@ -105,12 +105,14 @@ def d3_exact(spark, folder):
     return rounded(result.select(*D.KEY, "n_hist", "n_cur", "ks_pvalue", "ks_method"), "ks_pvalue")
 
 
-_MOMENTS = """round(avg(value) FILTER (hist), 7) AS historical_mean, round(avg(value) FILTER (NOT hist), 7) AS current_mean,
-  round(stddev_pop(value) FILTER (hist), 7) AS historical_std, round(stddev_pop(value) FILTER (NOT hist), 7) AS current_std"""
+_RAW_MOMENTS = """avg(value) FILTER (hist) AS historical_mean, avg(value) FILTER (NOT hist) AS current_mean,
+  stddev_pop(value) FILTER (hist) AS historical_std, stddev_pop(value) FILTER (NOT hist) AS current_std"""
+_MOMENTS = ", ".join(f"round({c}, 7) AS {c}" for c in ("historical_mean", "current_mean", "historical_std", "current_std"))
 _MOMENT_NAMES = ["historical_mean", "current_mean", "historical_std", "current_std"]
 
 
-@query("D4_sample_stats", f"{DRIFT_BY_TYPE} SELECT feature_name, entity_id, {_MOMENTS} FROM samples GROUP BY 1, 2")
+@query("D4_sample_stats", f"""{DRIFT_BY_TYPE}, m AS (
+SELECT feature_name, entity_id, {_RAW_MOMENTS} FROM samples GROUP BY 1, 2) SELECT feature_name, entity_id, {_MOMENTS} FROM m""")
 def d4(spark, folder):
     return rounded(D.sample_stats(by_type(spark, folder)), *_MOMENT_NAMES)
 
@@ -126,9 +128,9 @@ def d5(spark, folder):
 
 
 def _check(prefix: str) -> str:
-    return f"""{prefix}, m AS (SELECT feature_name, entity_id, {_MOMENTS} FROM samples GROUP BY 1, 2)
+    return f"""{prefix}, m AS (SELECT feature_name, entity_id, {_RAW_MOMENTS} FROM samples GROUP BY 1, 2)
 SELECT feature_name, entity_id, {_STATUS.format(t="0.1")} AS drift_status, round(psi, 7) AS drift_score,
-  0.1::DOUBLE AS threshold, historical_mean, current_mean, historical_std, current_std,
+  0.1::DOUBLE AS threshold, {_MOMENTS},
   '2024-01-24 00:00:00' AS window_start, '2024-01-31 00:00:00' AS window_end, round(ks_statistic, 7) AS ks_statistic,
   psi > 0.1 AS drift_detected,
   round(CASE WHEN historical_mean <> 0 AND current_mean <> 0
