@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.keyed import checked_broadcast
+from meterlake.functions.keyed import checked_broadcast, skew_join
 
 # Longer id lists become a semi join instead of an ever longer predicate.
 INLINE_IDS = 200
@@ -53,14 +53,14 @@ def entity_in(df: DataFrame, ids: Sequence[str] | DataFrame | None, column: str
         return df
     if isinstance(ids, DataFrame):
         wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
-        return df.join(checked_broadcast(wanted), column, "left_semi")
+        return skew_join(df, checked_broadcast(wanted), [column], "left_semi")
     ids = list(ids)
     if not ids:
         return df
     if len(ids) <= INLINE_IDS:
         return df.where(F.col(column).isin(ids))
     listed = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{column}` string").distinct()
-    return df.join(checked_broadcast(listed), column, "left_semi")
+    return skew_join(df, checked_broadcast(listed), [column], "left_semi")
 
 
 def optional_user(df: DataFrame, user_id: str | None = None) -> DataFrame:

@@ -20,6 +20,30 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join rows to a side that has one row per key, where one key may hold most of left.
+
+    Adaptive execution splits a skewed partition only where both sides of the
+    join have an exchange of their own, and the right side, an aggregate by the
+    key, would be joined without one. A hash of the key as a second join column,
+    equal whenever the keys are, gives it one. It also keeps an aggregation by
+    the key after the join from running inside the skewed partition.
+    """
+    check = F.xxhash64(*keys)
+    joined = left.withColumn("_key_hash", check).join(right.withColumn("_key_hash", check), [*keys, "_key_hash"], how)
+    return joined.drop("_key_hash")
+
+
+def without_known(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in known.
+
+    The two sets of keys are matched first. When few keys are in both, which is
+    counted, the rows themselves are filtered in place and not exchanged.
+    """
+    hits = known.select(*keys).join(rows.select(*keys), list(keys), "left_semi")
+    return rows.join(checked_broadcast(hits), list(keys), "left_anti")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of every key by the given order.
 

@@ -52,6 +52,23 @@ def _cuts(collapsed: DataFrame, value: str, columns: Sequence[str], rows_per_cut
     ).scalar()
 
 
+def cut_pieces(
+    collapsed: DataFrame, value: str, counts: Sequence[str], rows_per_cut: int = ROWS_PER_CUT
+) -> DataFrame:
+    """Add _cut, the number of cut points <= value; 0 everywhere for small data.
+
+    It is found by halving, and never null: a null check on it would be pushed
+    below the exchange.
+    """
+    halves = ", ".join(str(2**level) for level in reversed(range(LEVELS)))
+    search = (
+        f"CASE WHEN size(_cuts) = 0 THEN 0 ELSE coalesce(aggregate(array({halves}), 0, (at, step) -> "
+        f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0) END"
+    )
+    cuts = _cuts(collapsed, value, counts, rows_per_cut)
+    return collapsed.withColumn("_cuts", cuts).withColumn("_cut", F.expr(search)).drop("_cuts")
+
+
 def running_counts(
     collapsed: DataFrame,
     keys: Sequence[str],
@@ -65,15 +82,7 @@ def running_counts(
     type and may be negative, so this is also a running sum.
     """
     keys = list(keys)
-    cuts = _cuts(collapsed, value, counts, rows_per_cut)
-    # Number of cuts <= value, by halving; 0 when there are none. It is never null:
-    # a null check on it would be pushed below the exchange.
-    halves = ", ".join(str(2**level) for level in reversed(range(LEVELS)))
-    search = (
-        f"CASE WHEN size(_cuts) = 0 THEN 0 ELSE coalesce(aggregate(array({halves}), 0, (at, step) -> "
-        f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0) END"
-    )
-    pieces = collapsed.withColumn("_cuts", cuts).withColumn("_cut", F.expr(search)).drop("_cuts")
+    pieces = cut_pieces(collapsed, value, counts, rows_per_cut)
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     blocks = pieces.groupBy(*keys, "_cut").agg(*[F.sum(c).alias(c) for c in counts])

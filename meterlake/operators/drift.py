@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
 from meterlake.functions.filters import as_date, check_lookback
+from meterlake.functions.keyed import skew_join
 from meterlake.functions.order_stats import distinct_counts, interpolate, linear_percentile, running_counts
 from meterlake.schemas import DRIFT_THRESHOLD, DRIFT_WINDOW_DAYS, PSI_BINS, PSI_EMPTY_SHARE
 
@@ -75,15 +76,13 @@ def _psi_score() -> str:
 def drift_statistics(samples: DataFrame, **options) -> DataFrame:
     """Per (feature, entity) with both samples: sizes, PSI, KS distance, means, deviations.
 
-    The second pass joins the one row per key back to the distinct values. A
-    key with very many values is a skewed join on the value side only, which
-    adaptive execution splits; the aggregation after it combines before the
-    exchange.
+    The second pass joins the one row per key back to the distinct values; a
+    key with very many of them is split there.
     """
     collapsed = _collapse(samples)
     stats = _group_statistics(running_counts(collapsed, KEY, "value", ["hist", "cur"], **options))
     bin_no = " + ".join(f"CAST(value >= e{i} AS INT)" for i in range(1, PSI_BINS))
-    placed = collapsed.join(stats, KEY).selectExpr("*", f"{bin_no} AS bin")
+    placed = skew_join(collapsed, stats, KEY, "inner").selectExpr("*", f"{bin_no} AS bin")
     carried = ["n_hist", "n_cur", "mean_hist", "mean_cur", "ks_statistic"]
     grouped = placed.groupBy(*KEY).agg(*map(F.expr, [
         *[f"max({c}) AS {c}" for c in carried],
@@ -296,7 +295,7 @@ def spc_violations(samples: DataFrame, sigmas: float = 3.0) -> DataFrame:
     limits = spc_limits(samples, sigmas)
     points = samples.where(F.col("side") == CURRENT).drop("side")
     outside = (F.col("value") < F.col("lower_limit")) | (F.col("value") > F.col("upper_limit"))
-    return points.join(limits, KEY).where(outside)
+    return skew_join(points, limits, KEY, "inner").where(outside)
 
 
 def drift_alerts(results: DataFrame) -> DataFrame:

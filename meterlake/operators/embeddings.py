@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
-from meterlake.functions.keyed import latest_per_key, top_per_key
+from meterlake.functions.keyed import latest_per_key, skew_join, top_per_key
 from meterlake.operators.analytics import cache_hit_rate
 from meterlake.operators.validation import REASONS, validate_embedding_requests
 from meterlake.schemas import (
@@ -61,7 +61,8 @@ def cache_lookup(requests: DataFrame, cache: DataFrame, as_of) -> DataFrame:
     The key covers text and model, so models never share an entry.
     """
     entries = current_entries(cache, as_of).select("cache_key", "embedding")
-    found = with_cache_key(requests).join(entries, "cache_key", "left")
+    # One text may make up most of the requests.
+    found = skew_join(with_cache_key(requests), entries, ["cache_key"], "left")
     return found.withColumn("cache_hit", F.col("embedding").isNotNull())
 
 
@@ -118,15 +119,16 @@ def cache_table(spark, root: str) -> VersionedTable:
 
 
 def _responses(requests: DataFrame, entries: DataFrame, known: DataFrame | None, as_of) -> DataFrame:
-    keyed = with_cache_key(requests)
-    found = keyed.join(entries.select("cache_key", "embedding"), "cache_key", "left")
+    entries = entries.select("cache_key", "embedding")
     if known is None:
-        found = found.withColumn("cache_hit", F.lit(False))
+        entries = entries.withColumn("cache_hit", F.lit(False))
     else:
         before = known.select("cache_key", F.lit(True).alias("cache_hit"))
-        found = found.join(before, "cache_key", "left").withColumn(
+        entries = entries.join(before, "cache_key", "left").withColumn(
             "cache_hit", F.coalesce("cache_hit", F.lit(False))
         )
+    # The hit flag is settled per key, so the requests are joined once.
+    found = skew_join(with_cache_key(requests), entries, ["cache_key"], "left")
     return found.select(
         "request_id", "embedding", "model", "cache_hit",
         F.lit(0.0).alias("cost_usd"),
@@ -169,9 +171,8 @@ def embedding_batch_metrics(lookups: DataFrame, model: str | None = None) -> Dat
 def get_many(keys: DataFrame, cache: DataFrame, as_of) -> DataFrame:
     """(position, cache_key, embedding) aligned with the asked positions, null for misses."""
     entries = current_entries(cache, as_of).select("cache_key", "embedding")
-    return keys.select("position", "cache_key").join(entries, "cache_key", "left").select(
-        "position", "cache_key", "embedding"
-    )
+    found = skew_join(keys.select("position", "cache_key"), entries, ["cache_key"], "left")
+    return found.select("position", "cache_key", "embedding")
 
 
 def cache_stats(lookups: DataFrame, cache: DataFrame, as_of) -> DataFrame:
@@ -212,7 +213,7 @@ def vector_top_k(
     keeps k rows per task and block before the exchange.
     """
     score = dot(embedding, probe)
-    scored = corpus.join(probes, on).select(
+    scored = skew_join(corpus, probes, [on], "inner").select(
         on, id_column, (F.round(score, digits) if digits else score).alias("score")
     )
     return top_per_key(scored, [on], [F.desc("score"), F.col(id_column)], k)

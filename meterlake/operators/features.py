@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
 from meterlake.functions.filters import for_key, trailing_days
-from meterlake.functions.keyed import latest_per_key
+from meterlake.functions.keyed import latest_per_key, skew_join
 from meterlake.functions.order_stats import running_counts
 from meterlake.operators.analytics import offline_features
 from meterlake.operators.facts import feature_rows, insert_interactions
@@ -117,7 +117,7 @@ def get_online_features(requests: DataFrame, online: DataFrame, names: Sequence[
     wide = online.where(F.col("feature_name").isin(names)).groupBy("entity_id").agg(
         *[F.max(F.when(F.col("feature_name") == n, F.col("value"))).alias(n) for n in names]
     )
-    return requests.join(wide, "entity_id", "left")
+    return skew_join(requests, wide, ["entity_id"], "left")
 
 
 def online_with_fallback(
@@ -137,7 +137,7 @@ def online_with_fallback(
     served = (
         F.when(F.col("hot").isNotNull(), "hot").when(F.col("warm").isNotNull(), "warm").otherwise("none")
     )
-    return asked.join(both, key, "left").select(
+    return skew_join(asked, both, key, "left").select(
         *requests.columns, "feature_name", F.coalesce("hot", "warm").alias("value"), served.alias("served_from")
     )
 
@@ -156,7 +156,7 @@ def feature_history(features: DataFrame, entity_id: str, feature_name: str, as_o
 def feature_histories(features: DataFrame, keys: DataFrame, as_of, days: int = 30) -> DataFrame:
     """History of many (entity_id, feature_name) keys in one job."""
     wanted = keys.select("entity_id", "feature_name")
-    rows = trailing_days(features, as_of, days).join(wanted, ["entity_id", "feature_name"], "left_semi")
+    rows = skew_join(trailing_days(features, as_of, days), wanted, ["entity_id", "feature_name"], "left_semi")
     return rows.select("entity_id", "feature_name", "timestamp", "value").orderBy(
         "entity_id", "feature_name", "timestamp"
     )

@@ -96,14 +96,14 @@ def p8(spark, folder):
 
 
 @query("P9_averages_per_interaction", f"""{CALLS}
-SELECT user_id, round(sum(cost_usd) / count(*), 12) AS avg_cost_per_interaction,
+SELECT user_id, round(sum(cost_usd) / count(*), 14) AS avg_cost_per_interaction,
   round(sum(total_tokens)::DOUBLE / count(*), 7) AS avg_tokens_per_interaction FROM calls GROUP BY user_id""")
 def p9(spark, folder):
     totals = calls(spark, folder).groupBy("user_id").agg(
         F.sum("cost_usd").alias("cost"), F.sum("total_tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     return totals.select(
         "user_id",
-        F.round(S.safe_ratio("cost", "n"), 12).alias("avg_cost_per_interaction"),
+        F.round(S.safe_ratio("cost", "n"), 14).alias("avg_cost_per_interaction"),
         F.round(S.safe_ratio("tokens", "n"), 7).alias("avg_tokens_per_interaction"))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 )
 
 from meterlake.functions.filters import as_date, date_range, optional_user
+from meterlake.functions.keyed import without_known
 from meterlake.schemas import ARCHIVE_AFTER_DAYS, ARCHIVE_COLUMNS, ARCHIVE_RETENTION_HOURS
 
 COMMIT = StructType([
@@ -137,6 +138,10 @@ class VersionedTable:
         schema = self._merged(commits, df.schema)
         version = commits[-1].version + 1 if commits else 0
         readable = commits[-1].readable_from if commits else 0
+        if self.partition_by and mode != "compact":
+            # One exchange into partitions of a target size: few files per day, and
+            # adaptive execution splits a day that holds much of the data.
+            df = df.hint("rebalance", F.col(self.partition_by))
         counted = Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if self.partition_by:
@@ -271,18 +276,14 @@ def move_to_archive(facts: DataFrame, archive: Archive, as_of, days: int = ARCHI
     old, keep = split_by_age(facts, as_of, days)
     if archive._visible(None):
         cutoff = F.date_sub(as_date(as_of), days)
-        done = archive.read().where(F.col("date") < cutoff).select("interaction_id")
-        old = old.join(done, "interaction_id", "left_anti")
+        done = archive.read().where(F.col("date") < cutoff)
+        old = without_known(old, done, ["interaction_id"])
     if archive.write_interactions(old) is not None:
         archive.optimize()
     return keep
 
 
 def read_all_tiers(warm: DataFrame, archive: DataFrame) -> DataFrame:
-    """Warm and archived rows together; a row in both tiers counts once, warm first.
-
-    Only the archive side is checked against the warm ids, which is one anti
-    join instead of a sort of everything.
-    """
-    cold_only = archive.join(warm.select("interaction_id"), "interaction_id", "left_anti")
+    """Warm and archived rows together; a row in both tiers counts once, warm first."""
+    cold_only = without_known(archive, warm, ["interaction_id"])
     return warm.unionByName(cold_only, allowMissingColumns=True)
