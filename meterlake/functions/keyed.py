@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether df has at most max_rows rows; counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after a bounded count has shown that df is small.
 
-    The count reads no more than max_rows + 1 rows. A bigger frame is returned
-    as it is, and the join is then planned as a shuffled join.
+    A bigger frame is returned as it is, and the join is then planned as a
+    shuffled join.
     """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -34,13 +38,17 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop("_key_hash")
 
 
-def without_known(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_known(
+    rows: DataFrame, known: DataFrame, keys: Sequence[str], asked: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key is not in known.
 
-    The two sets of keys are matched first. When few keys are in both, which is
-    counted, the rows themselves are filtered in place and not exchanged.
+    The two sets of keys are matched first (asked may give those of rows more
+    cheaply). When few keys are in both, which is counted, the rows themselves
+    are filtered in place and not exchanged.
     """
-    hits = known.select(*keys).join(rows.select(*keys), list(keys), "left_semi")
+    asked = rows if asked is None else asked
+    hits = known.select(*keys).join(asked.select(*keys), list(keys), "left_semi")
     return rows.join(checked_broadcast(hits), list(keys), "left_anti")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
-from meterlake.functions.keyed import first_per_key
+from meterlake.functions.keyed import first_per_key, is_small, without_known
 from meterlake.schemas import FEATURE, FEATURE_KEY
 
 INTERACTION_KEY = ["interaction_id"]
@@ -19,23 +19,41 @@ def new_rows(
     keys: Sequence[str],
     existing: DataFrame | None = None,
     order: Sequence[Column] | None = None,
+    ids_first: bool = True,
 ) -> DataFrame:
     """Rows of batch to append: the first per key whose key is not in existing.
 
     order says what "first" means when a batch repeats a key; the default is
     the timestamp, then the whole row, so that repeated runs agree.
+
+    With ids_first the keys alone are counted and matched before. Repeats are
+    few as a rule, and then whole rows, with their texts, are filtered where
+    they are; only the repeated ones are ranked. Without it, or when many keys
+    repeat, all rows are ranked by key, which is the cheaper way for a small or
+    costly-to-read batch.
     """
+    keys = list(keys)
     if order is None:
         row = F.xxhash64(*[F.col(c) for c in sorted(batch.columns)])
         order = [F.col("timestamp"), row]
-    once = first_per_key(batch, keys, order)
+    repeated = batch.groupBy(*keys).count().where("count > 1").select(*keys)
+    if ids_first and is_small(repeated):
+        few = F.broadcast(repeated)
+        copies = first_per_key(batch.join(few, keys, "left_semi"), keys, order)
+        once = batch.join(few, keys, "left_anti").unionByName(copies)
+    else:
+        once = first_per_key(batch, keys, order)
     if existing is None:
         return once
-    return once.join(existing.select(*keys), list(keys), "left_anti")
+    if ids_first:
+        return without_known(once, existing, keys, asked=batch)
+    return once.join(existing.select(*keys), keys, "left_anti")
 
 
-def insert_interactions(batch, existing=None, order=None) -> DataFrame:
-    return new_rows(batch, INTERACTION_KEY, existing, order)
+def insert_interactions(
+    batch: DataFrame, existing: DataFrame | None = None, order: Sequence[Column] | None = None, ids_first: bool = True
+) -> DataFrame:
+    return new_rows(batch, INTERACTION_KEY, existing, order, ids_first)
 
 
 def rejected_interactions(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -27,8 +27,14 @@ def _latest() -> Column:
 
 
 def _once(df: DataFrame, count_duplicates: bool) -> DataFrame:
-    """A repeated interaction_id is counted once, unless duplicates are wanted."""
-    return df if count_duplicates else insert_interactions(df)
+    """A repeated interaction_id is counted once, unless duplicates are wanted.
+
+    Only the columns the features need are ranked.
+    """
+    if count_duplicates:
+        return df
+    needed = ["interaction_id", "user_id", "model", "timestamp", "total_tokens", "cost_usd", "latency_ms"]
+    return insert_interactions(df.select(*needed), ids_first=False)
 
 
 def online_features_lifetime(df: DataFrame, count_duplicates: bool = True) -> DataFrame:

@@ -36,9 +36,11 @@ def build_session(name: str = "meterlake", master: str | None = None, **config)
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the shared folder of the session.
 
-    Only a session without spark.checkpoint.dir (a test) uses a local one.
+    A local session without spark.checkpoint.dir (a test) uses a temporary one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         shared = tempfile.mkdtemp(prefix="meterlake-")
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")

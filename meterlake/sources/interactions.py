@@ -65,7 +65,7 @@ def stream_interactions(
     source: str = "kafka",
     path: str | None = None,
     topic: str = TOPIC_INTERACTIONS,
-    servers: str = "localhost:9094",
+    servers: str = "localhost:9092",
     max_offsets: int = 100,
     **options,
 ) -> DataFrame:
@@ -82,7 +82,7 @@ def stream_embedding_requests(
     source: str = "kafka",
     path: str | None = None,
     topic: str = TOPIC_EMBEDDING_REQUESTS,
-    servers: str = "localhost:9094",
+    servers: str = "localhost:9092",
     max_offsets: int = 100,
     **options,
 ) -> DataFrame:
@@ -116,7 +116,7 @@ def publish_interactions(
     sink: str = "kafka",
     path: str | None = None,
     topic: str = TOPIC_INTERACTIONS,
-    servers: str = "localhost:9094",
+    servers: str = "localhost:9092",
     **options,
 ) -> None:
     """Send events to the topic, or append them as JSON lines to a folder."""

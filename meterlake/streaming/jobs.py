@@ -42,7 +42,7 @@ def accepted_rows(batch: DataFrame, facts: VersionedTable) -> DataFrame:
     The batch ids go to the scan of the facts (as a broadcast when they are
     few), so the fact table is filtered in place and not exchanged.
     """
-    once = insert_interactions(batch)
+    once = insert_interactions(batch, ids_first=False)
     if not facts._visible(None):
         return once
     ids = checked_broadcast(batch.select(*INTERACTION_KEY).distinct())
