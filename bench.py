@@ -20,11 +20,11 @@ HEADLINE = [
     "A5_offline_features", "A6_cost_summary", "A13_cost_metric_rollup", "A15_latency_percentiles",
     "Q1_sql_passthrough",
     "V1_validate_interactions", "S4_split_valid_invalid", "S5_insert_interactions", "S7_archive_write",
-    "S8_archive_read", "S11_archive_compact",
+    "S8_archive_read",
     "O1_online_features_ttl", "O2_online_features_lifetime", "O4_get_online_features", "O7_latest_feature_values",
     "O9_rolling_features",
-    "E1_cache_lookup", "E2_embed_misses", "E4_embed_requests", "E8_vector_top_k", "P6_cache_key",
-    "D1_psi", "D2_ks_statistic_lineitem", "D6_check_drift", "D8_drift_sweep",
+    "E1_cache_lookup", "E4_embed_requests", "E8_vector_top_k", "P6_cache_key",
+    "D1_psi", "D6_check_drift", "D8_drift_sweep",
     "T1_interactions_per_second", "T4_latency_p95_p99_5m", "T5_cost_24h", "T11_sessionized_online_features",
     "T12_ingest",
     "R1_alert_error_rate", "R6_alert_budget",

@@ -207,22 +207,25 @@ def rolling_features(df: DataFrame, days: int = 7, **options) -> DataFrame:
     by quantiles. No frame is rescanned and no user has to fit one task.
     """
     span = days * 86_400_000_000
-    exact_cost = F.col("cost_usd").cast("decimal(28,12)")
+    # Cost as whole millionths and the rest in millionths of those: exact sums of
+    # whole numbers, which are much cheaper than wide decimals.
+    millionths = F.floor(F.col("cost_usd") * 1e6)
+    rest = F.round((F.col("cost_usd") * 1e6 - millionths) * 1e6).cast("long")
     calls = df.where(F.col("user_id").isNotNull()).groupBy("user_id", S.micros("timestamp").alias("at")).agg(
         F.count(F.lit(1)).alias("calls"),
         F.sum(F.length("prompt").cast("long")).alias("chars"),
         F.sum(F.col("total_tokens").cast("long")).alias("tokens"),
-        F.sum(exact_cost).alias("cost"),
+        F.sum(millionths).alias("cost"),
+        F.sum(rest).alias("cost_rest"),
     )
-    sums = ["calls", "chars", "tokens", "cost"]
+    sums = ["calls", "chars", "tokens", "cost", "cost_rest"]
     steps = F.array(
         F.struct(F.col("at").alias("moment"), F.lit(1).alias("sign")),
         F.struct((F.col("at") + span + 1).alias("moment"), F.lit(-1).alias("sign")),
     )
     moves = calls.select("user_id", *sums, F.inline(steps))
     per_moment = moves.groupBy("user_id", "moment").agg(
-        # Negated, not multiplied: a product would lose decimal places.
-        *[F.sum(F.when(F.col("sign") == 1, F.col(c)).otherwise(-F.col(c))).alias(c) for c in sums],
+        *[F.sum(F.col(c) * F.col("sign")).alias(c) for c in sums],
         F.sum(F.when(F.col("sign") == 1, 1).otherwise(0)).alias("entering"),
     )
     totals = running_counts(per_moment, ["user_id"], "moment", [*sums, "entering"], **options)
@@ -233,7 +236,7 @@ def rolling_features(df: DataFrame, days: int = 7, **options) -> DataFrame:
         n.alias(f"interaction_count_{days}d"),
         (F.col("cum_chars") / n).alias(f"avg_prompt_length_{days}d"),
         (F.col("cum_tokens") / n).alias(f"avg_tokens_per_request_{days}d"),
-        F.col("cum_cost").cast("double").alias(f"total_cost_{days}d"),
+        (F.col("cum_cost") / 1e6 + F.col("cum_cost_rest") / 1e12).alias(f"total_cost_{days}d"),
     )
 
 
