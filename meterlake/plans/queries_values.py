@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from meterlake.functions import filters, scalars as S
-from meterlake.functions.keyed import checked_broadcast
+from meterlake.functions.keyed import checked_broadcast, skew_join
 from meterlake.functions.order_stats import distinct_counts, interpolate, linear_percentile, running_counts
 from meterlake.operators import drift as D
 from meterlake.operators import embeddings as E
@@ -261,18 +261,22 @@ def j6(spark, folder):
     return D._collapse(samples).select("value", "hist", "cur")
 
 
-@query("J7_bin_assignment", f"""{CALLS}, q AS (SELECT quantile_cont(latency_ms, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM calls)
-SELECT len(list_filter(edges, lambda x: x <= latency_ms))::INT AS bin, count(*) AS n FROM calls, q GROUP BY 1""")
+@query("J7_bin_assignment", f"""{CALLS}, q AS (
+SELECT operation, quantile_cont(latency_ms, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
+FROM calls GROUP BY operation)
+SELECT operation, len(list_filter(edges, lambda x: x <= latency_ms))::INT AS bin, count(*) AS n
+FROM calls JOIN q USING (operation) GROUP BY 1, 2""")
 def j7(spark, folder):
-    rows = calls(spark, folder).select(F.lit("x").alias("k"), F.col("latency_ms").alias("value"))
-    counted = distinct_counts(rows, ["k"], "value", n=F.lit(1))
-    ranked = running_counts(counted, ["k"], "value", ["n"])
+    rows = calls(spark, folder).select("operation", F.col("latency_ms").alias("value"))
+    counted = distinct_counts(rows, ["operation"], "value", n=F.lit(1))
+    ranked = running_counts(counted, ["operation"], "value", ["n"])
     lows, edges = ["max(all_n) AS total"], []
     for i, q in enumerate(D._inner_edges(), start=1):
         low, high = linear_percentile("value", "cum_n", "all_n", q)
         lows += [f"{low} AS low{i}", f"{high} AS high{i}"]
         edges.append(interpolate(f"low{i}", f"high{i}", "total", q))
-    one = ranked.groupBy("k").agg(*map(F.expr, lows)).selectExpr("k", f"array({', '.join(edges)}) AS edges")
-    # One row of nine edges, whatever the data: broadcast.
-    placed = counted.join(F.broadcast(one), "k").selectExpr("size(filter(edges, e -> e <= value)) AS bin", "n")
-    return placed.groupBy("bin").agg(F.sum("n").alias("n"))
+    per_key = ranked.groupBy("operation").agg(*map(F.expr, lows)).selectExpr(
+        "operation", f"array({', '.join(edges)}) AS edges")
+    placed = skew_join(counted, per_key, ["operation"], "inner").selectExpr(
+        "operation", "size(filter(edges, e -> e <= value)) AS bin", "n")
+    return placed.groupBy("operation", "bin").agg(F.sum("n").alias("n"))
