@@ -88,8 +88,12 @@ def embed_texts(
 
     Encoding costs far more than moving a row, so rows are spread over a fixed
     number of partitions: adaptive execution would merge them by their bytes.
+    The default is one per core, or the shuffle partitions where those are more.
     """
-    parallel = partitions or texts.sparkSession.sparkContext.defaultParallelism
+    session = texts.sparkSession
+    parallel = partitions or max(
+        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
+    )
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loaded: dict[str, Embedder] = {}

@@ -105,6 +105,14 @@ def test_percentiles_are_sorted_index(spark, rows_per_cut):
         assert got[name].avg == pytest.approx(values.mean()) and got[name]["count"] == len(values)
 
 
+def test_sketch_is_close_to_exact(spark):
+    rows = spark.range(5000).select(F.lit("op").alias("operation"), F.col("id").cast("double").alias("duration_ms"))
+    sketch, exact = A.latency_percentiles_approx(rows).first(), A.latency_percentiles(rows).first()
+    for name in ("p50", "p95", "p99"):
+        assert abs(sketch[name] - exact[name]) <= 2
+    assert sketch["count"] == 5000 and sketch.avg == exact.avg
+
+
 def test_consistency_finds_differences(make_calls):
     rows = make_calls([{"user_id": "a"}, {"user_id": "b"}, {"user_id": "b"}])
     online = O.online_features_lifetime(rows.where("interaction_id <> 'i2'"))
