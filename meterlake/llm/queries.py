@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import perspectives, sharding
+from meterlake.llm import perspectives, quality, sharding
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, table(spark, folder, "labels"))
+    return judged.select("row.doc_id", "quality.*")
+
+
 def op7_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return perspectives.rotate(table(spark, folder, "conversations"))
 
@@ -52,6 +58,7 @@ def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op9_shards": op9_shards,
 }
