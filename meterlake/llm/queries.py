@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import perspectives, quality, sharding
+from meterlake.llm import packing, perspectives, quality, sharding
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +57,16 @@ def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, folder, "documents"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op9_shards": op9_shards,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 SQL: dict[str, str] = {
