@@ -290,9 +290,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 low, high = starts[value], starts[value + 1]
                 at[mine] = low + np.searchsorted(plan.rank[low:high], rank[mine], side="right") - 1
             sequence = plan.first[at] + rank - plan.rank[at]
-            arrays = [*batch.drop_columns(["_at"]).columns, pa.array(sequence)]
-            yield pa.RecordBatch.from_arrays(arrays, [*[n for n in batch.schema.names if n != "_at"], "sequence_id"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence)], [*names, "sequence_id"])
 
+    names = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long"
     placed = ranked.mapInArrow(find, schema)
     # At most `capacity` pieces share a sequence.
