@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, quality, sharding
+from meterlake.llm import packing, perspectives, quality, sharding, simhash
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,13 @@ SELECT conv_id, perspective, turn, speaker, head || said || chr(10) AS segment,
 FROM placed"""
 
 
+def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, folder, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"), simhash.hex_of().alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
 def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard(table(spark, folder, "documents"), SHARDS)
     return placed.select(
@@ -65,6 +72,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op7_chat_perspectives": op7_chat_perspectives,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
