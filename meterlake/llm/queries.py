@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, quality, sharding, simhash
+from meterlake.llm import packing, perspectives, quality, repeats, sharding, simhash
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,17 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("row.doc_id", "quality.*")
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return perspectives.rotate(table(spark, folder, "conversations"))
 
@@ -71,6 +82,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
