@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, quality, repeats, sharding, simhash
+from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,17 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_pii_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.sanitise(table(spark, folder, "documents").select("doc_id", "text"), with_text=False)
+    counts = [
+        F.expr(f"size(filter(spans, s -> s.name = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:pii.BASE]
+    ]
+    return found.select(
+        "row.doc_id", *counts, F.sha2(pii.listing("spans", base_only=True).cast("binary"), 256).alias("base_sha256"),
+        pii.listing("spans").alias("spans"),
+    )
+
+
 def op7_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return perspectives.rotate(table(spark, folder, "conversations"))
 
@@ -83,6 +94,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_pii_sanitisation": op6_pii_sanitisation,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
