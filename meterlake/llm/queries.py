@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash
+from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash, topk
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,28 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", topk.whole_numbers(F.col("embedding")).alias("vector"))
+    queries = vectors.where("vec_id % 50 = 0")
+    # Row counts come from the files' footers; they set the number of parts only.
+    n = table(spark, folder, "embeddings").count()
+    shards, blocks = topk.parts(n, topk.SHARD_ROWS), topk.parts(n // 50, topk.QUERY_BLOCK)
+    return topk.top_k(queries, vectors, 5, shards, blocks)
+
+
+OP5_SQL = """
+WITH whole AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def op6_pii_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.sanitise(table(spark, folder, "documents").select("doc_id", "text"), with_text=False)
     counts = [
@@ -94,6 +116,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_pii_sanitisation": op6_pii_sanitisation,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -102,5 +125,6 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op5_exact_top_k": OP5_SQL,
     "op7_chat_perspectives": OP7_SQL,
 }
