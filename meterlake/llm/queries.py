@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash, topk
+from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash, tokenfiles, topk
 from meterlake.llm.common import table
+from meterlake.plans.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,17 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("row.doc_id", "quality.*")
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    path = work_folder(spark, "token-files")
+    tokenfiles.write_token_files(tokenfiles.encoded(docs), path)
+    found = tokenfiles.scan(spark, path).withColumn("number", tokenfiles.file_number())
+    named = found.join(tokenfiles.positions(docs), ["number", "ordinal"], "left")
+    return named.select(
+        F.col("id").alias("doc_id"), F.col("number").alias("file"), "ordinal", "start", "n_tokens", "ended"
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
@@ -115,6 +127,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_pii_sanitisation": op6_pii_sanitisation,
