@@ -13,10 +13,13 @@ every piece's sequence by its rank within its length.
 from __future__ import annotations
 
 import bisect
+import json
+import os
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ CLASS_WIDTH = 16
 SMALL = 128  # lengths kept out of the program; they fill the room that rounding leaves
 STEP = 0.05
 CACHED_WORDS = 500_000
+STOPS = ".,;:!?"  # a run of these after a word is a unit of its own
 BATCH = 8 << 20
 
 # --- tokens -----------------------------------------------------------------
@@ -42,28 +46,64 @@ class WordCoder:
 
     The tokenizer drops white space and never looks across it, so the ids of a
     text are those of its words; each distinct word is encoded once, as long
-    as the cache holds it.
+    as the cache holds it. New words of ASCII letters only are encoded together
+    by the file's model alone, as they need no more than lower case: each is a
+    unit of its own, and a unit's last token is marked in the vocabulary.
     """
 
     def __init__(self, path: str):
+        # Tasks run side by side already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            bare = json.load(file) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(bare))
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
 
     def __call__(self, text: str) -> bytes:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
         words = text.replace("\n", " ").split(" ")
-        new = list({w for w in words if w not in self.cache})
+        new = {w for w in words if w not in self.cache}
         if new:
             if len(self.cache) + len(new) > CACHED_WORDS:
                 self.cache = {"": b""}
-                new = list(set(words) - {""})
-            for start in range(0, len(new), 4096):
-                part = new[start : start + 4096]
-                for word, coded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    self.cache[word] = np.array(coded.ids, dtype="<u4").tobytes()
+                new = set(words)
+            self.learn(new)
         return b"".join(map(self.cache.__getitem__, words))
 
+    def learn(self, new: set[str]) -> None:
+        cache = self.cache
+        ended = {w: w.rstrip(STOPS) for w in new}
+        units = {core for core in ended.values() if core.isalpha() and core.isascii()}
+        self.encode_units([u for u in units if u not in cache])
+        odd = [w for w, core in ended.items() if core not in units]
+        odd += [s for s in {w[len(core) :] for w, core in ended.items() if core in units} if s not in cache]
+        for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            cache[word] = np.array(coded.ids, dtype="<u4").tobytes()
+        for word, core in ended.items():
+            if core in units and word != core:
+                cache[word] = cache[core] + cache[word[len(core) :]]
+
+    def encode_units(self, units: list[str]) -> None:
+        ids = np.array(self.model.encode_batch_fast([" ".join(units).lower()], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        if len(ends) != len(units) or len(raw) != (ends or [0])[-1]:
+            raise ValueError("the tokenizer does not encode words of letters as units")
+        self.cache.update(zip(units, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+
+
+@cache
+def coder(path: str) -> WordCoder:
+    """One per Python worker, so that its cache serves many tasks."""
+    return WordCoder(path)
+
 
 def token_pieces(
     docs: DataFrame,
@@ -86,7 +126,7 @@ def token_pieces(
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = WordCoder(path)
+        code = coder(path)
         for batch in batches:
             ids, rows, held = batch.column(0), [], 0
             for i, text in enumerate(batch.column(1)):
