@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, pii, quality, repeats, sharding, simhash, tokenfiles, topk
+from meterlake.llm import packing, perspectives, pieces, pii, quality, repeats, sharding, simhash, tokenfiles, topk
 from meterlake.llm.common import table
 from meterlake.plans.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+SEGMENTATIONS = 3
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_nbest_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = pieces.encode(table(spark, folder, "documents"), SEGMENTATIONS, with_ids=False)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
@@ -128,6 +134,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op3_nbest_pieces": op3_nbest_pieces,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_pii_sanitisation": op6_pii_sanitisation,
