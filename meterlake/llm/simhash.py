@@ -181,32 +181,38 @@ class Forest:
         return np.array([p for p in found if p[0] != p[1]], dtype=np.int64).reshape(-1, 2)
 
 
-def _home_map(distinct: DataFrame, lengths: Sequence[int]) -> np.ndarray | None:
-    """One bit per codeword: whether any fingerprint is at home there. Its size depends on the code alone."""
+def _at_homes(copies: DataFrame, distinct: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """The copies at codewords where a fingerprint is at home.
+
+    The homes are one bit per codeword, a scalar whose size depends on the code
+    alone; for larger codes than MAP_BITS all copies stay.
+    """
     bits = sum(n - CHECK_BITS for n in lengths)
     if bits > MAP_BITS:
-        return None
+        return copies
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             home = home_anchor(batch.column(0).to_numpy().view(np.uint64), lengths)
-            yield pa.RecordBatch.from_arrays([pa.array((home >> 6).astype(np.int32)), pa.array(np.left_shift(1, home & 63))], ["word", "bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(home >> 6), pa.array(np.left_shift(1, home & 63))], ["word", "bit"])
 
-    words = distinct.mapInArrow(run, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    homes = np.zeros(1 << max(bits - 6, 0), dtype=np.int64)
-    homes[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return homes.view(np.uint64)
+    words = distinct.mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = distinct.sparkSession.range(1 << max(bits - 6, 0)).withColumnRenamed("id", "word")
+    words = every.join(words, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
+    homes = words.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("m")).select("m.bits").scalar()
+    marked = copies.withColumn("_homes", homes)
+    used = "shiftrightunsigned(get(_homes, cast(shiftright(place, 7) AS int)), cast(shiftright(place, 1) & 63L AS int)) & 1L = 1L"
+    return marked.where(F.expr(used)).drop("_homes")
 
 
 def links(distinct: DataFrame, lengths: Sequence[int] = BLOCKS, threshold: int = THRESHOLD) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of fp within the threshold.
 
-    distinct has the column fp without repeats. Copies to codewords where
-    nobody is at home are not sent. Within one codeword the homes (distinct
+    distinct has the column fp without repeats. Copies at codewords where
+    nobody is at home are not exchanged. Within one codeword the homes (distinct
     fingerprints of one Hamming ball) are held and the copies streamed past
     them; a task sends its links as a forest.
     """
-    homes = _home_map(distinct, lengths)
 
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,9 +220,6 @@ def links(distinct: DataFrame, lengths: Sequence[int] = BLOCKS, threshold: int =
             for start in range(0, len(every), 2048):
                 fps = every[start : start + 2048]
                 at, anchor = anchors(fps, lengths, threshold)
-                if homes is not None:
-                    used = ((homes[anchor >> 6] >> (anchor & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-                    at, anchor = at[used], anchor[used]
                 away = (anchor != home_anchor(fps, lengths)[at]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(2 * anchor + away), pa.array(fps[at].view(np.int64))], ["place", "fp"])
 
@@ -255,7 +258,7 @@ def links(distinct: DataFrame, lengths: Sequence[int] = BLOCKS, threshold: int =
 
     n = pieces_of(distinct.sparkSession)
     sent = distinct.repartition(n, "fp").mapInArrow(copies, "place long, fp long")
-    met = sent.repartition(n, F.shiftright("place", 1)).sortWithinPartitions("place")
+    met = _at_homes(sent, distinct, lengths).repartition(n, F.shiftright("place", 1)).sortWithinPartitions("place")
     return met.mapInArrow(compare, "a long, b long")
 
 
