@@ -271,7 +271,9 @@ def repeated_windows(docs: DataFrame, texts: DataFrame, threshold: int) -> DataF
     return equal.unionByName(found.select("rid", "rhash", F.col("start").alias("low"), F.col("start").alias("high")))
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def cut_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, as_text: bool = False
+) -> DataFrame:
     """docs as the struct column `row` (its text null), with n_bytes, spans and kept.
 
     Texts are UTF-8 bytes; a null text is empty. spans are the maximal removed
@@ -279,7 +281,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a window of `threshold` bytes over it also starts anywhere else in docs,
     judged on the texts as given. Texts under the threshold stay whole. Copies
     of a longer text, repeated rows among them, all go. Other columns stay in
-    `row`, so their names can't clash.
+    `row`, so their names can't clash. With as_text, kept is a string, without
+    the parts of characters that a cut has split.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = docs.schema[text_col].dataType
@@ -304,12 +307,14 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     merged = _union(starts, ends + threshold)
                 spans.append([{"start": a, "end": b} for a, b in merged])
                 edges = [0, *[x for span in merged for x in span], len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                parts = [data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                kept.append("".join(p.decode("utf-8", "ignore") for p in parts) if as_text else b"".join(parts))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            arrays = [batch.column("row"), size, pa.array(spans, kind), pa.array(kept, pa.binary())]
+            arrays = [batch.column("row"), size, pa.array(spans, kind), pa.array(kept, pa.string() if as_text else pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["row", "n_bytes", "spans", "kept"])
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary"
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept "
+    schema += "string" if as_text else "binary"
     joined = skew_join(texts, lists, ["rid", "rhash"], "left")
     return joined.select("row", "size", "packed", "found").mapInArrow(cut, schema)
 
