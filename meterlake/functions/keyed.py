@@ -38,18 +38,16 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop("_key_hash")
 
 
-def without_known(
-    rows: DataFrame, known: DataFrame, keys: Sequence[str], asked: DataFrame | None = None
-) -> DataFrame:
-    """Rows whose key is not in known.
-
-    The two sets of keys are matched first (asked may give those of rows more
-    cheaply). When few keys are in both, which is counted, the rows themselves
-    are filtered in place and not exchanged.
-    """
-    asked = rows if asked is None else asked
-    hits = known.select(*keys).join(asked.select(*keys), list(keys), "left_semi")
-    return rows.join(checked_broadcast(hits), list(keys), "left_anti")
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """skew_join in which null keys meet: a struct of nulls is a value like any other."""
+    key = F.struct(*keys)
+    right = right.withColumn("_key", key).drop(*keys)
+    return skew_join(left.withColumn("_key", key), right, ["_key"], how).drop("_key")
+
+
+def without_known(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in known; adaptive execution splits a key with very many rows."""
+    return rows.join(known.select(*keys), list(keys), "left_anti")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -4,13 +4,14 @@ A window over a whole group would bring that group to one task, and the
 built-in exact percentile keeps a map of all its values. Here rows are first
 collapsed to distinct (group, value) pairs with counts. The values are then
 cut at quantiles of *all* the distinct pairs, so a (group, cut) block holds at
-most about 1 / MAX_CUTS of them, whichever group they belong to. Running
+most about 1 / MAX_CUTS of them (or less, see _levels), whichever group they belong to. Running
 counts are local to a block, and a prefix sum over the few blocks of each
 group adds what came before.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,17 +20,24 @@ from pyspark.sql import functions as F
 # A power of two: finding the block of a value is then LEVELS halving steps.
 LEVELS = 10
 MAX_CUTS = 2**LEVELS
+
+
+def _levels(df: DataFrame) -> int:
+    """More cuts where the session has more shuffle partitions, so that blocks don't grow with the data."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEVELS, math.ceil(math.log2(4 * partitions)))
+
+
 ROWS_PER_CUT = 1_000_000
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, **counts: Column) -> DataFrame:
     """One row per (keys, value) with sums of the given 0/1 columns.
 
-    Rows with a null key, and values that are null or NaN, are left out.
+    Null keys are keys; values that are null or NaN have no place in an order
+    and are left out.
     """
     usable = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    for key in keys:
-        usable = usable.where(F.col(key).isNotNull())
     sums = counts or {"n": F.lit(1)}
     return usable.groupBy(*keys, value).agg(
         *[F.sum(c.cast("long")).alias(name) for name, c in sums.items()]
@@ -44,8 +52,9 @@ def _cuts(collapsed: DataFrame, value: str, columns: Sequence[str], rows_per_cut
     for c in columns[1:]:
         missing = missing | F.col(c).isNull()
     rows = F.count_if(missing) + F.count_if(~missing)
-    grid = ", ".join(f"{i / MAX_CUTS}D" for i in range(1, MAX_CUTS))
-    quantiles = F.expr(f"percentile_approx(`{value}`, array({grid}), 10000)")
+    cuts = 2 ** _levels(collapsed)
+    grid = ", ".join(f"{i / cuts}D" for i in range(1, cuts))
+    quantiles = F.expr(f"percentile_approx(`{value}`, array({grid}), {10 * cuts})")
     empty = F.array().cast("array<double>")
     return collapsed.agg(
         F.when(rows > rows_per_cut, quantiles).otherwise(empty).alias("cuts")
@@ -60,7 +69,7 @@ def cut_pieces(
     It is found by halving, and never null: a null check on it would be pushed
     below the exchange.
     """
-    halves = ", ".join(str(2**level) for level in reversed(range(LEVELS)))
+    halves = ", ".join(str(2**level) for level in reversed(range(_levels(collapsed))))
     search = (
         f"CASE WHEN size(_cuts) = 0 THEN 0 ELSE coalesce(aggregate(array({halves}), 0, (at, step) -> "
         f"CASE WHEN get(_cuts, at + step - 1) <= `{value}` THEN at + step ELSE at END), 0) END"
@@ -83,17 +92,20 @@ def running_counts(
     """
     keys = list(keys)
     pieces = cut_pieces(collapsed, value, counts, rows_per_cut)
-    group = Window.partitionBy(*keys)
+    # As one struct, so that null keys meet in the join.
+    key = F.struct(*keys) if keys else F.lit(0)
+    pieces = pieces.withColumn("_key", key)
+    group = Window.partitionBy("_key")
     earlier = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = pieces.groupBy(*keys, "_cut").agg(*[F.sum(c).alias(c) for c in counts])
+    blocks = pieces.groupBy("_key", "_cut").agg(*[F.sum(c).alias(c) for c in counts])
     blocks = blocks.select(
-        *keys,
+        "_key",
         "_cut",
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in counts],
         *[F.sum(c).over(group).alias(f"all_{c}") for c in counts],
     )
-    inside = Window.partitionBy(*keys, "_cut").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    joined = pieces.join(blocks, keys + ["_cut"])
+    inside = Window.partitionBy("_key", "_cut").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    joined = pieces.join(blocks, ["_key", "_cut"])
     return joined.select(
         *keys,
         value,

@@ -80,11 +80,11 @@ def _json_ascii(text: Column) -> Column:
     return F.coalesce(literal, F.lit("null"))
 
 
-def cache_key(prefix: str, *parts) -> Column:
-    """prefix:first 16 hex digits of sha256 over the JSON array of the parts."""
+def cache_key(prefix: str, *parts, digits: int = 16) -> Column:
+    """prefix:first hex digits (64 are all) of sha256 over the JSON array of the parts."""
     items = [_json_ascii(_col(p).cast("string")) for p in parts]
     body = F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
-    key = F.concat(F.lit(prefix + ":"), F.substring(F.sha2(body, 256), 1, 16))
+    key = F.concat(F.lit(prefix + ":"), F.substring(F.sha2(body, 256), 1, digits))
     # Never null, so a join on the key adds no null check that hashes the text again.
     return F.coalesce(key, F.lit(prefix + ":"))
 

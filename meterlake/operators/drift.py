@@ -8,8 +8,6 @@ deviations are all read from those counts.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,14 +15,12 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
 from meterlake.functions.filters import as_date, check_lookback
-from meterlake.functions.keyed import skew_join
+from meterlake.functions.keyed import null_safe_join
 from meterlake.functions.order_stats import distinct_counts, interpolate, linear_percentile, running_counts
 from meterlake.schemas import DRIFT_THRESHOLD, DRIFT_WINDOW_DAYS, PSI_BINS, PSI_EMPTY_SHARE
 
 KEY = ["feature_name", "entity_id"]
 HISTORICAL, CURRENT = "historical", "current"
-# Up to this many values on the larger side the exact p-value is computed.
-EXACT_SIZE = 10_000
 
 
 def _collapse(samples: DataFrame) -> DataFrame:
@@ -82,7 +78,7 @@ def drift_statistics(samples: DataFrame, **options) -> DataFrame:
     collapsed = _collapse(samples)
     stats = _group_statistics(running_counts(collapsed, KEY, "value", ["hist", "cur"], **options))
     bin_no = " + ".join(f"CAST(value >= e{i} AS INT)" for i in range(1, PSI_BINS))
-    placed = skew_join(collapsed, stats, KEY, "inner").selectExpr("*", f"{bin_no} AS bin")
+    placed = null_safe_join(collapsed, stats, KEY, "inner").selectExpr("*", f"{bin_no} AS bin")
     carried = ["n_hist", "n_cur", "mean_hist", "mean_cur", "ks_statistic"]
     grouped = placed.groupBy(*KEY).agg(*map(F.expr, [
         *[f"max({c}) AS {c}" for c in carried],
@@ -155,29 +151,25 @@ def exact_ks_pvalue(d: float, n1: int, n2: int) -> float:
 
 def _exact_pvalues(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     values = [
-        exact_ks_pvalue(float(x), int(a), int(b)) if max(a, b) <= EXACT_SIZE else math.nan
+        exact_ks_pvalue(float(x), int(a), int(b))
         for x, a, b in zip(d, n1, n2)
     ]
     return pd.Series(values)
 
 
-def with_pvalue(stats: DataFrame, exact: bool = True) -> DataFrame:
-    """Add ks_pvalue and ks_method: exact for small samples, the limit series else.
+def with_pvalue(stats: DataFrame, exact: bool = False) -> DataFrame:
+    """Add ks_pvalue and ks_method: the limit series, or the exact value where it is asked for.
 
-    The frame holds one row per (feature, entity), so the exact recursion runs
-    on result rows only.
+    The method never follows the sample sizes. The exact recursion takes
+    n_hist * n_cur steps for a result row, so it is for small samples; the
+    limit series differs from it by less than 0.01 from 50 values a side on.
     """
     d, n1, n2 = F.col("ks_statistic"), F.col("n_hist"), F.col("n_cur")
     series = ks_pvalue_asymptotic(d, n1, n2)
     if not exact:
         return stats.withColumns({"ks_pvalue": series, "ks_method": F.lit("asymptotic")})
-    small = F.greatest(n1, n2) <= EXACT_SIZE
     exact_pvalue = F.pandas_udf(_exact_pvalues, "double")
-    marked = stats.withColumn("_exact", exact_pvalue(d, n1, n2))
-    return marked.withColumns({
-        "ks_pvalue": F.when(small, F.col("_exact")).otherwise(series),
-        "ks_method": F.when(small, F.lit("exact")).otherwise(F.lit("asymptotic")),
-    }).drop("_exact")
+    return stats.withColumns({"ks_pvalue": exact_pvalue(d, n1, n2), "ks_method": F.lit("exact")})
 
 
 def sample_stats(samples: DataFrame) -> DataFrame:
@@ -202,7 +194,7 @@ def drift_status(score="psi", threshold: float = DRIFT_THRESHOLD) -> Column:
 
 def check_drift(
     samples: DataFrame, as_of, threshold: float = DRIFT_THRESHOLD, days: int = DRIFT_WINDOW_DAYS,
-    exact: bool = True, **options,
+    exact: bool = False, **options,
 ) -> DataFrame:
     """One drift row per (feature, entity).
 
@@ -213,7 +205,7 @@ def check_drift(
     check_lookback(days)
     stats = with_pvalue(drift_statistics(samples, **options), exact)
     keys = samples.select(*KEY).distinct()
-    joined = keys.join(stats, KEY, "left")
+    joined = null_safe_join(keys, stats, KEY, "left")
     score = F.coalesce("psi", F.lit(0.0))
     known = F.col("psi").isNotNull()
     end = F.lit(as_of).cast("timestamp_ntz")
@@ -295,7 +287,7 @@ def spc_violations(samples: DataFrame, sigmas: float = 3.0) -> DataFrame:
     limits = spc_limits(samples, sigmas)
     points = samples.where(F.col("side") == CURRENT).drop("side")
     outside = (F.col("value") < F.col("lower_limit")) | (F.col("value") > F.col("upper_limit"))
-    return skew_join(points, limits, KEY, "inner").where(outside)
+    return null_safe_join(points, limits, KEY, "inner").where(outside)
 
 
 def drift_alerts(results: DataFrame) -> DataFrame:

@@ -47,7 +47,8 @@ def hash_embedder(model: str, dimension: int = EMBEDDING_DIMENSION) -> Embedder:
 
 
 def with_cache_key(df: DataFrame, text: str = "text", model: str = "model") -> DataFrame:
-    return df.withColumn("cache_key", S.cache_key("embedding", text, model))
+    # The whole digest: a shorter key would give some texts another's vector.
+    return df.withColumn("cache_key", S.cache_key("embedding", text, model, digits=64))
 
 
 def current_entries(cache: DataFrame, as_of) -> DataFrame:
@@ -223,29 +224,32 @@ def vector_top_k(
     return top_per_key(scored, [on], [F.desc("score"), F.col(id_column)], k)
 
 
-MAX_QUERIES = 1000
+QUERY_BLOCK = 1000
 
 
 def vector_search(
     corpus: DataFrame, queries: list[list[float]], k: int, id_column: str = "vec_id", embedding: str = "embedding"
 ) -> DataFrame:
-    """Top k per query vector for a short list of vectors given by the caller.
+    """Top k per query vector for a list of vectors given by the caller.
 
-    The corpus is read once and every batch is scored against the whole list;
-    only the k best rows per batch and query leave the Python worker.
+    The corpus is read once and every batch is scored against the list, a block
+    of it at a time; only the k best rows per batch and query leave the Python
+    worker.
     """
-    if not 0 < len(queries) <= MAX_QUERIES:
-        raise ValueError(f"1 to {MAX_QUERIES} query vectors, got {len(queries)}")
+    if not queries:
+        raise ValueError("no query vectors")
     matrix = np.asarray(queries, dtype=np.float64)
     id_type = corpus.schema[id_column].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = pdf[id_column].to_numpy()
-            scores = np.stack(pdf[embedding].to_numpy()).astype(np.float64) @ matrix.T
-            for q in range(matrix.shape[0]):
-                best = np.lexsort((ids, -scores[:, q]))[:k]
-                yield pd.DataFrame({"query": q, id_column: ids[best], "score": scores[best, q]})
+            rows = np.stack(pdf[embedding].to_numpy()).astype(np.float64)
+            for start in range(0, len(matrix), QUERY_BLOCK):
+                scores = rows @ matrix[start : start + QUERY_BLOCK].T
+                for q in range(scores.shape[1]):
+                    best = np.lexsort((ids, -scores[:, q]))[:k]
+                    yield pd.DataFrame({"query": start + q, id_column: ids[best], "score": scores[best, q]})
 
     schema = f"query int, {id_column} {id_type}, score double"
     scored = corpus.select(id_column, embedding).mapInPandas(score, schema)

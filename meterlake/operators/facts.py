@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
-from meterlake.functions.keyed import first_per_key, is_small, without_known
+from meterlake.functions.keyed import first_per_key, without_known
 from meterlake.schemas import FEATURE, FEATURE_KEY
 
 INTERACTION_KEY = ["interaction_id"]
@@ -19,52 +19,37 @@ def new_rows(
     keys: Sequence[str],
     existing: DataFrame | None = None,
     order: Sequence[Column] | None = None,
-    ids_first: bool = True,
 ) -> DataFrame:
     """Rows of batch to append: the first per key whose key is not in existing.
 
     order says what "first" means when a batch repeats a key; the default is
-    the timestamp, then the whole row, so that repeated runs agree.
-
-    With ids_first the keys alone are counted and matched before. Repeats are
-    few as a rule, and then whole rows, with their texts, are filtered where
-    they are; only the repeated ones are ranked. Without it, or when many keys
-    repeat, all rows are ranked by key, which is the cheaper way for a small or
-    costly-to-read batch.
+    the timestamp, then the whole row, so that repeated runs agree. A row with
+    a null in its key is refused, as in any table with a key. Each task sends
+    one row per key at most, and no job runs while the plan is built.
     """
     keys = list(keys)
     if order is None:
         row = F.xxhash64(*[F.col(c) for c in sorted(batch.columns)])
         order = [F.col("timestamp"), row]
-    repeated = batch.groupBy(*keys).count().where("count > 1").select(*keys)
-    if ids_first and is_small(repeated):
-        few = F.broadcast(repeated)
-        copies = first_per_key(batch.join(few, keys, "left_semi"), keys, order)
-        once = batch.join(few, keys, "left_anti").unionByName(copies)
-    else:
-        once = first_per_key(batch, keys, order)
-    if existing is None:
-        return once
-    if ids_first:
-        return without_known(once, existing, keys, asked=batch)
-    return once.join(existing.select(*keys), keys, "left_anti")
+    once = first_per_key(batch.dropna(subset=keys), keys, order)
+    return once if existing is None else without_known(once, existing, keys)
 
 
 def insert_interactions(
-    batch: DataFrame, existing: DataFrame | None = None, order: Sequence[Column] | None = None, ids_first: bool = True
+    batch: DataFrame, existing: DataFrame | None = None, order: Sequence[Column] | None = None
 ) -> DataFrame:
-    return new_rows(batch, INTERACTION_KEY, existing, order, ids_first)
+    return new_rows(batch, INTERACTION_KEY, existing, order)
 
 
 def rejected_interactions(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """interaction_id and number of rows that an insert of batch refuses."""
+    """interaction_id and number of rows that an insert of batch refuses; all of those without an id."""
     seen = batch.groupBy(*INTERACTION_KEY).agg(F.count(F.lit(1)).alias("rows"))
     if existing is None:
-        refused = seen.withColumn("rejected", F.col("rows") - 1)
+        refused = seen.withColumn("rejected", F.col("rows") - F.col("interaction_id").isNotNull().cast("int"))
     else:
         known = existing.select(*INTERACTION_KEY, F.lit(1).alias("_known")).distinct()
         refused = seen.join(known, INTERACTION_KEY, "left").withColumn(
-            "rejected", F.col("rows") - F.when(F.col("_known").isNull(), 1).otherwise(0)
+            "rejected", F.col("rows") - F.when(F.col("_known").isNull() & F.col("interaction_id").isNotNull(), 1).otherwise(0)
         )
     return refused.where("rejected > 0").select(*INTERACTION_KEY, "rejected")
 

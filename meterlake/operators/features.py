@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
-from meterlake.functions.filters import for_key, trailing_days
+from meterlake.functions.filters import as_date, entity_in, for_key, trailing_days
 from meterlake.functions.keyed import latest_per_key, skew_join
 from meterlake.functions.order_stats import running_counts
 from meterlake.operators.analytics import offline_features
@@ -34,7 +34,7 @@ def _once(df: DataFrame, count_duplicates: bool) -> DataFrame:
     if count_duplicates:
         return df
     needed = ["interaction_id", "user_id", "model", "timestamp", "total_tokens", "cost_usd", "latency_ms"]
-    return insert_interactions(df.select(*needed), ids_first=False)
+    return insert_interactions(df.select(*needed))
 
 
 def online_features_lifetime(df: DataFrame, count_duplicates: bool = True) -> DataFrame:
@@ -136,14 +136,13 @@ def online_with_fallback(
     key = ["entity_id", "feature_name"]
     names = list(names)
     wanted = F.col("feature_name").isin(names)
-    both = online.where(wanted).select(*key, F.col("value").alias("hot")).join(
-        warm.where(wanted).select(*key, F.col("value").alias("warm")), key, "full_outer"
-    )
     asked = requests.withColumn("feature_name", F.explode(F.array(*[F.lit(n) for n in names])))
     served = (
         F.when(F.col("hot").isNotNull(), "hot").when(F.col("warm").isNotNull(), "warm").otherwise("none")
     )
-    return skew_join(asked, both, key, "left").select(
+    found = skew_join(asked, online.where(wanted).select(*key, F.col("value").alias("hot")), key, "left")
+    found = skew_join(found, warm.where(wanted).select(*key, F.col("value").alias("warm")), key, "left")
+    return found.select(
         *requests.columns, "feature_name", F.coalesce("hot", "warm").alias("value"), served.alias("served_from")
     )
 
@@ -160,12 +159,10 @@ def feature_history(features: DataFrame, entity_id: str, feature_name: str, as_o
 
 
 def feature_histories(features: DataFrame, keys: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """History of many (entity_id, feature_name) keys in one job."""
+    """History of many (entity_id, feature_name) keys in one job; in no order, as it may be of any size."""
     wanted = keys.select("entity_id", "feature_name")
     rows = skew_join(trailing_days(features, as_of, days), wanted, ["entity_id", "feature_name"], "left_semi")
-    return rows.select("entity_id", "feature_name", "timestamp", "value").orderBy(
-        "entity_id", "feature_name", "timestamp"
-    )
+    return rows.select("entity_id", "feature_name", "timestamp", "value")
 
 
 def latest_feature_values(features: DataFrame) -> DataFrame:
@@ -204,14 +201,15 @@ def rolling_features(df: DataFrame, days: int = 7, **options) -> DataFrame:
 
     Every call enters the sum at t and leaves it just after t + days, so the
     window is one running sum of exact numbers, computed in blocks that are cut
-    by quantiles. No frame is rescanned and no user has to fit one task.
+    by quantiles. No frame is rescanned and no user has to fit one task. Calls
+    without a user are a group of their own.
     """
     span = days * 86_400_000_000
     # Cost as whole millionths and the rest in millionths of those: exact sums of
     # whole numbers, which are much cheaper than wide decimals.
     millionths = F.floor(F.col("cost_usd") * 1e6)
     rest = F.round((F.col("cost_usd") * 1e6 - millionths) * 1e6).cast("long")
-    calls = df.where(F.col("user_id").isNotNull()).groupBy("user_id", S.micros("timestamp").alias("at")).agg(
+    calls = df.groupBy("user_id", S.micros("timestamp").alias("at")).agg(
         F.count(F.lit(1)).alias("calls"),
         F.sum(F.length("prompt").cast("long")).alias("chars"),
         F.sum(F.col("total_tokens").cast("long")).alias("tokens"),
@@ -243,9 +241,20 @@ def rolling_features(df: DataFrame, days: int = 7, **options) -> DataFrame:
 def offline_feature_view(
     df: DataFrame, entity_ids=None, start=None, end=None, days: int = 7, name: str | None = None
 ) -> DataFrame:
-    """Training rows: totals since start with the newest rolling figures per entity."""
+    """Training rows: totals from start to end with the rolling figures at the newest call up to end.
+
+    Nothing after end is looked at. Dates and entities are filtered before the
+    rolling figures, so that they reach the scan: of the days before start only
+    those that a window from start on can reach back to are needed, and an
+    entity without a call since start has no totals either.
+    """
     totals = offline_features(df, entity_ids, start, end)
-    rolling = latest_per_key(rolling_features(df, days), ["user_id"], ["timestamp"])
+    known = df if entity_ids is None else entity_in(df, entity_ids)
+    if end is not None:
+        known = known.where(F.col("date") <= as_date(end))
+    if start is not None:
+        known = known.where(F.col("date") >= F.date_sub(as_date(start), days))
+    rolling = latest_per_key(rolling_features(known, days), ["user_id"], ["timestamp"])
     rolling = rolling.withColumnRenamed("user_id", "entity_id").drop("timestamp")
     view = totals.join(rolling, "entity_id", "left")
     if name:

@@ -101,7 +101,7 @@ def d3(spark, folder):
 @query("D3_ks_pvalue_exact")
 def d3_exact(spark, folder):
     # No SQL form: the exact small-sample value is a recursion over lattice paths.
-    result = D.with_pvalue(D.ks_statistic(by_type(spark, folder)))
+    result = D.with_pvalue(D.ks_statistic(by_type(spark, folder)), exact=True)
     return rounded(result.select(*D.KEY, "n_hist", "n_cur", "ks_pvalue", "ks_method"), "ks_pvalue")
 
 
@@ -128,18 +128,25 @@ def d5(spark, folder):
 
 
 def _check(prefix: str) -> str:
-    return f"""{prefix}, m AS (SELECT feature_name, entity_id, {_RAW_MOMENTS} FROM samples GROUP BY 1, 2)
-SELECT feature_name, entity_id, {_STATUS.format(t="0.1")} AS drift_status, round(psi, 7) AS drift_score,
-  0.1::DOUBLE AS threshold, {_MOMENTS},
+    """All keys; those with only one of the samples have score 0 and no figures."""
+    moments = ", ".join(f"CASE WHEN psi IS NOT NULL THEN round({c}, 7) END AS {c}" for c in _MOMENT_NAMES)
+    return f"""{prefix}, m AS (SELECT feature_name, entity_id, {_RAW_MOMENTS} FROM samples GROUP BY 1, 2),
+x AS (SELECT *, n_hist::DOUBLE * n_cur / (n_hist + n_cur) * ks_statistic * ks_statistic AS x2 FROM ks)
+SELECT feature_name, entity_id, {_STATUS.format(t="0.1")} AS drift_status, round(coalesce(psi, 0), 7) AS drift_score,
+  0.1::DOUBLE AS threshold, {moments},
   '2024-01-24 00:00:00' AS window_start, '2024-01-31 00:00:00' AS window_end, round(ks_statistic, 7) AS ks_statistic,
-  psi > 0.1 AS drift_detected,
-  round(CASE WHEN historical_mean <> 0 AND current_mean <> 0
+  CASE WHEN psi IS NOT NULL THEN round({_TAIL}, 7) END AS ks_pvalue,
+  CASE WHEN psi IS NOT NULL THEN 'asymptotic' END AS ks_method,
+  CASE WHEN psi IS NOT NULL THEN 'PSI + KS Test' ELSE 'insufficient data' END AS method,
+  coalesce(psi, 0) > 0.1 AS drift_detected,
+  round(CASE WHEN psi IS NOT NULL AND historical_mean <> 0 AND current_mean <> 0
     THEN (current_mean - historical_mean) / historical_mean * 100 END, 4) AS mean_change_percent
-FROM scores JOIN ks USING (feature_name, entity_id) JOIN m USING (feature_name, entity_id)"""
+FROM m LEFT JOIN scores USING (feature_name, entity_id) LEFT JOIN x USING (feature_name, entity_id)"""
 
 
 def _checked(result):
-    result = rounded(result.drop("details", "ks_pvalue"), "drift_score", "ks_statistic", *_MOMENT_NAMES)
+    result = result.withColumns({"method": F.col("details")["method"], "ks_method": F.col("details")["ks_method"]})
+    result = rounded(result.drop("details"), "drift_score", "ks_statistic", "ks_pvalue", *_MOMENT_NAMES)
     result = rounded(result, "mean_change_percent", digits=4)
     return result.withColumns({c: text(c) for c in ("window_start", "window_end")})
 
@@ -156,9 +163,7 @@ def d7(spark, folder):
     rows = calls(spark, folder).select(
         F.col("operation").alias("feature_name"), F.col("user_id").alias("entity_id"), "date",
         F.col("latency_ms").cast("string").alias("value"))
-    result = D.drift_from_history(rows, AS_OF, exact=False)
-    # Keys with only one of the samples report no drift with score 0; the SQL has the others.
-    return _checked(result.where(F.col("historical_mean").isNotNull()))
+    return _checked(D.drift_from_history(rows, AS_OF))
 
 
 @query("D7_unparsed_values", f"""{CALLS}

@@ -59,7 +59,7 @@ def e1(spark, folder):
 
 
 @query("E2_embed_misses", f"""{_REQ}, {_LIVE}
-SELECT DISTINCT model, {sql_cache_key('text', 'model')} AS cache_key, 384 AS dimension, 1.0::DOUBLE AS norm
+SELECT DISTINCT model, {sql_cache_key('text', 'model', 64)} AS cache_key, 384 AS dimension, 1.0::DOUBLE AS norm
 FROM req r WHERE NOT EXISTS (SELECT 1 FROM live l WHERE r.text = l.text AND r.model = l.model)""")
 def e2(spark, folder):
     wanted = E.misses(requests(spark, folder), stored(spark, folder), NOW)
@@ -136,7 +136,7 @@ def e8(spark, folder):
 
 
 @query("U3_pluggable_embedder", f"""{_REQ}
-SELECT DISTINCT {sql_cache_key('text', 'model')} AS cache_key, length(text)::DOUBLE AS chars, length(model)::DOUBLE AS salt
+SELECT DISTINCT {sql_cache_key('text', 'model', 64)} AS cache_key, length(text)::DOUBLE AS chars, length(model)::DOUBLE AS salt
 FROM req""")
 def u3(spark, folder):
     import numpy as np

@@ -170,9 +170,12 @@ def o7(spark, folder):
 
 
 @query("O8_materialize_features", f"""{CALLS}, t AS (
-SELECT user_id, count(*)::VARCHAR AS n, sum(total_tokens)::VARCHAR AS tokens FROM calls GROUP BY user_id),
+SELECT user_id, count(*)::DOUBLE AS n, sum(total_tokens)::DOUBLE AS tokens, round(sum(cost_usd), 7) AS cost,
+  round(avg(latency_ms), 7) AS latency FROM calls GROUP BY user_id),
 f AS (SELECT user_id AS entity_id, 'interaction_count' AS feature_name, n AS value FROM t
-  UNION ALL SELECT user_id, 'total_tokens', tokens FROM t)
+  UNION ALL SELECT user_id, 'total_tokens', tokens FROM t
+  UNION ALL SELECT user_id, 'total_cost', cost FROM t
+  UNION ALL SELECT user_id, 'avg_latency', latency FROM t)
 SELECT 'features' AS target, entity_id, feature_name, value, '2024-01-30 12:00:00' AS at FROM f
 UNION ALL SELECT 'online', entity_id, feature_name, value, '2024-01-30 12:05:00' FROM f""")
 def o8(spark, folder):
@@ -180,8 +183,8 @@ def o8(spark, folder):
     columns = ["entity_id", "feature_name", "value"]
     both = features.select(F.lit("features").alias("target"), *columns, text("timestamp").alias("at")).union(
         online.select(F.lit("online"), *columns, text("expires_at")))
-    # Sums of doubles as text differ in the last digit between runs; the whole numbers do not.
-    return both.where("feature_name IN ('interaction_count', 'total_tokens')")
+    # Sums of doubles as text differ in the last digit between runs.
+    return both.withColumn("value", F.round(F.col("value").cast("double"), 7))
 
 
 _ROLL = """SELECT DISTINCT user_id, "timestamp", count(*) OVER w AS interaction_count_7d,
@@ -199,14 +202,17 @@ def o9(spark, folder):
     return rolled.withColumn("timestamp", text("timestamp"))
 
 
+_VIEW_USERS = [f"user_{i}" for i in range(0, 40, 2)]
+
+
 @query("O10_offline_feature_view", f"""{CALLS}, r AS ({_ROLL}),
-last AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) = 1),
+last AS (SELECT * FROM r WHERE "timestamp"::DATE <= DATE '2024-01-20' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) = 1),
 t AS (SELECT user_id, count(*) AS interaction_count, round(sum(cost_usd), 7) AS total_cost,
   sum(total_tokens)::BIGINT AS total_tokens, round(avg(latency_ms), 7) AS avg_latency FROM calls
-  WHERE date >= DATE '2024-01-10' GROUP BY user_id)
+  WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND user_id IN ({str(_VIEW_USERS)[1:-1]}) GROUP BY user_id)
 SELECT user_id AS entity_id, interaction_count, total_cost, total_tokens, avg_latency, interaction_count_7d,
   avg_prompt_length_7d, avg_tokens_per_request_7d, total_cost_7d FROM t LEFT JOIN last USING (user_id)""")
 def o10(spark, folder):
-    O.offline_feature_view(calls(spark, folder), None, "2024-01-10", name="training_features")
+    O.offline_feature_view(calls(spark, folder), _VIEW_USERS, "2024-01-10", "2024-01-20", name="training_features")
     view = spark.sql("SELECT * FROM training_features").drop("first_interaction", "last_interaction")
     return rounded(view, "total_cost", "avg_latency", *_ROLL_NAMES)

@@ -65,9 +65,9 @@ def _sql_json(column: str) -> str:
     )
 
 
-def sql_cache_key(text_column: str, model: str) -> str:
+def sql_cache_key(text_column: str, model: str, digits: int = 16) -> str:
     body = f"'[' || {_sql_json(text_column)} || ', ' || {_sql_json(model)} || ']'"
-    return f"'embedding:' || substr(sha256({body}), 1, 16)"
+    return f"'embedding:' || substr(sha256({body}), 1, {digits})"
 
 
 @query("P6_cache_key", f"""
@@ -219,7 +219,8 @@ SELECT doc_id, EXISTS (SELECT 1 FROM documents b WHERE b.text = a.text AND b.lan
 def j2(spark, folder):
     asked = E.with_cache_key(_requests(spark, folder))
     cached = asked.where("lang = 'en'").select("cache_key").distinct().withColumn("cache_hit", F.lit(True))
-    found = asked.join(cached, "cache_key", "left")
+    # One text may make up most of the requests.
+    found = skew_join(asked, cached, ["cache_key"], "left")
     return found.select(F.col("request_id").alias("doc_id"), F.coalesce("cache_hit", F.lit(False)).alias("cache_hit"))
 
 

@@ -44,8 +44,9 @@ def _stream(spark, source, topic, path, max_offsets, servers, options) -> DataFr
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_offsets)
         )
+        if max_offsets is not None:
+            reader = reader.option("maxOffsetsPerTrigger", max_offsets)
         raw = reader.options(**options).load()
         return raw.select(
             F.col("value").cast("string").alias("value"),
@@ -66,13 +67,13 @@ def stream_interactions(
     path: str | None = None,
     topic: str = TOPIC_INTERACTIONS,
     servers: str = "localhost:9092",
-    max_offsets: int = 100,
+    max_offsets: int | None = None,
     **options,
 ) -> DataFrame:
     """Raw JSON messages of the interaction topic, or of a folder of JSON lines.
 
-    max_offsets is the number of records taken per trigger from a broker. The
-    default is the small poll of a single consumer; raise it on a cluster.
+    max_offsets limits the number of records taken per trigger from a broker; by
+    default a trigger takes all there are.
     """
     return _stream(spark, source, topic, path, max_offsets, servers, options)
 
@@ -83,7 +84,7 @@ def stream_embedding_requests(
     path: str | None = None,
     topic: str = TOPIC_EMBEDDING_REQUESTS,
     servers: str = "localhost:9092",
-    max_offsets: int = 100,
+    max_offsets: int | None = None,
     **options,
 ) -> DataFrame:
     return _stream(spark, source, topic, path, max_offsets, servers, options)

@@ -42,7 +42,7 @@ def accepted_rows(batch: DataFrame, facts: VersionedTable) -> DataFrame:
     The batch ids go to the scan of the facts (as a broadcast when they are
     few), so the fact table is filtered in place and not exchanged.
     """
-    once = insert_interactions(batch, ids_first=False)
+    once = insert_interactions(batch)
     if not facts._visible(None):
         return once
     ids = checked_broadcast(batch.select(*INTERACTION_KEY).distinct())
@@ -96,9 +96,11 @@ def start_online_features(
     """Lifetime totals per user, published for the users of each batch.
 
     The totals live in the state store and full values are written, so a
-    repeated batch publishes the same entries again.
+    repeated batch publishes the same entries again. So do the ids that were
+    counted, however late a row is; use the RocksDB state store for that.
     """
-    totals = online_features_lifetime(streaming_dedupe(interactions))
+    # Without a watermark: a late row counts, as it does in the facts.
+    totals = online_features_lifetime(interactions.dropDuplicates(INTERACTION_KEY))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         publish_online_features(online_rows(batch, LIFETIME_NAMES, _now()), online)

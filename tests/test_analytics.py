@@ -159,3 +159,11 @@ def test_budget_levels(make_calls):
 def test_daily_cost_limit_is_exclusive(make_calls):
     rows = make_calls([day(1, 10.0), day(2, 10.5)])
     assert [r.at for r in R.daily_cost(rows).collect()] == ["2024-01-02"]
+
+
+def test_percentiles_keep_the_null_group(spark):
+    rows = spark.createDataFrame([(None if i % 5 == 0 else f"op{i % 2}", float(i)) for i in range(1000)], "operation string, duration_ms double")
+    for options in ({}, {"rows_per_cut": 50}):
+        got = {r.operation: r for r in A.latency_percentiles(rows, **options).collect()}
+        assert sum(r["count"] for r in got.values()) == 1000 and set(got) == {None, "op0", "op1"}
+        assert got[None].p50 == 500.0 and got[None]["max"] == 995.0

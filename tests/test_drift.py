@@ -90,7 +90,7 @@ def test_large_counts_do_not_overflow(spark):
 
 def test_methods_agree_for_middle_sizes(spark):
     rows = spark.createDataFrame([(0.05, 2000, 3000)], "ks_statistic double, n_hist long, n_cur long")
-    exact, limit = D.with_pvalue(rows).first(), D.with_pvalue(rows, exact=False).first()
+    exact, limit = D.with_pvalue(rows, exact=True).first(), D.with_pvalue(rows).first()
     assert exact.ks_method == "exact" and exact.ks_pvalue == pytest.approx(limit.ks_pvalue, abs=0.002)
 
 
@@ -138,3 +138,11 @@ def test_control_limits(spark):
     limits = D.spc_limits(rows).first()
     assert (limits.center, limits.sigma, limits.lower_limit, limits.upper_limit) == (1.0, 1.0, -2.0, 4.0)
     assert sorted(r.value for r in D.spc_violations(rows).collect()) == [-2.1, 4.1]
+
+
+def test_null_entities_are_a_key(spark):
+    rows = [("f", None if i % 2 else "e", D.HISTORICAL if i < 300 else D.CURRENT, float(i % 97)) for i in range(600)]
+    samples = spark.createDataFrame(rows, "feature_name string, entity_id string, side string, value double")
+    got = {r.entity_id: r for r in D.check_drift(samples, "2024-01-31").collect()}
+    assert set(got) == {None, "e"} and all(r.details["method"] == "PSI + KS Test" for r in got.values())
+    assert all(r.details["ks_method"] == "asymptotic" for r in got.values())

@@ -148,3 +148,15 @@ def test_view_has_every_entity(make_calls):
     view = O.offline_feature_view(rows, ["a", "b"], "2024-01-01", name="train")
     assert view.count() == 2
     assert rows.sparkSession.table("train").where(F.col("interaction_count_7d") == 1).count() == 2
+
+
+def test_view_does_not_see_past_its_end(make_calls):
+    day = timedelta(days=1)
+    rows = [{"user_id": u, "timestamp": START + i * day, "date": (START + i * day).date(), "cost_usd": float(2**i)}
+            for u in ("a", "b") for i in range(12)]
+    calls = make_calls(rows)
+    end, start = (START + 6 * day).date(), (START + 2 * day).date()
+    got = O.offline_feature_view(calls, ["a"], str(start), str(end)).collect()
+    want = O.offline_feature_view(calls.where(F.col("date") <= F.lit(end)), ["a"], str(start)).collect()
+    assert got == want and len(got) == 1 and got[0].interaction_count == 5
+    assert got[0].total_cost_7d == sum(2.0**i for i in range(7))

@@ -85,32 +85,35 @@ def test_feature_rows(spark):
 
 def test_one_id_with_most_rows(make_calls):
     rows = make_calls([{"interaction_id": "hot", "cost_usd": float(i)} for i in range(400)] + [{} for _ in range(10)])
-    once = facts.insert_interactions(rows, ids_first=False)
+    once = facts.insert_interactions(rows)
     plan = once._jdf.queryExecution().executedPlan().toString()
     # Limited before the exchange and after it.
     assert plan.count("WindowGroupLimit") == 2
     got = {r.interaction_id: r.cost_usd for r in once.collect()}
     assert got["hot"] == 0.0 and len(got) == 11
-    assert facts.insert_interactions(rows).exceptAll(once).count() == 0
 
 
-def test_few_repeats_leave_the_rows_in_place(make_calls):
-    rows = make_calls([{"interaction_id": "twice"}, {"interaction_id": "twice"}] + [{} for _ in range(20)])
-    table = make_calls([{"interaction_id": "i5"}])
-    new = facts.insert_interactions(rows, table)
-    assert new.count() == 20 and new.where("interaction_id = 'i5'").count() == 0
-    plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
-    # Three joins of whole rows against few keys; what is exchanged has no texts.
-    assert plan.count("BroadcastHashJoin [interaction_id") >= 3
+def test_rows_without_an_id_are_refused(make_calls):
+    rows = make_calls([{"interaction_id": "a"}, {"interaction_id": "a"}, {}, {}, {}])
+    rows = rows.withColumn("interaction_id", F.when(F.col("interaction_id") == "a", "a"))
+    assert [r.interaction_id for r in facts.insert_interactions(rows).collect()] == ["a"]
+    assert [r.interaction_id for r in facts.insert_interactions(rows, make_calls([{}])).collect()] == ["a"]
+    refused = {r.interaction_id: r.rejected for r in facts.rejected_interactions(rows).collect()}
+    assert refused == {"a": 1, None: 3}
 
 
-@pytest.mark.parametrize("ids_first", [True, False])
-def test_insert_against_brute_force(make_calls, ids_first):
+def test_insert_reads_each_side_once(spark, folder):
+    rows = spark.read.parquet(f"{folder}/events.parquet").withColumn("timestamp", F.col("ts"))
+    new = facts.new_rows(rows, ["event_id"], rows.where("event_type = 'view'"))
+    assert new._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_insert_against_brute_force(make_calls):
     rows = [{"interaction_id": f"x{i * i % 37}", "cost_usd": float(i)} for i in range(120)]
     table = make_calls([{"interaction_id": f"x{i}"} for i in range(0, 37, 4)])
     want = {}
     for r in rows:
         if int(r["interaction_id"][1:]) % 4 != 0:
             want.setdefault(r["interaction_id"], r["cost_usd"])
-    got = facts.insert_interactions(make_calls(rows), table, ids_first=ids_first).collect()
+    got = facts.insert_interactions(make_calls(rows), table).collect()
     assert {r.interaction_id: r.cost_usd for r in got} == want and len(got) == len(want)
