@@ -33,6 +33,27 @@ HEADLINE = [
 PUBLISHED = HEADLINE[:4]
 
 
+# Queries whose time is compared with that on a tenth of the data.
+GROWTH = [*PUBLISHED, "S5_insert_interactions"]
+
+
+def growth(spark, catalog, folder, times):
+    """Time here over time on the folder with a tenth of the rows, where there is one."""
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        smaller = os.path.join(os.path.dirname(folder.rstrip("/")), f"sf{float(name) / 10:g}")
+    except ValueError:
+        return {}
+    ratios = {}
+    for query in GROWTH if os.path.isdir(smaller) else []:
+        if query in times:
+            consume(catalog[query].run(spark, smaller))
+            start = time.perf_counter()
+            consume(catalog[query].run(spark, smaller))
+            ratios[query] = round(times[query] / (time.perf_counter() - start), 2)
+    return ratios
+
+
 def consume(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -58,6 +79,7 @@ def main():
             times[name] = round(time.perf_counter() - start, 3)
         except Exception as error:  # one broken query must not hide the others
             failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
+    ratios = growth(spark, catalog, folder, times)
     result = {
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
@@ -67,6 +89,8 @@ def main():
         "interactions": calls,
         "rows_per_sec": {n: round(calls / times[n]) for n in PUBLISHED if n in times},
     }
+    if ratios:
+        result["time_ratio_to_a_tenth"] = ratios
     if failed:
         result["failed"] = failed
     print(json.dumps(result))

@@ -28,6 +28,12 @@ def check_lookback(days: int) -> int:
     return days
 
 
+def lookback_verdict(days: str) -> Column:
+    """The same rule for a column of look-backs: error, warning or ok; null is an error."""
+    value = F.col(days)
+    return F.when(value.isNull() | (value <= 0), "error").when(value > 365, "warning").otherwise("ok")
+
+
 def trailing_days(df: DataFrame, as_of, days: int, column: str = "date") -> DataFrame:
     """Rows on or after as_of - days. There is no upper bound."""
     check_lookback(days)

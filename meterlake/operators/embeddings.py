@@ -123,6 +123,11 @@ def cache_table(spark, root: str) -> VersionedTable:
     return VersionedTable(spark, root, partition_by=None)
 
 
+def compact_cache(cache: VersionedTable, as_of) -> int | None:
+    """Rewrite the cache with the newest entry of every key, without those that have expired."""
+    return cache.write(current_entries(cache.read(), as_of), "overwrite")
+
+
 def _responses(requests: DataFrame, entries: DataFrame, known: DataFrame | None, as_of) -> DataFrame:
     entries = entries.select("cache_key", "embedding")
     if known is None:

@@ -101,6 +101,16 @@ def e5(spark, folder):
     return rounded(E.embedding_batch_metrics(found, MODEL), "cache_hit_rate", "cost_saved_usd")
 
 
+@query("E5_without_cache", f"""{_REQ}
+SELECT count(*) AS total_requests, 0 AS cache_hits, count(*) AS cache_misses, 0::DOUBLE AS cache_hit_rate,
+  0::DOUBLE AS cost_saved_usd, '{MODEL}' AS model FROM req""")
+def e5_without_cache(spark, folder):
+    table = E.cache_table(spark, work_folder(spark, "cache"))
+    table.write(stored(spark, folder))
+    responses, _ = E.embed_requests(requests(spark, folder), table, NOW, use_cache=False)
+    return rounded(E.embedding_batch_metrics(responses, MODEL), "cache_hit_rate", "cost_saved_usd")
+
+
 @query("E6_get_many", f"""{_LIVE.replace('live AS', 'WITH live AS')}
 SELECT doc_id AS position, l.n_chars::DOUBLE AS stored FROM documents d LEFT JOIN live l
   ON d.text = l.text AND CASE WHEN d.lang = 'de' THEN 'multilingual' ELSE 'all-MiniLM-L6-v2' END = l.model""")

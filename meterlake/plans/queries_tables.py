@@ -269,6 +269,19 @@ def s15(spark, folder):
     return N.visible(_entries(spark, folder), NOON).select("entity_id", "feature_name", text("expires_at"))
 
 
+@query("S16_delete_key", """WITH asked(entity_id) AS (VALUES ('user_7'), ('nobody'))
+SELECT entity_id, EXISTS (SELECT 1 FROM events WHERE concat('user_', user_id::VARCHAR) = entity_id) AS existed,
+  (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events) e
+   WHERE concat('user_', e.user_id::VARCHAR) <> entity_id) AS stay FROM asked""")
+def s16_key(spark, folder):
+    entries, found = _entries(spark, folder), []
+    for key in ("user_7", "nobody"):
+        stay, existed = N.delete_key(entries, key, "entity_id")
+        found.append(existed.select(
+            F.lit(key).alias("entity_id"), "existed", stay.agg(F.count("*").alias("n")).scalar().alias("stay")))
+    return found[0].union(found[1])
+
+
 @query("S16_delete_by_pattern", f"""{CALLS}, k AS (
 SELECT DISTINCT 'feature:' || user_id || ':' || operation AS key FROM calls)
 SELECT 'kept' AS outcome, key, 1::BIGINT AS n FROM k WHERE NOT regexp_matches(key, '^feature:user_1.:c[^a-k]*')

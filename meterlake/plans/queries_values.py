@@ -195,6 +195,15 @@ def f5(spark, folder):
     return rows.select("event_id", F.col("value").isNotNull().alias("has_value"))
 
 
+@query("V8_lookback_check", """
+SELECT event_id, (event_id % 800)::INT - 200 AS days,
+  CASE WHEN event_id % 800 - 200 <= 0 THEN 'error' WHEN event_id % 800 - 200 > 365 THEN 'warning' ELSE 'ok' END AS verdict
+FROM events""")
+def v8(spark, folder):
+    rows = read_table(spark, folder, "events").select("event_id", ((F.col("event_id") % 800).cast("int") - 200).alias("days"))
+    return rows.withColumn("verdict", filters.lookback_verdict("days"))
+
+
 # --- joins ------------------------------------------------------------------
 
 

@@ -271,15 +271,15 @@ def move_to_archive(facts: DataFrame, archive: Archive, as_of, days: int = ARCHI
     """Archive the rows older than days, and return what stays in the warm table.
 
     Rows already in the archive are not written twice, so a move that failed
-    before the warm table was rewritten can be repeated.
+    before the warm table was rewritten can be repeated. A move writes the
+    moved rows and nothing else, whatever the archive holds already.
     """
     old, keep = split_by_age(facts, as_of, days)
     if archive._visible(None):
         cutoff = F.date_sub(as_date(as_of), days)
         done = archive.read().where(F.col("date") < cutoff)
         old = without_known(old, done, ["interaction_id"])
-    if archive.write_interactions(old) is not None:
-        archive.optimize()
+    archive.write_interactions(old)
     return keep
 
 

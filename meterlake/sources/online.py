@@ -1,8 +1,8 @@
 """Online feature entries: long rows with an expiry, merged on read.
 
 Publishing appends; the newest entry per (entity, feature) counts. So an
-update costs what it writes, however large the table is, and compacting the
-table from time to time bounds what a read has to merge.
+update costs what it writes, however large the table is, and compact_online
+from time to time bounds what a read has to merge.
 """
 
 from __future__ import annotations
@@ -60,6 +60,11 @@ def publish_online_features(updates: DataFrame, table: VersionedTable) -> int |
     return table.write(merge_online(None, updates))
 
 
+def compact_online(table: VersionedTable, as_of) -> int | None:
+    """Rewrite the table with the newest entry of every key, without those that have expired."""
+    return table.write(read_online(table, as_of), "overwrite")
+
+
 def read_online(table: VersionedTable, as_of) -> DataFrame:
     return visible(merge_online(None, table.read()), as_of)
 
@@ -84,8 +89,7 @@ def delete_by_pattern(df: DataFrame, pattern: str, column: str = "feature_name")
     )
 
 
-def delete_key(df: DataFrame, key: str, column: str) -> tuple[DataFrame, bool]:
-    """(entries that stay, whether the key existed)."""
-    hit = F.col(column) == key
-    existed = not df.where(hit).isEmpty()
-    return df.where(~F.coalesce(hit, F.lit(False))), existed
+def delete_key(df: DataFrame, key: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """(entries that stay, one row that says whether the key existed)."""
+    hit = F.coalesce(F.col(column) == key, F.lit(False))
+    return df.where(~hit), df.agg(F.coalesce(F.bool_or(hit), F.lit(False)).alias("existed"))

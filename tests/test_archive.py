@@ -147,10 +147,24 @@ def test_delete(spark):
         with pytest.raises(ValueError):
             N.key_matches(bad)
     kept, existed = N.delete_key(df, "test:other", "key")
-    assert existed and kept.count() == 3
-    assert N.delete_key(df, "nothing", "key")[1] is False
+    assert existed.first().existed and kept.count() == 3
+    assert N.delete_key(df, "nothing", "key")[1].first().existed is False
 
 
 def test_table_without_rows(spark, tmp_path):
     with pytest.raises(ValueError):
         VersionedTable(spark, str(tmp_path / "none")).read()
+
+
+def test_compacting_keeps_the_newest_entries(spark, tmp_path):
+    table = N.online_table(spark, str(tmp_path / "online"))
+    wide = spark.createDataFrame([("a", 1), ("b", 2)], "user_id string, n int")
+    for hour in (1, 2, 3):
+        N.publish_online_features(N.online_rows(wide, ["n"], datetime(2024, 1, 1, hour), 7200), table)
+    old = N.online_rows(wide.where("user_id = 'a'").withColumn("user_id", F.lit("gone")), ["n"], datetime(2023, 1, 1))
+    N.publish_online_features(old, table)
+    before = N.read_online(table, datetime(2024, 1, 1, 4)).collect()
+    assert table.read().count() == 7
+    N.compact_online(table, datetime(2024, 1, 1, 4))
+    assert table.read().count() == 2
+    assert sorted(N.read_online(table, datetime(2024, 1, 1, 4)).collect()) == sorted(before)
