@@ -7,9 +7,9 @@ yields the segmentations in order of their scores and expands no path in vain.
 
 No piece crosses certain pairs of characters (a pair that occurs inside no
 piece, such as a letter and the space mark after it). The lattice of a text
-is a chain of the lattices between such places. Each part is searched once
-and kept, and the n best of the text are combined from the parts whose second
-choice costs least.
+is a chain of the lattices between such places. Each part's best two are
+searched once and kept, and the n best of the text are combined from those of
+the parts whose second choice costs least.
 
 Scores: the vocabulary has ranks, not probabilities. A piece of rank r has the
 log-probability -ln(r + 1) (Zipf's law), in steps of 2^-20, so that sums are
@@ -39,13 +39,15 @@ from meterlake.llm.common import tokenizer_file
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = 1 << 20
-CACHED_PARTS = 600_000
+CACHED_PARTS = 500_000
 BATCH = 8 << 20
 # A chain's coarse parts; finer ones are found from the vocabulary.
 COARSE = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 # Per path: score, pieces, ids as little-endian 32-bit bytes.
 Path = tuple[int, int, bytes]
+# The best path, and the loss of the second (None where there is none).
+Entry = tuple[int, int, bytes, int | None]
 
 
 class Lattice:
@@ -82,7 +84,7 @@ class Lattice:
         self.pairs = pairs
         if crossing:
             raise ValueError("the vocabulary has pieces across words or lines")
-        self.cache: dict[str, list[Path]] = {}
+        self.cache: dict[str, Entry] = {}
 
     def forward(self, text: str) -> tuple[list[list[tuple[int, int, tuple[int, ...]]]], list[int]]:
         """For every place, the pieces that end there (start, score, ids) and the best score from the start (Viterbi)."""
@@ -110,7 +112,7 @@ class Lattice:
                 best[start + 1] = max(best[start + 1], reached + score)
         return ends, best
 
-    def search(self, text: str) -> list[Path]:
+    def search(self, text: str, n: int) -> list[Path]:
         """The n best segmentations of one part, best first; equal ones in the order they are met.
 
         A path is followed from the end along best predecessors, at no loss
@@ -123,7 +125,7 @@ class Lattice:
         met, out = 0, []
         while waiting:
             loss, _, place, ids = waiting.pop(0)
-            room = self.n - 1 - len(out)
+            room = n - 1 - len(out)
             while place:
                 follow, reached = None, best[place]
                 for start, score, piece in ends[place]:
@@ -137,48 +139,56 @@ class Lattice:
                 place, piece = follow
                 ids = piece + ids
             out.append((best[-1] - loss, len(ids), array("I", ids).tobytes()))
-            if len(out) == self.n:
+            if len(out) == n:
                 break
         return out
 
-    def part(self, text: str) -> list[Path]:
-        """The n best of a coarse part, from those of its finer parts."""
-        found = self.cache.get(text)
+    def fine(self, part: str) -> list[str]:
+        """A coarse part, cut at pairs that occur in no piece."""
+        cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.pairs]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)]
+
+    def entry(self, part: str) -> Entry:
+        """The best of a part, and what its second choice loses."""
+        found = self.cache.get(part)
         if found is None:
-            cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in self.pairs]
-            if cuts:
-                fine = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
-                chain = [self.cache.get(x) or self.part(x) for x in fine]
-                found = chain[0] if all(len(c) == 1 for c in chain[1:]) else self.combine(chain)
-                if found is chain[0]:
-                    score, count = sum([c[0][0] for c in chain[1:]]), sum([c[0][1] for c in chain[1:]])
-                    rest = b"".join([c[0][2] for c in chain[1:]])
-                    found = [(s + score, m + count, ids + rest) for s, m, ids in found]
+            fine = self.fine(part)
+            if len(fine) > 1:
+                every = [self.cache.get(x) or self.entry(x) for x in fine]
+                losses = [e[3] for e in every if e[3] is not None]
+                ids = b"".join([e[2] for e in every])
+                found = (sum([e[0] for e in every]), sum([e[1] for e in every]), ids, min(losses, default=None))
             else:
-                found = self.search(text)
+                two = self.search(part, min(self.n, 2))
+                found = (*two[0], two[0][0] - two[1][0] if len(two) > 1 else None)
             if len(self.cache) >= CACHED_PARTS:
                 self.cache.clear()
-            self.cache[text] = found
+            self.cache[part] = found
         return found
 
-    def combine(self, chain: list[list[Path]]) -> list[Path]:
+    def paths(self, part: str) -> list[Path]:
+        fine = self.fine(part)
+        return self.chain(fine) if len(fine) > 1 else self.search(part, self.n)
+
+    def chain(self, parts: list[str]) -> list[Path]:
         """The n best of a chain of parts; ties to the earlier part's better choice.
 
         Only the n - 1 parts whose second choice loses least can take another than their best.
         """
-        score = sum([c[0][0] for c in chain])
-        count = sum([c[0][1] for c in chain])
-        loss = [(c[0][0] - c[1][0], i) for i, c in enumerate(chain) if len(c) > 1]
+        cached = self.cache
+        every = [cached.get(p) or self.entry(p) for p in parts]
+        score, count, ids = sum([e[0] for e in every]), sum([e[1] for e in every]), [e[2] for e in every]
+        loss = [(e[3], i) for i, e in enumerate(every) if e[3] is not None]
         open_ = sorted(i for _, i in heapq.nsmallest(self.n - 1, loss))
-        choices = itertools.product(*[range(len(chain[i])) for i in open_])
-        ranked = sorted((sum(chain[i][0][0] - chain[i][k][0] for i, k in zip(open_, pick, strict=True)), pick) for pick in choices)
-        ids = [c[0][2] for c in chain]
+        options = [self.paths(parts[i]) for i in open_]
+        choices = itertools.product(*[range(len(o)) for o in options])
+        ranked = sorted((sum(o[0][0] - o[k][0] for o, k in zip(options, pick, strict=True)), pick) for pick in choices)
         out = []
         for lost, pick in ranked[: self.n]:
             more = 0
-            for i, k in zip(open_, pick, strict=True):
-                ids[i] = chain[i][k][2]
-                more += chain[i][k][1] - chain[i][0][1]
+            for i, o, k in zip(open_, options, pick, strict=True):
+                ids[i] = o[k][2]
+                more += o[k][1] - o[0][1]
             out.append((score - lost, count + more, b"".join(ids)))
         return out
 
@@ -186,9 +196,7 @@ class Lattice:
         """The n best segmentations of a text; an empty one has the one without pieces."""
         if not text:
             return [(0, 0, b"")]
-        parts = COARSE.findall(SPACE + text.replace(" ", SPACE))
-        cached = self.cache
-        return self.combine([cached.get(p) or self.part(p) for p in parts])
+        return self.chain(COARSE.findall(SPACE + text.replace(" ", SPACE)))
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.surface.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
