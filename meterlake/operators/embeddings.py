@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -85,7 +86,9 @@ def embed_texts(
     batch_size: int = EMBEDDING_BATCH_SIZE,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Replace text by embedding. texts has cache_key, model, text and cache_ttl.
+    """Replace text by embedding and latency_ms, its share of the time of its batch.
+
+    texts has cache_key, model, text and cache_ttl.
 
     Encoding costs far more than moving a row, so rows are spread over a fixed
     number of partitions: adaptive execution would merge them by their bytes.
@@ -104,10 +107,12 @@ def embed_texts(
                     loaded[model] = factory(model)
                 for start in range(0, len(part), batch_size):
                     piece = part.iloc[start:start + batch_size]
+                    began = time.perf_counter()
                     vectors = np.asarray(loaded[model](piece["text"].tolist()), dtype=np.float32)
-                    yield piece.drop(columns="text").assign(embedding=list(vectors))
+                    each = (time.perf_counter() - began) * 1000 / len(piece)
+                    yield piece.drop(columns="text").assign(embedding=list(vectors), latency_ms=each)
 
-    schema = "cache_key string, model string, cache_ttl int, embedding array<float>"
+    schema = "cache_key string, model string, cache_ttl int, embedding array<float>, latency_ms double"
     rows = texts.select("cache_key", "model", F.col("cache_ttl").cast("int").alias("cache_ttl"), "text")
     return rows.repartition(parallel).mapInPandas(encode, schema)
 
@@ -129,7 +134,8 @@ def compact_cache(cache: VersionedTable, as_of) -> int | None:
 
 
 def _responses(requests: DataFrame, entries: DataFrame, known: DataFrame | None, as_of) -> DataFrame:
-    entries = entries.select("cache_key", "embedding")
+    took = F.col("latency_ms") if "latency_ms" in entries.columns else F.lit(None).cast("double")
+    entries = entries.select("cache_key", "embedding", took.alias("_took"))
     if known is None:
         entries = entries.withColumn("cache_hit", F.lit(False))
     else:
@@ -141,6 +147,8 @@ def _responses(requests: DataFrame, entries: DataFrame, known: DataFrame | None,
     found = skew_join(with_cache_key(requests), entries, ["cache_key"], "left")
     return found.select(
         "request_id", "embedding", "model", "cache_hit",
+        # A hit takes no time of the model.
+        F.when(F.col("cache_hit"), 0.0).otherwise(F.coalesce("_took", F.lit(0.0))).alias("latency_ms"),
         F.lit(0.0).alias("cost_usd"),
         F.lit(as_of).cast("timestamp_ntz").alias("timestamp"),
         S.dimension().alias("dimension"),

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from meterlake.operators import embeddings as E
+from meterlake.operators.validation import REASONS, validate_embedding_responses
 from meterlake.plans.catalog import documents, query, rounded, text
 from meterlake.plans.queries_values import sql_cache_key
 from meterlake.plans.session import work_folder
@@ -82,13 +83,25 @@ def e3(spark, folder):
 
 @query("E4_embed_requests", f"""{_REQ}, {_LIVE}
 SELECT request_id, r.model, l.text IS NOT NULL AS cache_hit, 0::DOUBLE AS cost_usd,
-  CASE WHEN l.text IS NOT NULL THEN 1 ELSE 384 END AS dimension
+  CASE WHEN l.text IS NOT NULL THEN 1 ELSE 384 END AS dimension, true AS accepted
 FROM req r LEFT JOIN live l ON r.text = l.text AND r.model = l.model""")
 def e4(spark, folder):
     table = E.cache_table(spark, work_folder(spark, "cache"))
     table.write(stored(spark, folder))
     responses, _ = E.embed_requests(requests(spark, folder), table, NOW)
-    return responses.select("request_id", "model", "cache_hit", "cost_usd", "dimension")
+    valid, refused = validate_embedding_responses(responses)
+    both = valid.withColumn("accepted", F.lit(True)).unionByName(refused.withColumn("accepted", F.lit(False)), True)
+    return both.select("request_id", "model", "cache_hit", "cost_usd", "dimension", "accepted")
+
+
+@query("E4_refused_requests", f"""{_REQ}, odd AS (
+SELECT request_id, CASE WHEN length(text) % 3 = 0 THEN '' ELSE text END AS text, model FROM req)
+SELECT request_id, true AS blank FROM odd WHERE text = ''""")
+def e4_refused(spark, folder):
+    table = E.cache_table(spark, work_folder(spark, "cache"))
+    odd = requests(spark, folder).withColumn("text", F.when(F.length("text") % 3 == 0, "").otherwise(F.col("text")))
+    _, refused = E.embed_requests(odd, table, NOW)
+    return refused.select("request_id", (F.size(REASONS) > 0).alias("blank"))
 
 
 @query("E5_embedding_batch_metrics", f"""{_REQ}, {_LIVE}, f AS (
