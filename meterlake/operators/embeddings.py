@@ -267,3 +267,43 @@ def vector_search(
     schema = f"query int, {id_column} {id_type}, score double"
     scored = corpus.select(id_column, embedding).mapInPandas(score, schema)
     return top_per_key(scored, ["query"], [F.desc("score"), F.col(id_column)], k)
+
+
+def nearest_of_all(
+    corpus: DataFrame, probes: DataFrame, k: int, id_column: str = "vec_id", embedding: str = "embedding",
+    probe_id: str = "probe_id", probe: str = "probe", parts: int = 8, blocks: int = 1, digits: int = 7,
+) -> DataFrame:
+    """probe_id, rank, id, score: each probe's k best rows of the whole corpus by dot product.
+
+    The corpus is dealt into parts and the probes into blocks, and every part
+    meets every block once, as one matrix product in a task; k rows per probe
+    leave it. There may be any number of probes. Rows of either side without an
+    id or vector take no part, ties go to the smaller id.
+    """
+    id_type, probe_type = (df.schema[c].dataType.simpleString() for df, c in ((corpus, id_column), (probes, probe_id)))
+    usable = F.col(id_column).isNotNull() & F.col(embedding).isNotNull()
+    rows = corpus.where(usable).select(
+        F.col(id_column).alias("id"), F.col(embedding).cast("array<double>").alias("vector"),
+        F.pmod(F.xxhash64(id_column), F.lit(parts)).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
+    )
+    asked = probes.where(F.col(probe_id).isNotNull() & F.col(probe).isNotNull()).select(
+        F.col(probe_id).alias("asked"), F.col(probe).cast("array<double>").alias("wanted"),
+        F.pmod(F.xxhash64(probe_id), F.lit(blocks)).alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
+    )
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            ids = left["id"].to_numpy()
+            scores = np.round(np.stack(right["wanted"].to_numpy()) @ np.stack(left["vector"].to_numpy()).T, digits)
+            for name, line in zip(right["asked"], scores, strict=True):
+                best = np.lexsort((ids, -line))[:k]
+                found.append(pd.DataFrame({"asked": name, "id": ids[best], "score": line[best]}))
+        return pd.concat(found) if found else pd.DataFrame({"asked": [], "id": [], "score": []})
+
+    schema = f"asked {probe_type}, id {id_type}, score double"
+    met = rows.groupBy("part", "block").cogroup(asked.groupBy("part", "block")).applyInPandas(score, schema)
+    best = top_per_key(met, ["asked"], [F.desc("score"), F.col("id")], k)
+    return best.select(F.col("asked").alias(probe_id), "rank", F.col("id").alias(id_column), "score")

@@ -158,6 +158,18 @@ def e8(spark, folder):
     return E.vector_top_k(vectors, E.centroids(vectors, "label"), 5, "label", digits=7)
 
 
+@query("E8_nearest_of_all", """WITH cells AS (
+SELECT label, i, avg(embedding[i]::DOUBLE) AS x FROM embeddings, range(1, 65) r(i) GROUP BY label, i),
+centers AS (SELECT label AS probe_id, list(x ORDER BY i) AS centroid FROM cells GROUP BY label),
+scored AS (SELECT probe_id, vec_id, round(list_inner_product(embedding::DOUBLE[], centroid), 7) AS score FROM embeddings, centers)
+SELECT probe_id, row_number() OVER (PARTITION BY probe_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5""")
+def e8_all(spark, folder):
+    vectors = read_table(spark, folder, "embeddings")
+    probes = E.centroids(vectors, "label").select(F.col("label").alias("probe_id"), F.col("centroid").alias("probe"))
+    return E.nearest_of_all(vectors, probes, 5)
+
+
 @query("U3_pluggable_embedder", f"""{_REQ}
 SELECT DISTINCT {sql_cache_key('text', 'model', 64)} AS cache_key, length(text)::DOUBLE AS chars, length(model)::DOUBLE AS salt
 FROM req""")

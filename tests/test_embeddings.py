@@ -134,3 +134,18 @@ def test_stats(spark):
         "cache_key string, model string, embedding array<float>, written_at timestamp_ntz, expires_at timestamp_ntz")
     stats = E.cache_stats(spark.createDataFrame([(True,)], "cache_hit boolean"), cache, NOW).first()
     assert (stats.entries, stats.bytes, stats.cache_hits) == (1, 12, 1)
+
+
+def test_nearest_of_all_against_numpy(spark):
+    rng = np.random.default_rng(4)
+    corpus = [(i, rng.normal(size=6).round(2).tolist()) for i in range(300)] + [(300, None)]
+    corpus.append((301, corpus[0][1]))
+    probes = [(i, rng.normal(size=6).round(2).tolist()) for i in range(40)] + [(40, None)]
+    got = E.nearest_of_all(
+        spark.createDataFrame(corpus, "vec_id long, embedding array<double>"),
+        spark.createDataFrame(probes, "probe_id long, probe array<double>"), 4, parts=3, blocks=5).collect()
+    want = []
+    for p, x in probes[:-1]:
+        scored = sorted((-round(float(np.dot(x, v)), 7), i) for i, v in corpus if v is not None)[:4]
+        want += [(p, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    assert sorted((r.probe_id, r["rank"], r.vec_id) for r in got) == sorted(w[:3] for w in want)
