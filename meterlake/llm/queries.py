@@ -87,6 +87,76 @@ def op6_pii_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_PII_MATCHES = " UNION ALL ".join(
+    f"SELECT rid, {n} AS kind, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gs FROM docs"
+    for n, p in enumerate(_PII_PATTERNS.values())
+)
+_PII_SIDE = r"""SELECT rid, kind, i, entity, context, '{side}' AS side, {offset} AS base, full_{side} AS whole,
+  unnest(string_split_regex({side}, '[^\p{{L}}]')) AS w, generate_subscripts(string_split_regex({side}, '[^\p{{L}}]'), 1) AS k,
+  len(string_split_regex({side}, '[^\p{{L}}]')) AS n FROM found"""
+OP6_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+matched AS ({_PII_MATCHES}),
+each AS (SELECT rid, kind, ms, gs, unnest(generate_series(1, len(ms))) AS i FROM matched WHERE len(ms) > 0),
+placed AS (
+  SELECT rid, kind, i, ms[i] AS value, right(gs[i], {pii.CONTEXT}) AS before, left(gs[i + 1], {pii.CONTEXT}) AS after,
+    (sum(length(gs[i]) + length(ms[i])) OVER (PARTITION BY rid, kind ORDER BY i))::BIGINT AS "end" FROM each),
+digits AS (SELECT *, "end" - length(value) AS "start", regexp_replace(value, '[^0-9]', '', 'g') AS d FROM placed),
+found AS (
+  SELECT *, kind::VARCHAR || ':' || lower(value) AS entity, before || chr(1) || after AS context,
+    length(before) = {pii.CONTEXT} AS full_before, length(after) = {pii.CONTEXT} AS full_after
+  FROM digits WHERE kind = 0
+    OR (kind = 1 AND len([x for x in string_split(value, '.') if length(ltrim(x, '0')) > 3 OR
+      (length(ltrim(x, '0')) = 3 AND ltrim(x, '0') > '255')]) = 0)
+    OR (kind = 2 AND length(d) BETWEEN 12 AND 19 AND list_sum([
+      CASE WHEN j % 2 = 1 THEN substr(reverse(d), j, 1)::INT
+        WHEN substr(reverse(d), j, 1)::INT > 4 THEN 2 * substr(reverse(d), j, 1)::INT - 9
+        ELSE 2 * substr(reverse(d), j, 1)::INT END for j in range(1, length(d) + 1)]) % 10 = 0)
+    OR (kind = 3 AND length(d) BETWEEN 9 AND 15)),
+words AS ({_PII_SIDE.format(side="before", offset='"start" - length(before)')}
+  UNION ALL {_PII_SIDE.format(side="after", offset='"end"')}),
+located AS (
+  SELECT *, base + coalesce(sum(length(w) + 1) OVER (PARTITION BY rid, kind, i, side ORDER BY k
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "start" FROM words),
+near AS (
+  SELECT rid, entity, context, lower(w) AS term, "start", "start" + length(w) AS "end" FROM located
+  WHERE length(w) >= {pii.TERM_LENGTH} AND NOT (whole AND k = CASE side WHEN 'before' THEN 1 ELSE n END)),
+pairs AS (
+  SELECT entity, term, count(DISTINCT rid) AS n_both FROM near GROUP BY 1, 2 HAVING count(DISTINCT context) > 1),
+by_entity AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM near GROUP BY 1),
+by_term AS (
+  SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(string_split_regex(lower(t), '[^\p{{L}}]+'))) AS term FROM docs)
+  GROUP BY 1),
+told AS (
+  SELECT entity, term, log2(n_both * n::DOUBLE / (n_term * n_entity)) / log2(n::DOUBLE / n_entity) AS disclosure
+  FROM pairs JOIN by_entity USING (entity) JOIN by_term USING (term), (SELECT count(*) AS n FROM docs)
+  WHERE n > n_entity),
+terms AS (
+  SELECT rid, max(CASE WHEN disclosure >= {pii.REMOVE} THEN 5 ELSE 4 END) AS kind, "start", "end"
+  FROM near JOIN told USING (entity, term) WHERE disclosure >= {pii.GENERALISE} GROUP BY rid, "start", "end"),
+every AS (SELECT rid, kind, "start", "end" FROM found UNION ALL SELECT rid, kind, "start", "end" FROM terms),
+edged AS (
+  SELECT *, max(CASE WHEN kind < 4 THEN "end" END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+    min(CASE WHEN kind < 4 THEN "start" END) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r
+  FROM every WINDOW w AS (PARTITION BY rid ORDER BY "start", kind)),
+named AS (
+  SELECT rid, kind, "start", {list(pii.KINDS)}[kind + 1] || ':' || "start" || ':' || "end" AS item FROM edged
+  WHERE kind < 4 OR (coalesce(l, 0) <= "start" AND coalesce(r, "end") >= "end")),
+listed AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card,
+    count(*) FILTER (kind = 3) AS n_phone, string_agg(item, ',' ORDER BY "start", kind) FILTER (kind < 4) AS base,
+    string_agg(item, ',' ORDER BY "start", kind) AS spans FROM named GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)"""
+
+
 def op7_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return perspectives.rotate(table(spark, folder, "conversations"))
 
@@ -146,5 +216,6 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op5_exact_top_k": OP5_SQL,
+    "op6_pii_sanitisation": OP6_SQL,
     "op7_chat_perspectives": OP7_SQL,
 }
