@@ -39,7 +39,7 @@ from meterlake.llm.common import tokenizer_file
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = 1 << 20
-CACHED_PARTS = 500_000
+CACHED_PARTS = 900_000
 BATCH = 8 << 20
 # A chain's coarse parts; finer ones are found from the vocabulary.
 COARSE = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
