@@ -9,9 +9,10 @@ entity's information content:
 
     PMI(t, e) = log2(n(t, e) N / (n(t) n(e)))      IC(e) = log2(N / n(e))
 
-with n counting documents. It is 1 if the term never occurs without the
-entity. Terms from GENERALISE on are generalised, those from REMOVE on are
-removed. Everything is built-in functions; texts stay where they are, only
+with n counting documents, n(t, e) those where the term stands near the
+entity. It is 1 if the term never occurs without the entity. Terms from
+GENERALISE on are generalised, those from REMOVE on are removed, at every
+place of every text, near the entity or not. Everything is built-in functions; texts stay where they are, only
 the found spans and their surroundings are exchanged.
 """
 
@@ -51,6 +52,7 @@ VALID = {
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
 CONTEXT = 80
 TERM_LENGTH = 3
+MARK_BITS = 22  # words are looked up in a map of 2^22 term hashes (512 KB) before the join
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -131,19 +133,52 @@ def disclosing(docs: DataFrame, near: DataFrame, text_col: str = "text") -> Data
     return joined.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 
+def occurrences(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """rid, rhash, kind, start, end of every place of the terms (term, kind; no repeats) in the texts.
+
+    Words that can be no term are dropped before the exchange, by a map of the
+    terms' hashes whose size is fixed; the join by term drops the rest. Places
+    are added up from gaps between the words that stay, as in entities().
+    """
+    marks = terms.select(F.xxhash64("term").alias("h"))
+    marks = marks.select(F.shiftrightunsigned("h", 70 - MARK_BITS).alias("word"), F.expr("shiftleft(1L, cast(h & 63L AS int))").alias("bit"))
+    marks = marks.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = docs.sparkSession.range(1 << (MARK_BITS - 6)).withColumnRenamed("id", "word")
+    marks = every.join(marks, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
+    marks = marks.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("m")).select("m.bits").scalar()
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), row_ref(id_col, text_col).alias("_ref"), marks.alias("_marks"))
+    h = "xxhash64(lower(p[i]))"
+    marked = f"shiftrightunsigned(get(_marks, cast(shiftrightunsigned({h}, {70 - MARK_BITS}) AS int)), cast({h} & 63L AS int)) & 1L = 1L"
+    last = "coalesce(get(at, j - 1), 0)"
+    gap = f"aggregate(slice(p, {last} + 1, i - {last}), 0, (a, x) -> a + length(x) + 1)"
+    words = (
+        r"transform(array(split(_text, '[^\\p{L}]', -1)), p -> transform(array("
+        f"filter(sequence(0, size(p) - 1), i -> length(p[i]) >= {TERM_LENGTH} AND {marked})), at -> transform(at, (i, j) ->"
+        f" struct(j AS i, lower(p[i]) AS term, length(p[i]) AS size, {gap} AS gap)))[0])[0]"
+    )
+    found = rows.select("_ref.id", "_ref.hash", F.inline(F.expr(words))).withColumnsRenamed({"id": "rid", "hash": "rhash"}).distinct()
+    order = Window.partitionBy("rid", "rhash").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("start", F.sum(F.col("gap").cast("long")).over(order))
+    found = found.select("rid", "rhash", "term", "start", (F.col("start") + F.col("size")).alias("end"))
+    return skew_join(found, terms, ["term"], "inner").select("rid", "rhash", "kind", "start", "end")
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All spans: rid, rhash, kind, start, end, covered (the end of what earlier spans cover).
 
     Base spans stay as the patterns give them; a term that touches one is left
-    to it. Texts without personal data have no row.
+    to it. Texts without personal data and disclosing terms have no row.
     """
     found = stored(entities(docs, id_col, text_col), "entities")
     near = stored(neighbours(found), "near")
-    told = disclosing(docs, near, text_col)
     kind = F.when(F.col("disclosure") >= REMOVE, KINDS.index("remove")).otherwise(KINDS.index("generalise"))
-    terms = skew_join(near, told.withColumn("kind", kind), ["entity", "term"], "inner")
-    terms = terms.groupBy("rid", "rhash", "start", "end").agg(F.max("kind").alias("kind"))
+    told = disclosing(docs, near, text_col).groupBy("term").agg(F.max(kind).alias("kind"))
+    told = stored(told, "disclosing")
     columns = ["rid", "rhash", "kind", "start", "end"]
+    # A word that a base span cuts off is found near it only.
+    terms = skew_join(near, told, ["term"], "inner").select(*columns)
+    terms = terms.unionByName(occurrences(docs, told, id_col, text_col))
+    terms = terms.groupBy("rid", "rhash", "start", "end").agg(F.max("kind").alias("kind"))
     every = found.select(*columns).unionByName(terms.select(*columns))
     order = Window.partitionBy("rid", "rhash").orderBy("start", "kind")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)

@@ -163,3 +163,24 @@ def test_terms_that_reveal_an_entity_go(spark):
     plan = pii.sanitise(documents(spark, told))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert pii.sanitise(documents(spark, [])).count() == 0
+
+
+def test_terms_that_reveal_an_entity_go_everywhere(spark):
+    far = " and then" * 60
+    told = [
+        "Agent Kowalski wrote kow@mail.com today in rain",
+        f"Ask Kowalski via kow@mail.com please now{far}, KOWALSKI, said so.{far} Kowalskis x Kowalski",
+        f"é😀 Kowalski{far} kow@mail.com again",
+        *[f"{w} Kowalski wrote kow@mail.com" for w in ("Here", "There", "Where", "Soon")],
+    ]
+    plain = ["Rain today in the sun please ask now via wrote agent said and then again"] * 300
+    texts = [*told[:2], told[1], *told[2:], *plain, "Mrs Kowalski has no address here", None, ""]
+    ids = [0, 1, 1, *range(3, len(texts))]
+    for row in pii.sanitise(documents(spark, texts, ids)).collect():
+        if row.row.text is None:
+            assert row.clean is None and row.spans == []
+            continue
+        places = [m.span() for m in re.finditer(r"(?<![^\W\d_])kowalski(?![^\W\d_])", row.row.text, re.I)]
+        assert [(s.start, s.end) for s in row.spans if s.kind >= pii.BASE] == places
+        assert not re.search(r"\bkowalski\b", row.clean, re.I)
+        assert row.clean == re.sub(r"(?i)\bkowalski\b", "[TERM]", row.row.text).replace("kow@mail.com", "[EMAIL]")
