@@ -303,6 +303,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     )
 
 
+def with_components(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows (id, text_hash, fp) with component, the smallest id of the component of fp under the edges."""
+    distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(stored(edges, "links"))
+    nodes = distinct.join(roots, distinct.fp == roots.node, "left")
+    nodes = nodes.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = nodes.groupBy("root").agg(F.min("least").alias("component"))
+    nodes = skew_join(nodes.select("fp", "root"), least, ["root"], "inner").select("fp", "component")
+    return skew_join(rows, nodes, ["fp"], "inner")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """id, text_hash, fp, component per row of docs; component is the smallest id of the component.
 
@@ -312,13 +323,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other; then the component is null. Other columns are not read.
     """
     rows = stored(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(stored(links(distinct.select("fp")), "links"))
-    nodes = distinct.join(roots, distinct.fp == roots.node, "left")
-    nodes = nodes.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = nodes.groupBy("root").agg(F.min("least").alias("component"))
-    nodes = skew_join(nodes.select("fp", "root"), least, ["root"], "inner").select("fp", "component")
-    return skew_join(rows, nodes, ["fp"], "inner")
+    return with_components(rows, links(rows.select("fp").distinct()))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
@@ -327,7 +332,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A repeated row (same id and text) that would stay is kept once. A row without
     id is kept only if no row of its component has one.
     """
-    marked = near_duplicates(docs, id_col, text_col, width)
+    return keep_one(docs, near_duplicates(docs, id_col, text_col, width), id_col, text_col)
+
+
+def keep_one(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component in marked (id, text_hash, fp, component)."""
     group = F.coalesce(F.col("component").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string")))
     order = [F.col("id").asc_nulls_last(), F.col("text_hash")]
     kept = first_per_key(marked.withColumn("_group", group), ["_group"], order)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from helpers import documents, words
 
+import corpus_pipeline
 from meterlake.llm import repeats, simhash
 
 
@@ -158,3 +159,30 @@ def test_near_duplicates_of_odd_texts(spark):
     assert {r.doc_id for r in kept.collect()} >= {i for i in least.values()}
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.one_of_each(documents(spark, [])).count() == 0
+
+
+def replaced(rng, words, n):
+    """words with n of them replaced, and the Jaccard similarity of the five-word shingles."""
+    new = list(words)
+    for i in rng.choice(len(words), n, replace=False):
+        new[i] = f"x{rng.integers(10**9)}"
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, new))
+    return " ".join(new), len(a & b) / len(a | b)
+
+
+def test_stage_keeps_one_of_similar_texts(spark):
+    rng = np.random.default_rng(5)
+    texts, ids, expected, close = [], [], [], 0
+    for n in range(120):
+        base = [f"w{rng.integers(10**6)}" for _ in range(200 + 8 * (n % 100))]
+        new, similarity = replaced(rng, base, 1 + len(base) * (n % 6) // 100)
+        texts += [" ".join(base), new]
+        ids += [2 * n, 2 * n + 1]
+        expected += [2 * n] if similarity >= 0.8 else [2 * n, 2 * n + 1]
+        close += 0.8 <= similarity < 0.9
+    assert close > 10 and len(expected) > 125
+    texts += ["Same  words of a text", "same words OF a text", None, "", "short", "same words of a text"]
+    ids += [1000, 1001, 1002, 1003, 1004, None]
+    kept = corpus_pipeline.near_duplicates(spark, documents(spark, texts, ids), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*expected, 1000, 1002, 1004]
+    assert corpus_pipeline.near_duplicates(spark, documents(spark, []), "").count() == 0
