@@ -238,6 +238,8 @@ def vector_top_k(
 
 
 QUERY_BLOCK = 1000
+PART_ROWS = 8192
+PROBE_ROWS = 1024
 
 
 def vector_search(
@@ -271,15 +273,19 @@ def vector_search(
 
 def nearest_of_all(
     corpus: DataFrame, probes: DataFrame, k: int, id_column: str = "vec_id", embedding: str = "embedding",
-    probe_id: str = "probe_id", probe: str = "probe", parts: int = 8, blocks: int = 1, digits: int = 7,
+    probe_id: str = "probe_id", probe: str = "probe", parts: int | None = None, blocks: int | None = None, digits: int = 7,
 ) -> DataFrame:
     """probe_id, rank, id, score: each probe's k best rows of the whole corpus by dot product.
 
     The corpus is dealt into parts and the probes into blocks, and every part
     meets every block once, as one matrix product in a task; k rows per probe
-    leave it. There may be any number of probes. Rows of either side without an
-    id or vector take no part, ties go to the smaller id.
+    leave it. There may be any number of probes. parts and blocks follow the
+    row counts unless they are given, so that a task holds about PART_ROWS rows
+    and PROBE_ROWS probes. Rows of either side without an id or vector take no
+    part, ties go to the smaller id.
     """
+    parts = parts or max(-(-corpus.count() // PART_ROWS), 1)
+    blocks = blocks or max(-(-probes.count() // PROBE_ROWS), 1)
     id_type, probe_type = (df.schema[c].dataType.simpleString() for df, c in ((corpus, id_column), (probes, probe_id)))
     usable = F.col(id_column).isNotNull() & F.col(embedding).isNotNull()
     rows = corpus.where(usable).select(

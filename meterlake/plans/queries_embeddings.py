@@ -170,6 +170,16 @@ def e8_all(spark, folder):
     return E.nearest_of_all(vectors, probes, 5)
 
 
+@query("E8_nearest_of_all_by_rows", """WITH probes AS (SELECT vec_id AS probe_id, embedding AS probe FROM embeddings WHERE vec_id % 100 = 0),
+scored AS (SELECT probe_id, vec_id, round(list_inner_product(embedding::DOUBLE[], probe::DOUBLE[]), 7) AS score FROM embeddings, probes)
+SELECT probe_id, row_number() OVER (PARTITION BY probe_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5""")
+def e8_all_by_rows(spark, folder):
+    vectors = read_table(spark, folder, "embeddings")
+    probes = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("probe_id"), F.col("embedding").alias("probe"))
+    return E.nearest_of_all(vectors, probes, 5)
+
+
 @query("U3_pluggable_embedder", f"""{_REQ}
 SELECT DISTINCT {sql_cache_key('text', 'model', 64)} AS cache_key, length(text)::DOUBLE AS chars, length(model)::DOUBLE AS salt
 FROM req""")

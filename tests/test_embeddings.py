@@ -149,3 +149,19 @@ def test_nearest_of_all_against_numpy(spark):
         scored = sorted((-round(float(np.dot(x, v)), 7), i) for i, v in corpus if v is not None)[:4]
         want += [(p, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
     assert sorted((r.probe_id, r["rank"], r.vec_id) for r in got) == sorted(w[:3] for w in want)
+
+
+def test_nearest_of_all_deals_by_row_counts(spark, monkeypatch):
+    monkeypatch.setattr(E, "PART_ROWS", 10)
+    monkeypatch.setattr(E, "PROBE_ROWS", 3)
+    vectors = np.random.default_rng(3).normal(size=(205, 4))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    probes = corpus.where("vec_id % 20 = 0").selectExpr("vec_id AS probe_id", "embedding AS probe")
+    found = E.nearest_of_all(corpus, probes, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ", 21)" in plan and ", 4)" in plan  # 205 rows by 10 and 11 probes by 3
+    got = {}
+    for r in found.orderBy("probe_id", "rank").collect():
+        got.setdefault(r.probe_id, []).append(r.vec_id)
+    assert got == {p: np.lexsort((np.arange(205), -np.round(vectors @ vectors[p], 7)))[:3].tolist() for p in range(0, 205, 20)}
+    assert E.nearest_of_all(corpus.limit(0), probes, 3).count() == 0
