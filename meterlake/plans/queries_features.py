@@ -216,3 +216,16 @@ def o10(spark, folder):
     O.offline_feature_view(calls(spark, folder), _VIEW_USERS, "2024-01-10", "2024-01-20", name="training_features")
     view = spark.sql("SELECT * FROM training_features").drop("first_interaction", "last_interaction")
     return rounded(view, "total_cost", "avg_latency", *_ROLL_NAMES)
+
+
+@query("O10_offline_feature_view_of_all", f"""{CALLS}, r AS ({_ROLL}),
+last AS (SELECT * FROM r WHERE "timestamp"::DATE <= DATE '2024-12-31' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) = 1),
+t AS (SELECT user_id, count(*) AS interaction_count, round(sum(cost_usd), 7) AS total_cost,
+  sum(total_tokens)::BIGINT AS total_tokens, round(avg(latency_ms), 7) AS avg_latency FROM calls
+  WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-12-31' GROUP BY user_id)
+SELECT user_id AS entity_id, interaction_count, total_cost, total_tokens, avg_latency, interaction_count_7d,
+  avg_prompt_length_7d, avg_tokens_per_request_7d, total_cost_7d FROM t LEFT JOIN last USING (user_id)""")
+def o10_all(spark, folder):
+    O.offline_feature_view(calls(spark, folder), None, "2024-01-10", "2024-12-31", name="training_features_of_all")
+    view = spark.sql("SELECT * FROM training_features_of_all").drop("first_interaction", "last_interaction")
+    return rounded(view, "total_cost", "avg_latency", *_ROLL_NAMES)

@@ -160,3 +160,13 @@ def test_view_does_not_see_past_its_end(make_calls):
     want = O.offline_feature_view(calls.where(F.col("date") <= F.lit(end)), ["a"], str(start)).collect()
     assert got == want and len(got) == 1 and got[0].interaction_count == 5
     assert got[0].total_cost_7d == sum(2.0**i for i in range(7))
+
+
+def test_a_query_views_the_features_of_all_users(spark, folder):
+    from meterlake.plans.catalog import load_all
+
+    catalog = load_all()
+    users = {r.entity_id for r in catalog["O10_offline_feature_view_of_all"].run(spark, folder).collect()}
+    calls = spark.read.parquet(f"{folder}/events.parquet")
+    listed = {r.entity_id for r in catalog["O10_offline_feature_view"].run(spark, folder).collect()}
+    assert listed < users and len(users) > 0.5 * calls.select("user_id").distinct().count()
