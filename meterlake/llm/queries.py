@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import packing, perspectives, pieces, pii, quality, repeats, sharding, simhash, tokenfiles, topk
+from meterlake.llm import collocations, packing, perspectives, pieces, pii, quality, repeats, sharding, simhash, tokenfiles, topk
 from meterlake.llm.common import table
 from meterlake.plans.session import work_folder
 
@@ -201,6 +201,42 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP13_SQL = rf"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM docs),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM words),
+phrases AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (SELECT unnest(generate_series(1, {collocations.LONGEST})) AS k) WHERE i + k - 1 <= len(w) GROUP BY 1, 2, 3),
+candidates AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE k > 1 AND f >= {collocations.LEAST}),
+inside AS (
+  SELECT lang, a, w, i, unnest(generate_series(i + 1, len(w))) AS j
+  FROM (SELECT *, unnest(generate_series(1, len(w) - 1)) AS i FROM candidates)),
+longer AS (
+  SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS most FROM inside WHERE j - i + 1 < len(w) GROUP BY 1, 2),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase)
+  WHERE most IS NULL OR 100 * most < {collocations.PERCENT} * a),
+cuts AS (SELECT *, unnest(generate_series(1, len(w) - 1)) AS j FROM kept),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE k = 1 GROUP BY 1),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, n, j, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang) JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(w[:j], ' ')
+    JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {collocations.TOP}"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -212,10 +248,12 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
     "op5_exact_top_k": OP5_SQL,
     "op6_pii_sanitisation": OP6_SQL,
     "op7_chat_perspectives": OP7_SQL,
+    "op13_collocations": OP13_SQL,
 }
