@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import collocations, packing, perspectives, pieces, pii, quality, repeats, sharding, simhash, tokenfiles, topk
+from meterlake.llm import collocations, packing, perspectives, pieces, pii, prefixtrie, quality, repeats, sharding, simhash, tokenfiles, topk
 from meterlake.llm.common import table
 from meterlake.plans.session import work_folder
 
@@ -201,6 +201,47 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, folder, "conversations"))
+
+
+OP12_SQL = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, count(*) AS n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, (r & 1) * 3988292384)))) % {prefixtrie.HEADS} AS h
+  FROM t GROUP BY c),
+sized AS (
+  SELECT v.c, v.c - v.c % {prefixtrie.EVERY} AS b, h, least(h, coalesce((SELECT n FROM convs w WHERE w.c = v.c - v.c % {prefixtrie.EVERY}), 0)) AS taken
+  FROM convs v),
+rebuilt AS (
+  SELECT s.c, pos AS d, role, text FROM sized s JOIN t ON t.c = s.b AND pos <= h
+  UNION ALL SELECT s.c, pos - h + taken AS d, role, text FROM sized s JOIN t ON t.c = s.c AND pos > h),
+members AS (
+  SELECT c, d, strlen(text) AS n_bytes, list(struct_pack(role, text)) OVER (PARTITION BY c ORDER BY d) AS k FROM rebuilt
+  UNION ALL SELECT c, 0 AS d, 0 AS n_bytes, [] AS k FROM sized),
+nodes AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, min(n_bytes) AS n_bytes FROM members GROUP BY d, k),
+held AS (SELECT m.c, m.d, n.conv_id, n.n_convs, n.n_bytes FROM members m JOIN nodes n USING (d, k)),
+up AS (
+  SELECT n.conv_id, n.d AS depth, n.n_convs, n.n_bytes, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN held p ON p.c = n.conv_id AND p.d = n.d - 1),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY 1, 2),
+tree AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN children USING (conv_id, depth)),
+below AS (
+  SELECT a.conv_id, a.d AS depth, count(*) FILTER (x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.n_bytes)::BIGINT AS saved_tokens
+  FROM tree x JOIN held a ON a.c = x.conv_id AND a.d <= x.depth GROUP BY 1, 2),
+lengths AS (SELECT c, max(d) AS d FROM members GROUP BY c),
+ends AS (
+  SELECT a.conv_id, a.d AS depth, sha256(string_agg(l.c::VARCHAR, ',' ORDER BY l.c)) AS ends
+  FROM lengths l JOIN held a USING (c, d) GROUP BY 1, 2)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM tree JOIN below USING (conv_id, depth) LEFT JOIN ends USING (conv_id, depth)"""
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -210,7 +251,8 @@ WITH docs AS (
   SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM docs),
+-
+]')) AS piece FROM docs),
 words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM words),
 phrases AS (
@@ -248,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_collocations": op13_collocations,
 }
 
@@ -255,5 +298,6 @@ SQL: dict[str, str] = {
     "op5_exact_top_k": OP5_SQL,
     "op6_pii_sanitisation": OP6_SQL,
     "op7_chat_perspectives": OP7_SQL,
+    "op12_prefix_trie": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }
