@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import collocations, packing, perspectives, pieces, pii, prefixtrie, quality, repeats, sharding, simhash, tokenfiles, topk
+from meterlake.llm import collocations, languageid, packing, perspectives, pieces, pii, prefixtrie, quality, repeats, sharding, simhash, tokenfiles, topk
 from meterlake.llm.common import table
 from meterlake.plans.session import work_folder
 
@@ -201,6 +201,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = languageid.identify(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixtrie.trie(table(spark, folder, "conversations"))
 
@@ -290,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_shards": op9_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_language_id": op11_language_id,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_collocations": op13_collocations,
 }
