@@ -13,11 +13,14 @@ of k words hold all that is asked of phrases of k + 1 words:
 - subsumption maxima: the greatest entry tells whether a longer phrase is as
   frequent as its prefix, and by the rest of the phrase as its suffix.
 
-Lengths go up one by one, and a window is counted only if its prefix and its
-suffix were frequent one length before (a phrase is never more frequent than
-its parts). Tasks look that up in a bit map of phrase hashes, whose size
-follows the number of frequent phrases up to 2^MAP_BITS_MOST bits (32 MB); a
-wrong hit costs a row and changes no count, a frequent phrase is never missed.
+Rare phrases are left at home. Lengths go up one by one: a window of k words is
+looked at only if its prefix and its suffix may be frequent (a phrase is never
+more frequent than its parts), and it adds to one of a number of counters that
+its hash chooses. A counter under the least count shows that all its windows are
+rare; the others make a bit map, which the next length and the stripes look up.
+A wrong hit costs a row and changes no count, a frequent phrase is never missed.
+The number of counters follows the number of windows up to 2^MAP_BITS_MOST (a
+bit map of 64 MB); on a larger corpus more rare windows are sent.
 
 A hot prefix does not meet in one task: entries are added up by prefix and
 word, with sums before the exchange, and merged stripes are dealt into parts
@@ -32,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +46,8 @@ LONGEST = 5
 LEAST = 100
 PERCENT = 100  # a phrase goes if a longer one has this percentage of its count
 TOP = 2000
-MAP_BITS_LEAST, MAP_BITS_MOST = 20, 28
+MAP_BITS_LEAST, MAP_BITS_MOST, RANGE_BITS = 20, 29, 20
+LOAD = 16  # counters for as many windows as make a frequent phrase
 WINDOWS_AT_ONCE = 1 << 20
 WORDS_KEPT = 1 << 19
 LANGUAGES_KEPT = 16
@@ -64,10 +69,13 @@ class _Codes(dict):
 
 
 class _Counter:
-    """Windows of one language in one task: words become codes, and codes become stripes."""
+    """Windows of one language in one task: words become codes, and codes become stripes or counts.
 
-    def __init__(self, lang: str, width: int, marks: np.ndarray | None):
-        self.lang, self.width, self.marks = lang, width, marks
+    maps[k] is the bit map of phrases of k words that may be frequent.
+    """
+
+    def __init__(self, lang: str, widths: range, maps: dict[int, np.ndarray]):
+        self.lang, self.widths, self.maps = lang, widths, maps
         self.seed = xxhash.xxh64_intdigest(lang.encode())
         self.codes, self.parts, self.size = _Codes({b".": 0}), [], 0
         self.hashes = np.zeros(1, dtype=np.uint64)
@@ -86,45 +94,65 @@ class _Counter:
         self.parts.append(np.zeros(1, dtype=np.int32))
         self.size += 1
 
-    def stripes(self) -> Iterator[pa.RecordBatch]:
-        """The stripes of all that was added, in parts of bounded size; forgets it."""
+    def _taken(self) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """All that was added, as codes with the words they stand for, in parts of bounded size; forgets it."""
         if not self.parts:
             return
-        codes = np.concatenate([*self.parts, np.zeros(self.width + 2, dtype=np.int32)])
+        beyond = self.widths[-1] + 2
+        codes = np.concatenate([*self.parts, np.zeros(beyond, dtype=np.int32)])
         self.parts, n, self.size = [], self.size, 0
         names = list(self.codes)
-        words = pa.array(names, pa.binary()).cast(pa.string())
-        if self.width:
+        if self.maps:
             new = [xxhash.xxh64_intdigest(w, self.seed) for w in names[len(self.hashes) :]]
             self.hashes = np.concatenate([self.hashes, np.array(new, dtype=np.uint64)])
         for start in range(0, n, WINDOWS_AT_ONCE):
-            c = codes[start : start + min(WINDOWS_AT_ONCE, n - start) + self.width + 1].astype(np.int64)
-            yield self._batch(words, *(self._windows(c) if self.width else self._words(c)))
+            yield codes[start : start + min(WINDOWS_AT_ONCE, n - start) + beyond - 1].astype(np.int64), names
         if len(self.codes) > WORDS_KEPT:
             self.codes, self.hashes = _Codes({b".": 0}), np.zeros(1, dtype=np.uint64)
 
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        for c, names in self._taken():
+            words = pa.array(names, pa.binary()).cast(pa.string())
+            if 0 in self.widths:
+                yield self._batch(words, *self._words(c))
+                continue
+            for m, at, may, _ in self._windows(c):
+                yield self._batch(words, *self._pairs(c, m, at, may))
+
+    def counts(self) -> Iterator[np.ndarray]:
+        """Hashes of the windows whose prefix and suffix may be frequent."""
+        for c, _ in self._taken():
+            for _, _, _, h in self._windows(c):
+                yield h
+
     def _words(self, c: np.ndarray) -> tuple:
-        n = np.bincount(c[:-1], minlength=1)
+        n = np.bincount(c[: len(c) - self.widths[-1] - 1], minlength=1)
         n[0] = 0
         found = np.flatnonzero(n)
         return [], found, n[found], np.array([0, len(found)] if len(found) else [0])
 
-    def _windows(self, c: np.ndarray) -> tuple:
+    def _windows(self, c: np.ndarray) -> Iterator[tuple]:
+        """For each width m: m, the places of prefixes of m words that may be frequent, whether what follows may make a longer phrase, and the hashes of the longer windows that passed."""
+        n = len(c) - self.widths[-1] - 1
+        h, whole, words = self.hashes[c], c > 0, self.hashes[c]
+        for m in range(1, self.widths[-1] + 1):
+            if m in self.widths:
+                frequent = whole & marked(self.maps[m], h)
+                at = np.flatnonzero(frequent[:n])
+                may = frequent[at + 1]
+                longer = h[at] * FACTOR + words[at + m]
+                if m + 1 in self.maps:
+                    may = may & marked(self.maps[m + 1], longer)
+                yield m, at, may, longer[may]
+            h = h[:-1] * FACTOR + words[m:]
+            whole = whole[:-1] & (c[m:] > 0)
+
+    def _pairs(self, c: np.ndarray, m: int, at: np.ndarray, may: np.ndarray) -> tuple:
         """Codes of each prefix, codes of the next words and their counts, and where each prefix begins."""
-        m, n = self.width, len(c) - self.width - 1
-        whole, h = np.ones(n + 1, dtype=bool), np.zeros(n + 1, dtype=np.uint64)
-        for j in range(m):
-            part = c[j : n + 1 + j]
-            whole &= part > 0
-            h = h * FACTOR + self.hashes[part]
-        frequent = whole & marked(self.marks, h)
-        at = np.flatnonzero(frequent[:n])
-        following = np.where(frequent[at + 1], c[at + m], 0)
-        size = len(self.codes)
-        key = c[at]
+        size, key = len(self.codes), c[at]
         for j in range(1, m):
             key = np.unique(key * size + c[at + j], return_inverse=True)[1]
-        pairs, first, counts = np.unique(key * size + following, return_index=True, return_counts=True)
+        pairs, first, counts = np.unique(key * size + np.where(may, c[at + m], 0), return_index=True, return_counts=True)
         prefix = pairs // size
         starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(pairs) else np.zeros(0, dtype=np.int64)
         heads = at[first[starts]]
@@ -150,27 +178,87 @@ def _lang(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("und")).alias("lang")
 
 
-def local_stripes(docs: DataFrame, width: int, marks, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Stripes of prefixes of `width` words, one row per prefix and block of text; marks is a broadcast bit map."""
+def _counted(batches: Iterator[pa.RecordBatch], widths: range, maps: dict[int, np.ndarray], out: str) -> Iterator:
+    """What the counters' method `out` gives for all texts, language by language."""
+    counters: dict[str, _Counter] = {}
+    for batch in batches:
+        texts = batch.column(1).cast(pa.binary())
+        for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+            if lang not in counters:
+                counters[lang] = _Counter(lang, widths, maps)
+            counters[lang].add(text.as_py())
+            if counters[lang].size >= WINDOWS_AT_ONCE:
+                yield from getattr(counters[lang], out)()
+            if len(counters) > LANGUAGES_KEPT:
+                for counter in counters.values():
+                    yield from getattr(counter, out)()
+                counters.clear()
+    for counter in counters.values():
+        yield from getattr(counter, out)()
+
+
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def local_stripes(texts: DataFrame, widths: range, maps: dict[int, Broadcast]) -> DataFrame:
+    """Stripes of prefixes of `widths` words, one row per prefix and block of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[str, _Counter] = {}
+        yield from _counted(batches, widths, {k: m.value for k, m in maps.items()}, "stripes")
+
+    return texts.mapInArrow(run, STRIPE)
+
+
+def window_marks(texts: DataFrame, words: int, shorter: Broadcast, windows: int, least: int) -> tuple[Broadcast, int]:
+    """Bit map of the counters of windows of so many words that reach `least`, and the sum of these counters.
+
+    A task sends the counters it has touched as packed arrays, by ranges of
+    counters; a range is added up in one array of fixed size.
+    """
+    bits = map_bits(windows // least)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h in _counted(batches, range(words - 1, words), {words - 1: shorter.value}, "counts"):
+            place, n = np.unique(h >> np.uint64(64 - bits), return_counts=True)
+            bounds = np.searchsorted(place, np.arange((1 << (bits - RANGE_BITS)) + 1, dtype=np.uint64) << np.uint64(RANGE_BITS))
+            for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                if a < b:
+                    gaps = np.diff(place[a:b], prepend=np.uint64(part << RANGE_BITS)).astype("<u4")
+                    packed = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (gaps, n[a:b].astype("<u4"))]
+                    yield pa.RecordBatch.from_pydict({"part": [part], "size": [b - a], "gaps": packed[:1], "n": packed[1:]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(1 << RANGE_BITS, dtype=np.int64)
+
+        def row() -> pa.RecordBatch:
+            over = total >= least
+            return pa.RecordBatch.from_pydict({"part": [now], "bits": [np.packbits(over, bitorder="little").tobytes()], "n": [int(total[over].sum())]})
+
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                if lang not in counters:
-                    counters[lang] = _Counter(lang, width, marks and marks.value)
-                counters[lang].add(text.as_py())
-                if counters[lang].size >= WINDOWS_AT_ONCE:
-                    yield from counters[lang].stripes()
-                if len(counters) > LANGUAGES_KEPT:
-                    for counter in counters.values():
-                        yield from counter.stripes()
-                    counters.clear()
-        for counter in counters.values():
-            yield from counter.stripes()
-
-    return docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, STRIPE)
+            for part, size, gaps, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if part != now:
+                    if now is not None:
+                        yield row()
+                        total[:] = 0
+                    now = part
+                gaps, n = (np.frombuffer(pa.decompress(x, 4 * size, "zstd"), dtype="<u4") for x in (gaps, n))
+                total[np.cumsum(gaps, dtype=np.int64)] += n
+        if now is not None:
+            yield row()
+
+    sent = texts.mapInArrow(count, "part bigint, size bigint, gaps binary, n binary")
+    # At most 2^(MAP_BITS_MOST - RANGE_BITS) ranges, dealt by their number.
+    sent = sent.repartition(1 << min(bits - RANGE_BITS, 8), "part").sortWithinPartitions("part")
+    marks, passed = np.zeros(1 << (bits - 6), dtype="<u8"), 0
+    for r in sent.mapInArrow(add, "part bigint, bits binary, n bigint").collect():
+        marks[r.part << (RANGE_BITS - 6) : (r.part + 1) << (RANGE_BITS - 6)] = np.frombuffer(r.bits, dtype="<u8")
+        passed += r.n
+    return texts.sparkSession.sparkContext.broadcast(marks), passed
+
+
+def map_bits(count: int) -> int:
+    return min(max((LOAD * count).bit_length(), MAP_BITS_LEAST), MAP_BITS_MOST)
 
 
 def merged_stripes(parts: DataFrame, least: int = LEAST) -> DataFrame:
@@ -190,9 +278,9 @@ def merged_stripes(parts: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def phrase_marks(phrases: DataFrame, count: int):
+def phrase_marks(phrases: DataFrame, count: int) -> Broadcast:
     """Broadcast bit map of the hashes of (lang, phrase); its size follows their number up to a bound."""
-    bits = min(max((16 * count).bit_length(), MAP_BITS_LEAST), MAP_BITS_MOST)
+    bits = map_bits(count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,30 +307,31 @@ def phrase_levels(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, t
     follows them; most is the greatest count of a phrase that is one word longer
     (null: none).
     """
-    none = F.lit(None).cast("array<bigint>")
-    levels: list[DataFrame] = []
-    stripes: list[DataFrame] = []
-    marks = None
-    for width in range(longest):
-        merged = stored(merged_stripes(local_stripes(docs, width, marks, text_col, lang_col), least), f"stripes-{width + 1}")
-        stripes.append(merged)
-        entries = merged.select("lang", "prefix", F.explode("entries").alias("next", "f"))
-        if width == 0:
-            level = entries.select("lang", F.col("next").alias("phrase"), "f", F.array().cast("array<bigint>").alias("lefts"), F.array().cast("array<bigint>").alias("rights"))
-        else:
-            entries = entries.withColumn("phrase", F.concat_ws(" ", "prefix", "next"))
-            entries = entries.withColumn("suffix", F.expr("substring(phrase, instr(phrase, ' ') + 1)"))
-            totals = merged.groupBy("lang", "prefix").agg(F.sum("total").alias("l"))
-            before = levels[-1].select("lang", F.col("phrase").alias("prefix"), "lefts")
-            heads = skew_join(before, totals, ["lang", "prefix"], "inner")
-            heads = heads.select("lang", "prefix", F.concat("lefts", F.array("l")).alias("lefts"))
-            tails = levels[-1].select("lang", F.col("phrase").alias("suffix"), F.concat(F.array("f"), "rights").alias("rights"))
-            level = skew_join(skew_join(entries, heads, ["lang", "prefix"], "inner"), tails, ["lang", "suffix"], "inner")
-            level = level.select("lang", "phrase", "f", "lefts", "rights", "suffix")
-        level = stored(level, f"phrases-{width + 1}")
-        levels.append(level)
-        if width + 1 < longest:
-            marks = phrase_marks(level, level.count())
+    texts = _texts(docs, text_col, lang_col)
+    words = stored(merged_stripes(local_stripes(texts, range(1), {}), least), "stripes-of-words")
+    empty = F.array().cast("array<bigint>")
+    entries = words.select("lang", "prefix", F.explode("entries").alias("next", "f"))
+    levels = [stored(entries.select("lang", F.col("next").alias("phrase"), "f", empty.alias("lefts"), empty.alias("rights")), "phrases-1")]
+    count, windows = levels[0].agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
+    maps = {1: phrase_marks(levels[0], count)}
+    for k in range(2, longest + 1):
+        maps[k], windows = window_marks(texts, k, maps[k - 1], windows, least)
+    merged = stored(merged_stripes(local_stripes(texts, range(1, longest), maps), least), "stripes")
+    merged = merged.withColumn("width", F.size(F.split("prefix", " ")))
+    stripes = [words]
+    for width in range(1, longest):
+        stripe = merged.where(F.col("width") == width)
+        stripes.append(stripe)
+        entries = stripe.select("lang", "prefix", F.explode("entries").alias("next", "f"))
+        entries = entries.withColumn("phrase", F.concat_ws(" ", "prefix", "next"))
+        entries = entries.withColumn("suffix", F.expr("substring(phrase, instr(phrase, ' ') + 1)"))
+        totals = stripe.groupBy("lang", "prefix").agg(F.sum("total").alias("l"))
+        before = levels[-1].select("lang", F.col("phrase").alias("prefix"), "lefts")
+        heads = skew_join(before, totals, ["lang", "prefix"], "inner")
+        heads = heads.select("lang", "prefix", F.concat("lefts", F.array("l")).alias("lefts"))
+        tails = levels[-1].select("lang", F.col("phrase").alias("suffix"), F.concat(F.array("f"), "rights").alias("rights"))
+        level = skew_join(skew_join(entries, heads, ["lang", "prefix"], "inner"), tails, ["lang", "suffix"], "inner")
+        levels.append(stored(level.select("lang", "phrase", "f", "lefts", "rights", "suffix"), f"phrases-{width + 1}"))
     out = []
     for k, level in enumerate(levels):
         if k + 1 < longest:

@@ -68,8 +68,8 @@ def test_long_texts_are_read_in_blocks_and_hot_words_counted_once(spark, monkeyp
     rng = np.random.default_rng(3)
     rows = [(" ".join(rng.choice(["hot", "hot", "hot", "b", "c.", "longword" * 10], 3000)), "en")] + rows_for(rng, 10)
 
-    def stripes(width, marks):
-        counter = collocations._Counter("en", width, marks)
+    def stripes(widths, maps):
+        counter = collocations._Counter("en", widths, maps)
         for text, lang in rows:
             if lang == "en":
                 counter.add((text or "").encode())
@@ -90,8 +90,8 @@ def test_long_texts_are_read_in_blocks_and_hot_words_counted_once(spark, monkeyp
                 for i in range(len(words) - 1):
                     want[" ".join(words[i : i + 2]), words[i + 2] if i + 2 < len(words) else None] += 1
                 totals.update(words)
-    assert stripes(2, all_bits) == want
-    assert stripes(0, None) == Counter({("", w): n for w, n in totals.items()})
+    assert stripes(range(2, 3), {2: all_bits}) == want
+    assert stripes(range(1), {}) == Counter({("", w): n for w, n in totals.items()})
 
 
 def test_empty_tables_and_products_beyond_64_bits(spark):
