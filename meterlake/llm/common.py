@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from meterlake.plans.session import work_folder
 
-TOKENIZERS = "/opt/tokenizers"
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -64,5 +62,10 @@ def row_ref(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
-def tokenizer_file(name: str, folder: str = TOKENIZERS) -> str:
-    return os.path.join(folder, name)
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    """A vocabulary file, in the given folder or that of the installed package; asked for where the file is read."""
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -15,11 +15,13 @@ from __future__ import annotations
 import bisect
 import json
 import os
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,20 +37,31 @@ CLASS_WIDTH = 16
 SMALL = 128  # lengths kept out of the program; they fill the room that rounding leaves
 STEP = 0.05
 CACHED_WORDS = 500_000
-STOPS = ".,;:!?"  # a run of these after a word is a unit of its own
+STOPS = ".,;:!?$%&#*+-=/()[]{}\"@^_~"  # a run of these after a word is a unit of its own
+# Letters below U+0180 but U+0130 have one lower case letter each and are in normal form.
+PLAIN = re.compile("[A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017f]+")
+UNUSUAL = re.compile("[\\u0130\\u0180-\\U0010ffff]|<\\|")  # not to be lowered as a whole
 BATCH = 8 << 20
 
 # --- tokens -----------------------------------------------------------------
 
 
+class Numbers(dict):
+    """Numbers keys in the order they are met."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class WordCoder:
     """Token ids of whole texts, word by word, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never looks across it, so the ids of a
-    text are those of its words; each distinct word is encoded once, as long
-    as the cache holds it. New words of ASCII letters only are encoded together
-    by the file's model alone, as they need no more than lower case: each is a
-    unit of its own, and a unit's last token is marked in the vocabulary.
+    text are those of its words. A word is one or two units with known ids; the
+    new units of many texts are encoded together. Units of plain letters go to
+    the file's model alone, as they need no more than lower case; a unit's last
+    token is marked in the vocabulary.
     """
 
     def __init__(self, path: str):
@@ -58,45 +71,74 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            bare = json.load(file) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+            bare = json.load(file)
+        split = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": split}, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(bare))
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        words = text.replace("\n", " ").split(" ")
-        new = {w for w in words if w not in self.cache}
-        if new:
-            if len(self.cache) + len(new) > CACHED_WORDS:
-                self.cache = {"": b""}
-                new = set(words)
-            self.learn(new)
-        return b"".join(map(self.cache.__getitem__, words))
-
-    def learn(self, new: set[str]) -> None:
-        cache = self.cache
-        ended = {w: w.rstrip(STOPS) for w in new}
-        units = {core for core in ended.values() if core.isalpha() and core.isascii()}
-        self.encode_units([u for u in units if u not in cache])
-        odd = [w for w, core in ended.items() if core not in units]
-        odd += [s for s in {w[len(core) :] for w, core in ended.items() if core in units} if s not in cache]
-        for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            cache[word] = np.array(coded.ids, dtype="<u4").tobytes()
-        for word, core in ended.items():
-            if core in units and word != core:
-                cache[word] = cache[core] + cache[word[len(core) :]]
-
-    def encode_units(self, units: list[str]) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        """Start again with the empty word, which is twice the empty unit."""
+        self.words, self.units = Numbers({"": 0}), Numbers({"": 0})
+        self.parts = np.zeros((1, 2), dtype=np.int32)  # units of each word
+        self.size, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        if len(self.words) > CACHED_WORDS:
+            self.forget()
+        texts = [t if UNUSUAL.search(t) else t.lower() for t in texts]
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        ends = np.cumsum([len(w) for w in words])
+        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(words)), dtype=np.int32, count=int(ends[-1]))
+        self.learn(list(islice(self.words, len(self.parts), None)))
+        units = self.parts[at].ravel()
+        size = self.size[units]
+        after = np.cumsum(size)
+        first = (np.cumsum(self.size) - self.size)[units]
+        ids = self.ids[np.repeat(first - after + size, size) + np.arange(after[-1])]
+        stops = after[2 * ends - 1].tolist()  # a text has a word at least, the empty one
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops, strict=False)]
+
+    def learn(self, new: list[str]) -> None:
+        parts, plain, odd = [], [], []
+        for word in new:
+            core = word.rstrip(STOPS)
+            if PLAIN.fullmatch(core):
+                if core not in self.units:
+                    plain.append(core)
+                tail = word[len(core) :]
+            else:
+                core, tail = word, ""
+                if core not in self.units:
+                    odd.append(core)
+            if tail and tail not in self.units:
+                odd.append(tail)
+            parts.append((core, tail))
+        # A core of one word may be the tail of another; each is numbered and encoded once.
+        plain = list(dict.fromkeys(plain))
+        odd = list(dict.fromkeys(odd))
+        for unit in chain(plain, odd):
+            self.units[unit]
+        number = self.units.__getitem__
+        flat = np.fromiter(map(number, chain.from_iterable(parts)), dtype=np.int32, count=2 * len(parts))
+        self.parts = np.concatenate([self.parts, flat.reshape(-1, 2)])
+        ids, size = self.encode_plain(plain)
+        rest = [x.ids for x in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(rest), dtype="<u4")])
+        self.size = np.concatenate([self.size, size, np.array([len(x) for x in rest], dtype=np.int64)])
+
+    def encode_plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, and how many each has."""
         ids = np.array(self.model.encode_batch_fast([" ".join(units).lower()], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-        raw = ids.tobytes()
-        if len(ends) != len(units) or len(raw) != (ends or [0])[-1]:
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(units) or len(ids) != (ends[-1] if len(ends) else 0):
             raise ValueError("the tokenizer does not encode words of letters as units")
-        self.cache.update(zip(units, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        return ids, np.diff(ends, prepend=0)
 
 
 @cache
@@ -105,6 +147,19 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
+def grouped(texts: pa.Array, most: int = BATCH) -> Iterator[tuple[int, list[str]]]:
+    """Neighbouring texts (null: empty) of some megabytes together, with the place of the first."""
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= most:
+            yield first, held
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, held
+
+
 def token_pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -119,27 +174,22 @@ def token_pieces(
     tokens. A null or empty text is the one id 1. Repeated rows are separate
     documents.
     """
-    path = tokenizer or tokenizer_file(VOCABULARY)
     end = np.array([END_ID], dtype="<u4").tobytes()
     size = 4 * capacity
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path)
+        code = coder(tokenizer or tokenizer_file(VOCABULARY))
         for batch in batches:
-            ids, rows, held = batch.column(0), [], 0
-            for i, text in enumerate(batch.column(1)):
-                coded = code(text.as_py() or "") + end
-                for piece, at in enumerate(range(0, len(coded), size)):
-                    part = coded[at : at + size]
-                    rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else b""))
-                    held += len(rows[-1][5])
-                if held > BATCH:
-                    yield pieces(ids, rows)
-                    rows, held = [], 0
-            if rows:
-                yield pieces(ids, rows)
+            for first, texts in grouped(batch.column(1)):
+                rows = []
+                for i, coded in enumerate(code(texts), first):
+                    coded += end
+                    for piece, at in enumerate(range(0, len(coded), size)):
+                        part = coded[at : at + size]
+                        rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else b""))
+                yield pieces(batch.column(0), rows)
 
     def pieces(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
         at, piece, start, length, crc, parts = zip(*rows, strict=True)

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import bisect
 import heapq
-import itertools
 import math
 import re
 import zlib
@@ -181,10 +180,8 @@ class Lattice:
         loss = [(e[3], i) for i, e in enumerate(every) if e[3] is not None]
         open_ = sorted(i for _, i in heapq.nsmallest(self.n - 1, loss))
         options = [self.paths(parts[i]) for i in open_]
-        choices = itertools.product(*[range(len(o)) for o in options])
-        ranked = sorted((sum(o[0][0] - o[k][0] for o, k in zip(options, pick, strict=True)), pick) for pick in choices)
         out = []
-        for lost, pick in ranked[: self.n]:
+        for lost, pick in self.picks([[o[0][0] - p[0] for p in o] for o in options]):
             more = 0
             for i, o, k in zip(open_, options, pick, strict=True):
                 ids[i] = o[k][2]
@@ -192,6 +189,22 @@ class Lattice:
             out.append((score - lost, count + more, b"".join(ids)))
         return out
 
+    def picks(self, losses: list[list[int]]) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """The n choices, one of each rising list, that lose least in all, with their loss; ties to the earlier list's better choice.
+
+        A choice is followed by those with one more step in its last changed
+        list or a later one, so every choice waits once, behind a smaller one.
+        """
+        waiting = [(0, (0,) * len(losses), 0)]
+        for _ in range(self.n):
+            if not waiting:
+                return
+            lost, pick, last = heapq.heappop(waiting)
+            yield lost, pick
+            for i in range(last, len(losses)):
+                if (k := pick[i] + 1) < len(losses[i]):
+                    heapq.heappush(waiting, (lost + losses[i][k] - losses[i][k - 1], (*pick[:i], k, *pick[i + 1 :]), i))
+
     def encode(self, text: str) -> list[Path]:
         """The n best segmentations of a text; an empty one has the one without pieces."""
         if not text:
@@ -217,13 +230,12 @@ def encode(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "tex
     without pieces; short texts may have fewer than n. Repeated rows are
     segmented each.
     """
-    path = model or tokenizer_file(VOCABULARY)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, rank int, score double, n_pieces long, ids_crc32 long, round_trip boolean"
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lat = lattice(path, n)
+        lat = lattice(model or tokenizer_file(VOCABULARY), n)
         for batch in batches:
             rows, held = [], 0
             for i, value in enumerate(batch.column(1)):
@@ -252,11 +264,9 @@ def encode(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "tex
 
 def decode(rows: DataFrame, ids_col: str = "ids", model: str | None = None) -> DataFrame:
     """rows with the column `decoded`: the text of an array of piece ids (null for null ids)."""
-    path = model or tokenizer_file(VOCABULARY)
-
     @F.pandas_udf("string")
     def text_of(series):
-        lat = lattice(path, 1)
+        lat = lattice(model or tokenizer_file(VOCABULARY), 1)
         return series.map(lambda ids: None if ids is None else lat.decode(np.asarray(ids, dtype="<u4").tobytes()))
 
     return rows.withColumn("decoded", text_of(F.col(ids_col)))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.keyed import skew_join
+from meterlake.functions.keyed import first_per_key, skew_join
 from meterlake.llm.common import row_ref, stored
 
 THRESHOLD = 400
@@ -43,6 +43,7 @@ GRAM_SHARE = 5  # a gram has threshold / GRAM_SHARE bytes
 PIECE = 16
 STARTS = 1 << 18  # window starts that are hashed at once
 PLACE_BITS = 20
+LEAST, MOST = 40, 1278  # thresholds: common bytes must be left beside a piece, distances from the gram take 10 bits
 
 # --- rolling hashes ---------------------------------------------------------
 
@@ -209,7 +210,9 @@ def pieces(texts: DataFrame, kinds: DataFrame, threshold: int) -> DataFrame:
     names = ["gram", "number", "common", "beside", "low", "high", "base", "rid", "rhash"]
     schema = "gram long, number int, common long, beside binary, low int, high int, base long, rid long, rhash long"
     lists = kinds.groupBy("rid", "rhash").agg(F.collect_list(F.struct("gram", "place")).alias("runs"))
-    joined = texts.select("rid", "rhash", "size", "packed").join(lists, ["rid", "rhash"])
+    # Repeated rows have one text.
+    once = first_per_key(texts.select("rid", "rhash", "size", "packed"), ["rid", "rhash"], [F.col("size")])
+    joined = once.join(lists, ["rid", "rhash"])
     return joined.select("rid", "rhash", "size", "packed", "runs").mapInArrow(run, schema)
 
 
@@ -278,12 +281,14 @@ def cut_repeats(
 
     Texts are UTF-8 bytes; a null text is empty. spans are the maximal removed
     runs of bytes (start, end), in order; kept is what remains. A byte goes if
-    a window of `threshold` bytes over it also starts anywhere else in docs,
+    a window of `threshold` bytes (40 to 1278) over it also starts anywhere else in docs,
     judged on the texts as given. Texts under the threshold stay whole. Copies
     of a longer text, repeated rows among them, all go. Other columns stay in
     `row`, so their names can't clash. With as_text, kept is a string, without
     the parts of characters that a cut has split.
     """
+    if not LEAST <= threshold <= MOST:
+        raise ValueError(f"threshold must lie between {LEAST} and {MOST}")
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = docs.schema[text_col].dataType
     row = F.struct(*[F.lit(None).cast(kind).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
@@ -293,7 +298,7 @@ def cut_repeats(
     texts = _packed(rows)
     long = rows.where(F.octet_length("text") >= threshold).select("rid", "rhash", "text")
     found = repeated_windows(long, texts, threshold)
-    lists = found.groupBy("rid", "rhash").agg(F.collect_list(F.struct("low", "high")).alias("found"))
+    lists = found.groupBy("rid", "rhash").agg(F.collect_set(F.struct("low", "high")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

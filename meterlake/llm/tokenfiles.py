@@ -56,10 +56,8 @@ def _parts(text: str) -> list[str]:
 
 def encoded(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """The column `tokens` (16-bit little-endian ids) per row of docs, in their order; a null text has none."""
-    path = tokenizer or tokenizer_file(VOCABULARY)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _tokenizer(path)
+        code = _tokenizer(tokenizer or tokenizer_file(VOCABULARY))
         for batch in batches:
             waiting, owner, done, held = [], [], [], 0
             for i, text in enumerate(batch.column(0)):

@@ -1,8 +1,11 @@
 """Near-duplicates and repeated passages."""
 
+import time
+
 import numpy as np
 import pytest
 from helpers import documents, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterlake.llm import repeats, simhash
@@ -70,6 +73,23 @@ def test_cut_repeats_with_null_ids_and_repeated_rows(spark):
     assert sorted((r.n_bytes, len(r.spans), bytes(r.kept)) for r in rows) == want
 
 
+def test_very_many_copies_of_one_row(spark):
+    text = words(np.random.default_rng(8), 2500, 100_000)
+    docs = documents(spark, [text, "kept " * 20]).crossJoin(spark.range(10_000).withColumnRenamed("id", "copy")).where("doc_id = 0 OR copy = 0")
+    # Copies with a null id and one text, and another text that shares a part with them.
+    docs = docs.withColumn("doc_id", F.lit(None).cast("long")).unionByName(documents(spark, [text[:3000] + " own end"]).withColumn("copy", F.lit(0).cast("long")))
+    start = time.time()
+    rows = repeats.cut_repeats(docs).groupBy("n_bytes", "spans", "kept").count().collect()
+    assert time.time() - start < 120
+    assert sorted((r["count"], len(r.kept)) for r in rows) == [(1, 8), (1, 100), (10_000, 0)]
+
+
+def test_thresholds_that_do_not_fit_are_refused(spark):
+    for threshold in (39, 1279):
+        with pytest.raises(ValueError):
+            repeats.cut_repeats(documents(spark, ["a"]), threshold=threshold)
+
+
 def test_cut_repeats_as_text_keeps_whole_characters(spark):
     docs = documents(spark, ["aé" + "x" * 90, "bé" + "x" * 90])
     # é ends with the same byte in both, and the byte before it is the same too.

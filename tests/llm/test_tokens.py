@@ -1,5 +1,6 @@
 """Token files, pieces and packing."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from helpers import documents, words
 from tokenizers import Tokenizer
 
 from meterlake.llm import packing, pieces, tokenfiles
-from meterlake.llm.common import TOKENIZERS, tokenizer_file
+from meterlake.llm.common import tokenizer_file
 
 HARD = ["", None, "a b  c\n\n d \n", "<|endoftext|> x<|endoftext|>", "x" * 70_000, "ab c,  d\n\n" * 9000, "é 😀 " * 9000,
         "don't WE'LL 12 3.5", "İstanbul ΣΑΣ ǅ", "\x1c\x1d a\x85b", "é é", "x", "x"]
@@ -73,12 +74,27 @@ def test_piece_frames_round_trip(spark):
     assert pieces.encode(documents(spark, []), 3).count() == 0
 
 
+def test_many_segmentations_of_one_line():
+    few, many = (pieces.Lattice(tokenizer_file(pieces.VOCABULARY), n) for n in (6, 40))
+    line = "The unbelievable international misunderstandings of yesterday, notwithstanding the weather"
+    found = many.encode(line)
+    assert len(found) == 40 == len({p[2] for p in found}) and [p[0] for p in found] == sorted((p[0] for p in found), reverse=True)
+    assert [p[0] for p in found[:6]] == [p[0] for p in few.encode(line)]
+    losses = [[0, 1, 5], [0, 0, 3], [0, 2], [0]]
+    every = sorted((sum(x[k] for x, k in zip(losses, pick, strict=True)), pick) for pick in itertools.product(range(3), range(3), range(2), range(1)))
+    assert list(many.picks(losses)) == every
+
+
 def test_word_coder_equals_the_tokenizer():
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    path = tokenizer_file("word_bpe_49k.json")
     plain, code = Tokenizer.from_file(path), packing.WordCoder(path)
-    for text in [*HARD, "A.b, C.,! d.-", "<|ENDOFTEXT|> <|endoftext|>", "ª º", "Straße. CAFÉ,", "tab\there\r\nx"]:
-        want = plain.encode(text or "", add_special_tokens=False).ids
-        assert code(text or "") == np.array(want, dtype="<u4").tobytes()
+    texts = [*HARD, "A.b, C.,! d.-", "<|ENDOFTEXT|> <|endoftext|>", "ª º", "Straße. CAFÉ,", "tab\there\r\nx"]
+    texts += ["İstanbul ſ ŉ ΣΑΣ don't it's a$$$ b's. 'tis x<|startoftext|>y ’s’ \xa0z k\x0bm ﬁ Ⅷ a--b {x}~ (x) e\u0301", "$$$ x $$$", "x$$$ ...x"]
+    want = [np.array(plain.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert code([t or "" for t in texts]) == want
+    assert [code([t or ""])[0] for t in reversed(texts)] == want[::-1]
+    code.forget()
+    assert code([t or "" for t in reversed(texts)]) == want[::-1] and code([]) == []
 
 
 @pytest.mark.parametrize("histogram", [{}, {4096: 5}, {1: 3}, {4095: 4, 1: 3}, {2000: 100, 97: 1000, 5: 7, 4096: 2}, {4090: 3, 7: 50}])
