@@ -34,6 +34,7 @@ HIDDEN = 8
 LANGUAGES_MOST = 64
 WINDOWS_A_LANGUAGE = 1024
 DRAWS = 8
+SPARE = 8
 TRAIN_BYTES = 64
 STEPS = 300
 BATCH = 256
@@ -228,18 +229,21 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """lang, window: the windows to learn from, of documents that are not held out.
 
     Every document offers DRAWS windows at places that its hash chooses, over
-    its whole text. Languages are the LANGUAGES_MOST most frequent ones.
+    its whole text; copies offer the same ones, which count once. Languages are
+    the LANGUAGES_MOST most frequent ones. Of a frequent language only hashes
+    under a bound that leaves about SPARE times as many as are kept leave their task.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~held_out(id_col))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    common = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES_MOST).select("lang")
+    common = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES_MOST)
     content = F.col("text").cast("binary")
     drawn = rows.select("lang", "text", F.explode(F.sequence(F.lit(1), F.lit(DRAWS))).alias("draw"))
     drawn = drawn.withColumn("hash", F.xxhash64("draw", "text"))
     room = F.greatest(F.octet_length("text") - TRAIN_BYTES + 1, F.lit(1))
     place = F.pmod(F.xxhash64("hash"), room).cast("int") + 1
     drawn = drawn.select("lang", "hash", F.substring(content, place, F.lit(TRAIN_BYTES)).alias("window"))
-    drawn = drawn.join(F.broadcast(common), "lang")
+    share = F.lit(float(SPARE * WINDOWS_A_LANGUAGE)) / (F.col("count") * DRAWS)
+    drawn = drawn.join(F.broadcast(common), "lang").where(F.col("hash") < share * 2.0**64 - 2.0**63).drop("count").distinct()
     return top_per_key(drawn, ["lang"], [F.col("hash"), F.col("window")], WINDOWS_A_LANGUAGE).select("lang", "window")
 
 
