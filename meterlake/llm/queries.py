@@ -137,9 +137,19 @@ told AS (
   SELECT entity, term, log2(n_both * n::DOUBLE / (n_term * n_entity)) / log2(n::DOUBLE / n_entity) AS disclosure
   FROM pairs JOIN by_entity USING (entity) JOIN by_term USING (term), (SELECT count(*) AS n FROM docs)
   WHERE n > n_entity),
+tells AS (
+  SELECT term, max(CASE WHEN disclosure >= {pii.REMOVE} THEN 5 ELSE 4 END) AS kind FROM told
+  WHERE disclosure >= {pii.GENERALISE} GROUP BY term),
+said AS (
+  SELECT rid, unnest(string_split_regex(t, '[^\p{{L}}]')) AS w, generate_subscripts(string_split_regex(t, '[^\p{{L}}]'), 1) AS k FROM docs),
+spoken AS (
+  SELECT rid, w, coalesce(sum(length(w) + 1) OVER (PARTITION BY rid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "start"
+  FROM said),
 terms AS (
-  SELECT rid, max(CASE WHEN disclosure >= {pii.REMOVE} THEN 5 ELSE 4 END) AS kind, "start", "end"
-  FROM near JOIN told USING (entity, term) WHERE disclosure >= {pii.GENERALISE} GROUP BY rid, "start", "end"),
+  SELECT rid, max(kind) AS kind, "start", "end" FROM (
+    SELECT rid, kind, "start", "end" FROM near JOIN tells USING (term)
+    UNION ALL SELECT rid, kind, "start", "start" + length(w) AS "end" FROM spoken JOIN tells ON term = lower(w))
+  GROUP BY rid, "start", "end"),
 every AS (SELECT rid, kind, "start", "end" FROM found UNION ALL SELECT rid, kind, "start", "end" FROM terms),
 edged AS (
   SELECT *, max(CASE WHEN kind < 4 THEN "end" END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,

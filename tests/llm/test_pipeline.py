@@ -7,12 +7,14 @@ from meterlake.llm import queries
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_twins(spark, folder, name):
+    # Disclosing terms show on more documents only.
+    folder = folder.replace("sf0.001", "sf0.01") if name.startswith("op6") else folder
     ok, message = oracle.compare(spark, oracle.database(folder), folder, queries.QUERIES[name], queries.SQL[name])
     assert ok, message
 
 
-def test_all_ten_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+def test_all_are_registered():
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_one_by_one(spark, folder):
