@@ -9,6 +9,7 @@ from meterlake.functions import scalars as S
 from meterlake.schemas import DEFAULT_EMBEDDING_MODEL, FEATURE_TYPES, PROVIDERS
 
 REASONS = "reject_reasons"
+OUTCOME = "outcome"
 
 
 def _missing(name: str) -> Column:
@@ -132,17 +133,41 @@ def validation_summary(df: DataFrame, rules: dict[str, Column] | None = None) ->
     return exploded.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def split_messages(decoded: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
-    """Decoded messages -> (valid rows, dead letters).
+def message_rules(corrupt: str = "_corrupt") -> dict[str, Column]:
+    """The rules of interactions behind that of the text: a message that did not parse has no fields to check."""
+    broken = F.col(corrupt).isNotNull() | F.col("value").isNull()
+    return {"malformed_json": broken} | {name: ~broken & rule for name, rule in interaction_rules().items()}
+
 
-    Text that is not JSON and rows that break a rule both end in the dead
-    letters, with the raw text, where it came from, and the reasons; neither
-    stops the load.
+def mark_messages(decoded: DataFrame, corrupt: str = "_corrupt") -> DataFrame:
+    """Decoded messages with their reasons and their outcome: valid or dead.
+
+    Text that is not JSON and rows that break a rule are dead; they keep the
+    raw text, which a valid row no longer needs. Neither stops the load. One
+    frame holds both sides, so that a stream or a table decodes a message once.
     """
-    broken = F.col(corrupt).isNotNull() | F.col("value").isNull()
-    # A message that did not parse has no fields to check.
-    rules = {"malformed_json": broken}
-    rules |= {name: ~broken & rule for name, rule in interaction_rules().items()}
-    valid, invalid = split(decoded, rules)
+    marked = with_reasons(decoded, message_rules(corrupt))
+    dead = F.size(REASONS) > 0
+    marked = marked.withColumn("value", F.when(dead, F.col("value"))).drop(corrupt)
+    return marked.withColumn(OUTCOME, F.when(dead, "dead").otherwise("valid"))
+
+
+def written_apart(marked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, the rest with reasons) of a frame with reasons, which is scanned and checked once.
+
+    The frame is written by outcome, and each side reads its own folder.
+    """
+    if OUTCOME not in marked.columns:
+        marked = marked.withColumn(OUTCOME, F.when(F.size(REASONS) > 0, "dead").otherwise("valid"))
+    marked.write.partitionBy(OUTCOME).parquet(path)
+    back = marked.sparkSession.read.schema(marked.schema).parquet(path)
+    side = lambda name: back.where(F.col(OUTCOME) == name).drop(OUTCOME)
+    return side("valid").drop(REASONS), side("dead")
+
+
+def split_messages(decoded: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
+    """Decoded messages -> (valid rows, dead letters with the raw text, where it came from, and the reasons)."""
+    marked = mark_messages(decoded, corrupt)
     context = [c for c in ("value", "source_partition", "source_offset") if c in decoded.columns]
-    return valid.drop(corrupt, *context), invalid.select(*context, REASONS)
+    valid = marked.where(F.col(OUTCOME) == "valid").drop(*context, REASONS, OUTCOME)
+    return valid, marked.where(F.col(OUTCOME) == "dead").select(*context, REASONS)

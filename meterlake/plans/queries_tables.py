@@ -12,7 +12,8 @@ from meterlake.plans.catalog import AS_OF, CALLS, calls, documents, query, round
 from meterlake.plans.session import work_folder
 from meterlake.schemas import RAW_INTERACTION
 from meterlake.sources import online as N
-from meterlake.sources.archive import Archive, VersionedTable, move_to_archive, read_all_tiers
+from meterlake.sources.archive import Archive, VersionedTable
+from meterlake.sources.daily import move_days, read_all_tiers, read_days, write_days
 from meterlake.sources.interactions import (
     as_messages,
     decode_json,
@@ -74,19 +75,13 @@ def s1(spark, folder):
     return rounded(rows, "cost_usd", digits=9)
 
 
-def _landed(query_handle):
-    query_handle.awaitTermination()
-    if query_handle.exception() is not None:
-        raise query_handle.exception()
-
-
 @query("S2_stream_interactions", f"""{CALLS}
 SELECT interaction_id, model, total_tokens, date::VARCHAR AS date FROM calls""")
 def s2(spark, folder):
     path = work_folder(spark, "stream")
     publish_interactions(calls(spark, folder), sink="files", path=f"{path}/in")
     stream = J.decoded_stream(stream_interactions(spark, source="files", path=f"{path}/in"))
-    _landed(J.start_metric(stream, f"{path}/out", f"{path}/checkpoint"))
+    J.landed(J.start_metric(stream, f"{path}/out", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/out").select("interaction_id", "model", "total_tokens", text("date"))
 
 
@@ -98,7 +93,7 @@ def s3(spark, folder):
         F.to_json(F.struct(F.col("doc_id").cast("string").alias("request_id"), "text")).alias("value"))
     messages.write.text(f"{path}/in")
     responses = VersionedTable(spark, f"{path}/responses", None)
-    _landed(J.start_embedding_requests(
+    J.landed(J.start_embedding_requests(
         stream_embedding_requests(spark, source="files", path=f"{path}/in"),
         cache_table(spark, f"{path}/cache"), responses, f"{path}/refused", f"{path}/checkpoint"))
     return responses.read().select("request_id", "model", "cache_hit", "dimension")
@@ -109,7 +104,8 @@ SELECT CASE WHEN event_id % 7 = 0 THEN ['malformed_json'] ELSE {_REASONS} END AS
 SELECT 'valid' AS side, '' AS reason, count(*) AS messages FROM m WHERE len(reasons) = 0
 UNION ALL SELECT 'dead', array_to_string(reasons, ','), count(*) FROM m WHERE len(reasons) > 0 GROUP BY reasons""")
 def s4(spark, folder):
-    valid, dead = V.split_messages(decode_json(faulty_messages(calls(spark, folder))))
+    marked = V.mark_messages(decode_json(faulty_messages(calls(spark, folder))))
+    valid, dead = V.written_apart(marked, work_folder(spark, "split"))
     count = F.count(F.lit(1)).alias("messages")
     good = valid.groupBy(F.lit("valid").alias("side"), F.lit("").alias("reason")).agg(count)
     return good.unionByName(dead.groupBy(
@@ -162,12 +158,13 @@ def _before(day):
 @query("S7_archive_write", f"""{CALLS}
 SELECT date::VARCHAR AS date, count(*) AS rows, sum(total_tokens)::BIGINT AS tokens FROM calls GROUP BY date""")
 def s7(spark, folder):
-    archive, rows = _archive(spark), calls(spark, folder)
-    archive.write_interactions(rows.where(_before("2024-01-15")))
-    archive.write_interactions(rows.where(~_before("2024-01-15")))
-    archive.write_interactions(rows.where("false"))
-    stored = archive.read()
-    return stored.groupBy("date").agg(
+    root, rows = work_folder(spark, "days"), calls(spark, folder)
+    write_days(rows.where(_before("2024-01-15")), root)
+    write_days(rows.where(~_before("2024-01-15")), root)
+    write_days(rows.where("false"), root)
+    # One day written again replaces itself and no other.
+    write_days(rows.where("date = DATE '2024-01-10'"), root, "overwrite")
+    return read_days(spark, root).groupBy("date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("total_tokens").alias("tokens")).withColumn("date", text("date"))
 
 
@@ -175,9 +172,9 @@ def s7(spark, folder):
 SELECT interaction_id, date::VARCHAR AS date, model FROM calls
 WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND user_id = 'user_7'""")
 def s8(spark, folder):
-    archive = _archive(spark)
-    archive.write_interactions(calls(spark, folder))
-    rows = archive.read_interactions("2024-01-05", "2024-01-20", "user_7", limit=0)
+    root = work_folder(spark, "days")
+    write_days(calls(spark, folder), root)
+    rows = read_days(spark, root, "2024-01-05", "2024-01-20", "user_7", limit=0)
     return rows.select("interaction_id", text("date"), "model")
 
 
@@ -219,10 +216,12 @@ def s11(spark, folder):
 @query("S12_archive_move", f"""{CALLS}
 SELECT CASE WHEN date < DATE '{AS_OF}' - INTERVAL 15 DAY THEN 'cold' ELSE 'warm' END AS tier, interaction_id FROM calls""")
 def s12(spark, folder):
-    archive, rows = _archive(spark), calls(spark, folder)
-    keep = move_to_archive(rows, archive, AS_OF, 15)
+    root, rows = work_folder(spark, "days"), calls(spark, folder)
+    # Some days were moved before, and one was left half done.
+    move_days(rows.where(_before("2024-01-08") & (F.col("operation") != "click")), root, AS_OF, 15)
+    keep = move_days(rows, root, AS_OF, 15)
     warm = keep.select(F.lit("warm").alias("tier"), "interaction_id")
-    return warm.union(archive.read().select(F.lit("cold"), "interaction_id"))
+    return warm.union(read_days(spark, root).select(F.lit("cold"), "interaction_id"))
 
 
 @query("S13_publish_interactions", f"""{CALLS}
@@ -296,10 +295,10 @@ def s16(spark, folder):
 @query("U1_read_all_tiers", f"""{CALLS}
 SELECT interaction_id, date::VARCHAR AS date, CASE WHEN date >= DATE '2024-01-10' THEN metadata END AS metadata FROM calls""")
 def u1(spark, folder):
-    archive, rows = _archive(spark), calls(spark, folder)
-    archive.write_interactions(rows.where(_before("2024-01-20")).drop("event_type", "is_error", "cache_hit", "operation"))
+    root, rows = work_folder(spark, "days"), calls(spark, folder)
+    write_days(rows.where(_before("2024-01-20")).drop("event_type", "is_error", "cache_hit", "operation"), root)
     warm = rows.where(~_before("2024-01-10"))
-    return read_all_tiers(warm, archive.read()).select("interaction_id", text("date"), "metadata")
+    return read_all_tiers(warm, read_days(spark, root)).select("interaction_id", text("date"), "metadata")
 
 
 # --- validation -------------------------------------------------------------
@@ -404,7 +403,7 @@ def t10(spark, folder):
     path = work_folder(spark, "dedupe")
     twice = _event_stream(spark, folder).unionByName(_event_stream(spark, folder).where("event_type = 'click'"))
     once = J.streaming_dedupe(twice).select("interaction_id", "event_type")
-    _landed(J.start_metric(once, f"{path}/out", f"{path}/checkpoint"))
+    J.landed(J.start_metric(once, f"{path}/out", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/out")
 
 
@@ -424,59 +423,54 @@ def t11(spark, folder):
     path = work_folder(spark, "sessions")
     stream = with_event_time(_event_stream(spark, folder), J.WATERMARK)
     sessions = sessionized_online_features(stream).drop("expires_at")
-    _landed(J.start_metric(sessions, f"{path}/out", f"{path}/checkpoint"))
+    J.landed(J.start_metric(sessions, f"{path}/out", f"{path}/checkpoint"))
     rows = rounded(spark.read.parquet(f"{path}/out"), "total_cost")
     return rows.withColumns({c: text(c) for c in ("session_start", "last_interaction_time")})
 
 
-def _ingest(spark, path, facts, on_accepted=None):
+def _ingest(spark, path, on_accepted=None):
     messages = stream_interactions(spark, source="files", path=f"{path}/in")
-    _landed(J.start_ingest(messages, facts, f"{path}/dead", f"{path}/checkpoint", on_accepted))
+    J.ingest(messages, f"{path}/facts", f"{path}/work", on_accepted)
 
 
 @query("T12_ingest", f"""{CALLS}
 SELECT 'fact' AS target, interaction_id, total_tokens, date::VARCHAR AS date FROM calls WHERE event_id % 7 <> 0 AND {_VALID}
 UNION ALL SELECT 'dead', NULL, count(*)::INT, NULL FROM calls WHERE NOT (event_id % 7 <> 0 AND {_VALID})""")
 def t12(spark, folder):
-    path = work_folder(spark, "ingest")
-    facts = VersionedTable(spark, f"{path}/facts")
-    rows = calls(spark, folder)
+    path, rows = work_folder(spark, "ingest"), calls(spark, folder)
     faulty_messages(rows).write.text(f"{path}/in")
-    _ingest(spark, path, facts)
+    _ingest(spark, path)
     # The same clicks again in a later batch: refused.
     as_messages(rows.where("operation = 'click'").where(
         (_event() % 7 != 0) & (_event() % 11 != 0) & (_event() % 13 != 0) & (_event() % 17 != 0)), RAW_NAMES
     ).select("value").write.mode("append").text(f"{path}/in")
-    _ingest(spark, path, facts)
-    stored = facts.read().select(F.lit("fact").alias("target"), "interaction_id", "total_tokens", text("date"))
-    dead = spark.read.parquet(f"{path}/dead").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    _ingest(spark, path)
+    stored = J.read_facts(spark, f"{path}/facts").select(F.lit("fact").alias("target"), "interaction_id", "total_tokens", text("date"))
+    dead = J.dead_letters(spark, f"{path}/work").agg(F.count(F.lit(1)).cast("int").alias("n"))
     nothing = F.lit(None).cast("string")
     return stored.union(dead.select(F.lit("dead"), nothing, "n", nothing))
 
 
 @query("T13_late_data", f"{CALLS} SELECT interaction_id, date::VARCHAR AS date FROM calls")
 def t13(spark, folder):
-    path = work_folder(spark, "late")
-    facts = VersionedTable(spark, f"{path}/facts")
-    rows = calls(spark, folder)
+    path, rows = work_folder(spark, "late"), calls(spark, folder)
     for part in (rows.where(~_before("2024-01-10")), rows.where(_before("2024-01-10"))):
         as_messages(part, RAW_NAMES).select("value").write.mode("append").text(f"{path}/in")
-        _ingest(spark, path, facts)
-    return facts.read().select("interaction_id", text("date"))
+        _ingest(spark, path)
+    return J.read_facts(spark, f"{path}/facts").select("interaction_id", text("date"))
 
 
 @query("U2_on_interaction", f"""{CALLS}
 SELECT model, count(*) AS calls FROM calls WHERE event_id % 7 <> 0 AND {_VALID} GROUP BY model""")
 def u2(spark, folder):
     path = work_folder(spark, "callback")
-    facts = VersionedTable(spark, f"{path}/facts")
     faulty_messages(calls(spark, folder)).write.text(f"{path}/in")
 
     def tally(accepted, batch_id):
         counts = accepted.groupBy("model").agg(F.count(F.lit(1)).alias("calls"))
         counts.write.mode("overwrite").parquet(f"{path}/tally/batch={batch_id}")
 
-    _ingest(spark, path, facts, tally)
+    _ingest(spark, path, tally)
     seen = spark.read.parquet(f"{path}/tally")
     return seen.groupBy("model").agg(F.sum("calls").alias("calls"))
 
@@ -487,6 +481,6 @@ UNION ALL SELECT user_id, 'total_tokens', sum(total_tokens)::VARCHAR FROM calls
 def o2_stream(spark, folder):
     path = work_folder(spark, "online")
     online = N.online_table(spark, f"{path}/online")
-    _landed(J.start_online_features(_event_stream(spark, folder), online, f"{path}/checkpoint"))
+    J.landed(J.start_online_features(_event_stream(spark, folder), online, f"{path}/checkpoint"))
     entries = N.merge_online(None, online.read())
     return entries.where("feature_name IN ('interaction_count', 'total_tokens')").select("entity_id", "feature_name", "value")

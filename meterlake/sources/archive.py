@@ -26,9 +26,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from meterlake.functions.filters import as_date, date_range, optional_user
-from meterlake.functions.keyed import without_known
-from meterlake.schemas import ARCHIVE_AFTER_DAYS, ARCHIVE_COLUMNS, ARCHIVE_RETENTION_HOURS
+from meterlake.functions.filters import date_range, optional_user
+from meterlake.schemas import ARCHIVE_COLUMNS, ARCHIVE_RETENTION_HOURS
 
 COMMIT = StructType([
     StructField("version", IntegerType()),
@@ -259,31 +258,3 @@ class Archive(VersionedTable):
         version = self.compact(("user_id", "timestamp"))
         self.expire(now, retention_hours)
         return version
-
-
-def split_by_age(facts: DataFrame, as_of, days: int = ARCHIVE_AFTER_DAYS) -> tuple[DataFrame, DataFrame]:
-    """(rows to move, rows to keep): older than as_of - days, and the rest."""
-    cutoff = F.date_sub(as_date(as_of), days)
-    return facts.where(F.col("date") < cutoff), facts.where(F.col("date") >= cutoff)
-
-
-def move_to_archive(facts: DataFrame, archive: Archive, as_of, days: int = ARCHIVE_AFTER_DAYS) -> DataFrame:
-    """Archive the rows older than days, and return what stays in the warm table.
-
-    Rows already in the archive are not written twice, so a move that failed
-    before the warm table was rewritten can be repeated. A move writes the
-    moved rows and nothing else, whatever the archive holds already.
-    """
-    old, keep = split_by_age(facts, as_of, days)
-    if archive._visible(None):
-        cutoff = F.date_sub(as_date(as_of), days)
-        done = archive.read().where(F.col("date") < cutoff)
-        old = without_known(old, done, ["interaction_id"])
-    archive.write_interactions(old)
-    return keep
-
-
-def read_all_tiers(warm: DataFrame, archive: DataFrame) -> DataFrame:
-    """Warm and archived rows together; a row in both tiers counts once, warm first."""
-    cold_only = without_known(archive, warm, ["interaction_id"])
-    return warm.unionByName(cold_only, allowMissingColumns=True)

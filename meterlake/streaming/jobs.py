@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from meterlake.functions.keyed import checked_broadcast
+from meterlake.functions import scalars as S
 from meterlake.operators.embeddings import EmbedderFactory, embed_requests, hash_embedder
-from meterlake.operators.facts import INTERACTION_KEY, insert_interactions
+from meterlake.operators.facts import INTERACTION_KEY
 from meterlake.operators.features import online_features_lifetime
-from meterlake.operators.validation import apply_defaults, split_messages
+from meterlake.operators.validation import OUTCOME, REASONS, apply_defaults, mark_messages, split_messages
+from meterlake.schemas import INTERACTION
 from meterlake.sources.archive import VersionedTable
 from meterlake.sources.interactions import decode_embedding_requests, decode_json, with_derived
 from meterlake.sources.online import online_rows, publish_online_features
 from meterlake.streaming.windows import with_event_time
 
 WATERMARK = "1 hour"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 AVAILABLE_NOW = {"availableNow": True}
 LIFETIME_NAMES = ["total_cost", "total_tokens", "interaction_count", "avg_latency", "last_model",
                   "last_interaction_time"]
@@ -32,55 +36,118 @@ def _now() -> datetime:
 def streaming_dedupe(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """One row per interaction_id among rows that arrive within the delay of each
     other; state older than the watermark is dropped. Any repeat that comes
-    later is refused by the key check of the fact table."""
+    later is refused by the ids that the ingest keeps."""
     return with_event_time(stream, delay).dropDuplicatesWithinWatermark(INTERACTION_KEY)
 
 
-def accepted_rows(batch: DataFrame, facts: VersionedTable) -> DataFrame:
-    """Rows of a micro-batch whose id is new to the fact table.
+# --- ingest -------------------------------------------------------------------
 
-    The batch ids go to the scan of the facts (as a broadcast when they are
-    few), so the fact table is filtered in place and not exchanged.
+# What is written once per message: the interaction, and why it was refused.
+INBOX = StructType([
+    *INTERACTION.fields,
+    *[StructField(name, StringType()) for name in ("value", "source_partition", "source_offset")],
+    StructField(REASONS, ArrayType(StringType())),
+    StructField(OUTCOME, StringType()),
+])
+
+
+def _made(spark: SparkSession, path: str) -> str:
+    """The folder, made if it is not there; a write by partitions without rows leaves no file."""
+    spark.createDataFrame([], "interaction_id string, part int").write.mode("append").partitionBy("part").parquet(path)
+    return path
+
+
+def start_decoding(messages: DataFrame, work: str, trigger: dict | None = None) -> StreamingQuery:
+    """Raw messages -> work/inbox, by outcome: each message is decoded and checked once.
+
+    The dead letters are the inbox's folder of that outcome. The file sink
+    keeps its own record of finished batches, so a repeated one adds nothing.
     """
-    once = insert_interactions(batch)
-    if not facts._visible(None):
-        return once
-    ids = checked_broadcast(batch.select(*INTERACTION_KEY).distinct())
-    known = facts.read().select(*INTERACTION_KEY).join(ids, INTERACTION_KEY, "left_semi")
-    return once.join(known, INTERACTION_KEY, "left_anti")
+    marked = apply_defaults(mark_messages(decode_json(messages)))
+    derived = {"total_tokens": S.total_tokens(), "date": S.event_date()}
+    for name in ("source_partition", "source_offset"):
+        if name not in marked.columns:
+            derived[name] = F.lit(None).cast("string")
+    rows = marked.withColumns(derived).select(*[F.col(f.name).cast(f.dataType) for f in INBOX])
+    writer = rows.writeStream.format("parquet").partitionBy(OUTCOME).option("path", f"{work}/inbox")
+    return writer.option("checkpointLocation", f"{work}/decode").trigger(**(trigger or AVAILABLE_NOW)).start()
 
 
-def start_ingest(
-    messages: DataFrame,
-    facts: VersionedTable,
-    dead_letters: str,
-    checkpoint: str,
+def dead_letters(spark: SparkSession, work: str) -> DataFrame:
+    rows = spark.read.schema(INBOX).parquet(f"{work}/inbox").where(F.col(OUTCOME) == "dead")
+    return rows.select("value", "source_partition", "source_offset", REASONS)
+
+
+def new_interactions(spark: SparkSession, work: str) -> DataFrame:
+    """Stream of the inbox's valid rows whose id has not been seen, in this stream or in work/known.
+
+    The ids live in the keyed state store, so a batch costs what the batch
+    holds, however many facts there are. No watermark applies: a late row is
+    new as long as its id is. Of rows with one id in one batch any is taken.
+    """
+    names = [f.name for f in INTERACTION]
+    rows = spark.readStream.schema(INBOX).parquet(_made(spark, f"{work}/inbox"))
+    rows = rows.where(F.col(OUTCOME) == "valid").select(*names, F.lit(False).alias("_known"))
+    ids = spark.readStream.schema("interaction_id string").parquet(_made(spark, f"{work}/known"))
+    ids = ids.withColumn("_known", F.lit(True))
+    seen_once = rows.unionByName(ids, allowMissingColumns=True).dropDuplicates(INTERACTION_KEY)
+    return seen_once.where("NOT _known").drop("_known")
+
+
+def read_facts(spark: SparkSession, facts: str) -> DataFrame:
+    """The rows of all runs; a filter on the date prunes folders."""
+    rows = spark.read.schema(INTERACTION).option("basePath", facts).parquet(_made(spark, facts))
+    return rows.select(*[f.name for f in INTERACTION])
+
+
+def start_facts(
+    spark: SparkSession,
+    work: str,
+    facts: str,
     on_accepted: Callable[[DataFrame, int], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Raw messages -> fact table and dead letters.
+    """Inbox -> fact table, a plain folder by run, batch and date.
 
-    A batch that is run again after a failure changes nothing: known ids are
-    refused, and dead letters are written to one folder per batch. Late rows
-    are inserted under their own date; no watermark applies to the facts.
-    on_accepted is called with the accepted rows of every batch.
+    A batch that is run again replaces its own folder and changes nothing
+    else. Late rows land under their own date. on_accepted is called with the
+    rows of every batch, read back from the table.
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    run = hashlib.md5(work.encode()).hexdigest()[:8]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            valid, dead = split_messages(decode_json(batch))
-            dead.write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
-            rows = with_derived(apply_defaults(valid, _now()))
-            version = facts.write(accepted_rows(rows, facts))
-            if on_accepted is not None and version is not None:
-                accepted = facts.read_commit(version)
-                on_accepted(accepted, batch_id)
-        finally:
-            batch.unpersist()
+        path = f"{facts}/run={run}/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("date").parquet(path)
+        if on_accepted is not None:
+            on_accepted(spark.read.schema(INTERACTION).parquet(path), batch_id)
 
-    writer = messages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
+    writer = new_interactions(spark, work).writeStream.foreachBatch(load)
+    return writer.option("checkpointLocation", f"{work}/facts").trigger(**(trigger or AVAILABLE_NOW)).start()
+
+
+def seed_known_ids(existing: DataFrame, work: str, facts: str) -> None:
+    """Put the ids of facts that this run has not written into its state, once, before anything is decoded."""
+    existing.select(*INTERACTION_KEY).distinct().write.mode("append").parquet(f"{work}/known")
+    landed(start_facts(existing.sparkSession, work, facts))
+
+
+def landed(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def ingest(messages: DataFrame, facts: str, work: str, on_accepted: Callable[[DataFrame, int], None] | None = None) -> None:
+    """Take in all messages there are: decode them into the inbox, then load the facts.
+
+    work belongs to one run of the job and holds its inbox, checkpoints and
+    state. For a job that goes on, start start_decoding and start_facts with a
+    trigger. A run that goes on where another one's facts are is given their
+    ids by seed_known_ids.
+    """
+    landed(start_decoding(messages, work))
+    landed(start_facts(messages.sparkSession, work, facts, on_accepted))
 
 
 def decoded_stream(messages: DataFrame) -> DataFrame:

@@ -3,9 +3,12 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from meterlake.sources import online as N
-from meterlake.sources.archive import Archive, VersionedTable, move_to_archive, read_all_tiers
+from meterlake.schemas import INTERACTION
+from meterlake.sources.archive import Archive, VersionedTable
+from meterlake.sources.daily import ARCHIVE, archived_before, move_days, read_all_tiers, read_days, split_by_age, write_days
 
 
 @pytest.fixture
@@ -98,13 +101,47 @@ def test_expiry_drops_only_old_versions(archive, make_calls):
     assert ids(archive.read()) == ["i1", "i2", "i3", "i4"]
 
 
-def test_move_can_be_repeated(archive, make_calls):
-    facts = make_calls(on(range(1, 11)))
+def test_days_are_plain_files(spark, make_calls, tmp_path):
+    root = str(tmp_path / "days")
+    write_days(make_calls(on([1, 2])).where("false"), root)
+    assert read_days(spark, root).count() == 0 and read_days(spark, root).columns == [f.name for f in ARCHIVE]
+    write_days(make_calls(on([1, 2, 3])), root)
+    write_days(make_calls(on([3], "more")).withColumn("region", F.lit("eu")), root)
+    assert ids(read_days(spark, root)) == ["i1", "i2", "i3", "more3"]
+    # A reader asks for the columns it wants; older files lack some.
+    wide = StructType([*ARCHIVE.fields, StructField("region", StringType())])
+    assert {r.interaction_id: r.region for r in read_days(spark, root, schema=wide).collect()}["i1"] is None
+    # Overwriting touches the dates that are written, and no other.
+    write_days(make_calls(on([3], "new")), root, "overwrite")
+    assert ids(read_days(spark, root)) == ["i1", "i2", "new3"]
+    assert {f for f in os.listdir(root) if not f.startswith((".", "_"))} == {f"date=2024-01-0{d}" for d in (1, 2, 3)}
+    assert ids(read_days(spark, root, "2024-01-02", "2024-01-03", "")) == ["i2", "new3"]
+    assert read_days(spark, root, limit=2).count() == 2 and read_days(spark, root, limit=0).count() == 3
+    with pytest.raises(ValueError):
+        write_days(make_calls(on([1])), root, "replace")
+
+
+def test_move_can_be_repeated(spark, make_calls, tmp_path):
+    root, facts = str(tmp_path / "days"), make_calls(on(range(1, 11)))
+    # A move that was left half done, and one that is repeated.
+    write_days(facts.where("interaction_id = 'i2'"), root)
     for _ in range(2):
-        keep = move_to_archive(facts, archive, "2024-01-12", 5)
+        keep = move_days(facts, root, "2024-01-12", 5)
         # Exactly five days old stays.
         assert ids(keep) == ["i10", "i7", "i8", "i9"]
-        assert len(ids(archive.read())) == 6
+        assert ids(read_days(spark, root)) == [f"i{d}" for d in range(1, 7)]
+
+
+def test_a_move_reads_no_other_date(spark, make_calls, tmp_path):
+    root, warm = str(tmp_path / "days"), str(tmp_path / "warm")
+    write_days(make_calls(on(range(1, 21), "old")), root)
+    make_calls(on([3, 9])).write.parquet(warm)
+    old, _ = split_by_age(spark.read.schema(INTERACTION).parquet(warm), "2024-01-12", 5)
+    done = archived_before(old, root)
+    assert ids(done) == ["old3"]
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("dynamicpruning" in line for line in filters), plan
 
 
 def test_tiers_count_a_row_once(make_calls):

@@ -1,5 +1,7 @@
 """Streams over files, run to their end, against the batch operators."""
 
+import contextlib
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -7,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import features as O
-from meterlake.sources.archive import VersionedTable
 from meterlake.sources.interactions import as_messages, stream_interactions
 from meterlake.sources.online import merge_online, online_table
 from meterlake.streaming import jobs as J
@@ -35,29 +36,83 @@ def finish(query):
     assert query.exception() is None
 
 
-def test_ingest_is_idempotent(spark, calls, tmp_path):
-    facts = VersionedTable(spark, str(tmp_path / "facts"))
-    seen = []
+@pytest.fixture
+def ingest(spark, tmp_path):
+    """Take in what is in the folder `in`; gives the facts."""
+
+    def run(checkpoint="cp", seen=None, known=None, **options):
+        facts, work = str(tmp_path / "facts"), str(tmp_path / checkpoint)
+        if known is not None:
+            J.seed_known_ids(known, work, facts)
+        messages = stream_interactions(spark, source="files", path=str(tmp_path / "in"), **options)
+        J.ingest(messages, facts, work, None if seen is None else lambda rows, batch: seen.append(rows.count()))
+        return J.read_facts(spark, facts)
 
-    def run(checkpoint="cp"):
-        messages = stream_interactions(spark, source="files", path=str(tmp_path / "in"), maxFilesPerTrigger=1)
-        finish(J.start_ingest(messages, facts, str(tmp_path / "dead"), str(tmp_path / checkpoint),
-                              lambda rows, batch: seen.append(rows.count())))
+    return run
 
+
+def test_ingest_is_idempotent(spark, calls, ingest, tmp_path):
+    seen = []
     send(calls, tmp_path / "in")
     (tmp_path / "in" / "bad.txt").write_text("{broken\n")
-    run()
-    assert facts.read().count() == 400 and sum(seen) == 400
-    assert spark.read.parquet(str(tmp_path / "dead")).count() == 1
-    # The same ids again, and then everything from the start under a new checkpoint.
+    rows = ingest(seen=seen, maxFilesPerTrigger=1)
+    assert rows.count() == 400 and sum(seen) == 400
+    dead = J.dead_letters(spark, str(tmp_path / "cp")).collect()
+    assert [(r.value, r.reject_reasons) for r in dead] == [("{broken", ["malformed_json"])]
+    # The same ids again, in the same run.
     send(calls.where("user_id = 'hot'"), tmp_path / "in")
-    run()
-    run("other")
-    rows = facts.read()
+    ingest(seen=seen)
+    assert sum(seen) == 400
+    rows = ingest()
     assert rows.count() == 400 and rows.select("interaction_id").distinct().count() == 400
     assert rows.exceptAll(calls.select(*rows.columns)).count() == 0
 
 
+def test_a_batch_that_is_run_again_changes_nothing(spark, calls, ingest, tmp_path):
+    send(calls, tmp_path / "in")
+    before = sorted(r.interaction_id for r in ingest().collect())
+    for step in ("decode", "facts"):
+        commits = tmp_path / "cp" / step / "commits"
+        last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+        os.remove(commits / last)
+        with contextlib.suppress(FileNotFoundError):
+            os.remove(commits / f".{last}.crc")
+    assert sorted(r.interaction_id for r in ingest().collect()) == before
+
+
+def test_a_new_checkpoint_starts_from_the_ids_of_the_facts(spark, calls, ingest, tmp_path):
+    old, new = calls.where("model = 'm0'"), calls.where("model = 'm1'")
+    send(old, tmp_path / "in")
+    facts = ingest("first")
+    # Everything is sent again to another run, which knows the facts' ids once and for all.
+    send(new, tmp_path / "in")
+    rows = ingest("second", known=facts)
+    assert rows.count() == old.count() + new.count() == rows.select("interaction_id").distinct().count()
+    send(calls, tmp_path / "in")
+    assert ingest("second").count() == 400
+
+
+def test_a_batch_costs_what_it_holds(spark, make_calls, tmp_path):
+    work, facts = str(tmp_path / "work"), str(tmp_path / "facts")
+    took = []
+    for batch in range(10):
+        # Half new rows, half repeats of all times; days go backwards, so that rows are late.
+        rows = [{"interaction_id": f"i{batch * 50 + i if i % 2 else (i * 7) % (batch * 50 + 1)}",
+                 "timestamp": START - timedelta(days=batch, seconds=i)} for i in range(100)]
+        send(make_calls(rows), tmp_path / "in")
+        J.landed(J.start_decoding(stream_interactions(spark, source="files", path=str(tmp_path / "in")), work))
+        query = J.start_facts(spark, work, facts)
+        J.landed(query)
+        progress = [p for p in query.recentProgress if p["numInputRows"]]
+        # Only the batch is read: neither the facts nor earlier batches.
+        assert sum(p["numInputRows"] for p in progress) == 100
+        took.append(progress[-1]["stateOperators"][0]["numRowsTotal"])
+    stored = J.read_facts(spark, facts)
+    n = stored.count()
+    assert n == stored.select("interaction_id").distinct().count() == took[-1] and took == sorted(took)
+    assert stored.select("date").distinct().count() >= 10
+
+
 def read_stream(spark, calls, folder):
     calls.coalesce(1).write.parquet(str(folder))
     return spark.readStream.schema(calls.schema).parquet(str(folder))
