@@ -22,9 +22,10 @@ A wrong hit costs a row and changes no count, a frequent phrase is never missed.
 The number of counters follows the number of windows up to 2^MAP_BITS_MOST (a
 bit map of 64 MB); on a larger corpus more rare windows are sent.
 
-A hot prefix does not meet in one task: entries are added up by prefix and
-word, with sums before the exchange, and merged stripes are dealt into parts
-by a hash of the next word; the number of parts follows the cluster.
+Entries are dealt into parts by a hash of prefix and word, so a hot prefix has a
+piece of its stripe in every part and does not meet in one task. A task sends
+the stripes of a block of text packed, one row per part; the parts are merged
+one after the other, and only frequent entries and totals leave.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.keyed import checked_broadcast, skew_join, top_per_key
-from meterlake.llm.common import pieces_of, stored
+from meterlake.llm.common import stored
 
 LONGEST = 5
 LEAST = 100
@@ -57,7 +58,10 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"  # fixed values: what ends a piece
 _UPPER = bytes(range(65, 91))
 CLEAN = bytes.maketrans(_UPPER + b"\t" + SEPARATORS, _UPPER.lower() + b" " + b"." * len(SEPARATORS))
-STRIPE = "lang string, prefix string, next array<string>, n array<bigint>"
+# The stripes of a block in one part: `size` has the number of entries of each prefix.
+PACKED = "lang string, part int, prefix array<string>, size array<int>, next array<string>, n array<bigint>"
+STRIPE = "lang string, prefix string, part int, total bigint, most bigint, entries map<string, bigint>"
+ENTRIES_AT_ONCE = 1 << 21
 
 
 class _Codes(dict):
@@ -74,8 +78,8 @@ class _Counter:
     maps[k] is the bit map of phrases of k words that may be frequent.
     """
 
-    def __init__(self, lang: str, widths: range, maps: dict[int, np.ndarray]):
-        self.lang, self.widths, self.maps = lang, widths, maps
+    def __init__(self, lang: str, widths: range, maps: dict[int, np.ndarray], parts: int = 1):
+        self.lang, self.widths, self.maps, self.dealt = lang, widths, maps, parts
         self.seed = xxhash.xxh64_intdigest(lang.encode())
         self.codes, self.parts, self.size = _Codes({b".": 0}), [], 0
         self.hashes = np.zeros(1, dtype=np.uint64)
@@ -102,7 +106,7 @@ class _Counter:
         codes = np.concatenate([*self.parts, np.zeros(beyond, dtype=np.int32)])
         self.parts, n, self.size = [], self.size, 0
         names = list(self.codes)
-        if self.maps:
+        if len(self.hashes) < len(names):
             new = [xxhash.xxh64_intdigest(w, self.seed) for w in names[len(self.hashes) :]]
             self.hashes = np.concatenate([self.hashes, np.array(new, dtype=np.uint64)])
         for start in range(0, n, WINDOWS_AT_ONCE):
@@ -114,25 +118,26 @@ class _Counter:
         for c, names in self._taken():
             words = pa.array(names, pa.binary()).cast(pa.string())
             if 0 in self.widths:
-                yield self._batch(words, *self._words(c))
+                yield self._packed(words, *self._words(c))
                 continue
-            for m, at, may, _ in self._windows(c):
-                yield self._batch(words, *self._pairs(c, m, at, may))
+            for m, at, may, h, _ in self._windows(c):
+                yield self._packed(words, *self._pairs(c, m, at, may, h))
 
     def counts(self) -> Iterator[np.ndarray]:
         """Hashes of the windows whose prefix and suffix may be frequent."""
         for c, _ in self._taken():
-            for _, _, _, h in self._windows(c):
+            for *_, h in self._windows(c):
                 yield h
 
     def _words(self, c: np.ndarray) -> tuple:
+        """The stripe of the empty prefix, as _pairs gives others."""
         n = np.bincount(c[: len(c) - self.widths[-1] - 1], minlength=1)
         n[0] = 0
         found = np.flatnonzero(n)
-        return [], found, n[found], np.array([0, len(found)] if len(found) else [0])
+        return [], found, n[found], np.array([0, len(found)] if len(found) else [0]), self.hashes[found]
 
     def _windows(self, c: np.ndarray) -> Iterator[tuple]:
-        """For each width m: m, the places of prefixes of m words that may be frequent, whether what follows may make a longer phrase, and the hashes of the longer windows that passed."""
+        """For each width m: m, the places of prefixes of m words that may be frequent, whether what follows may make a longer phrase, the prefixes' hashes, and those of the longer windows that passed."""
         n = len(c) - self.widths[-1] - 1
         h, whole, words = self.hashes[c], c > 0, self.hashes[c]
         for m in range(1, self.widths[-1] + 1):
@@ -143,29 +148,45 @@ class _Counter:
                 longer = h[at] * FACTOR + words[at + m]
                 if m + 1 in self.maps:
                     may = may & marked(self.maps[m + 1], longer)
-                yield m, at, may, longer[may]
+                yield m, at, may, h[at], longer[may]
             h = h[:-1] * FACTOR + words[m:]
             whole = whole[:-1] & (c[m:] > 0)
 
-    def _pairs(self, c: np.ndarray, m: int, at: np.ndarray, may: np.ndarray) -> tuple:
-        """Codes of each prefix, codes of the next words and their counts, and where each prefix begins."""
+    def _pairs(self, c: np.ndarray, m: int, at: np.ndarray, may: np.ndarray, h: np.ndarray) -> tuple:
+        """Codes of each prefix, codes of the next words and their counts, where each prefix begins, and a hash of each entry."""
         size, key = len(self.codes), c[at]
         for j in range(1, m):
             key = np.unique(key * size + c[at + j], return_inverse=True)[1]
         pairs, first, counts = np.unique(key * size + np.where(may, c[at + m], 0), return_index=True, return_counts=True)
-        prefix = pairs // size
+        prefix, following = pairs // size, pairs % size
         starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(pairs) else np.zeros(0, dtype=np.int64)
         heads = at[first[starts]]
-        return [c[heads + j] for j in range(m)], pairs % size, counts, np.r_[starts, len(pairs)]
-
-    def _batch(self, words: pa.Array, prefix: list, following: np.ndarray, counts: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
-        rows = len(bounds) - 1
-        names = pc.binary_join_element_wise(*[words.take(pa.array(p)) for p in prefix], " ") if prefix else pa.array([""] * rows)
-        following = words.take(pa.array(following, mask=following == 0))
-        bounds = pa.array(bounds, pa.int32())
-        lists = [pa.ListArray.from_arrays(bounds, following), pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64()))]
-        langs = pa.array([self.lang] * rows, pa.string())
-        return pa.RecordBatch.from_arrays([langs, names.cast(pa.string()), *lists], ["lang", "prefix", "next", "n"])
+        return [c[heads + j] for j in range(m)], following, counts, np.r_[starts, len(pairs)], h[first] * FACTOR + self.hashes[following]
+
+    def _packed(
+        self, words: pa.Array, prefix: list, following: np.ndarray, counts: np.ndarray, bounds: np.ndarray, h: np.ndarray
+    ) -> pa.RecordBatch:
+        """Stripes as rows of PACKED."""
+        stripes = len(bounds) - 1
+        names = pc.binary_join_element_wise(*[words.take(pa.array(p)) for p in prefix], " ") if prefix else pa.array([""] * stripes, pa.string())
+        of = np.repeat(np.arange(stripes), np.diff(bounds))
+        part = ((h >> np.uint64(32)) % np.uint64(self.dealt)).astype(np.int32)
+        order = np.lexsort((of, part))
+        of, part = of[order], part[order]
+        first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (of[1:] != of[:-1])]) if len(of) else np.zeros(0, dtype=np.int64)
+        held, entry = np.unique(part, return_index=True)
+        entry = np.r_[entry, len(part)]
+        stripe = pa.array(np.searchsorted(first, entry), pa.int32())
+        entry = pa.array(entry, pa.int32())
+        following = following[order]
+        columns = [
+            pa.array([self.lang] * len(held), pa.string()), pa.array(held, pa.int32()),
+            pa.ListArray.from_arrays(stripe, names.take(pa.array(of[first])).cast(pa.string())),
+            pa.ListArray.from_arrays(stripe, pa.array(np.diff(np.r_[first, len(of)]), pa.int32())),
+            pa.ListArray.from_arrays(entry, words.take(pa.array(following, mask=following == 0))),
+            pa.ListArray.from_arrays(entry, pa.array(counts[order], pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "part", "prefix", "size", "next", "n"])
 
 
 def marked(marks: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -178,14 +199,14 @@ def _lang(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("und")).alias("lang")
 
 
-def _counted(batches: Iterator[pa.RecordBatch], widths: range, maps: dict[int, np.ndarray], out: str) -> Iterator:
+def _counted(batches: Iterator[pa.RecordBatch], out: str, *how) -> Iterator:
     """What the counters' method `out` gives for all texts, language by language."""
     counters: dict[str, _Counter] = {}
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
         for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             if lang not in counters:
-                counters[lang] = _Counter(lang, widths, maps)
+                counters[lang] = _Counter(lang, *how)
             counters[lang].add(text.as_py())
             if counters[lang].size >= WINDOWS_AT_ONCE:
                 yield from getattr(counters[lang], out)()
@@ -202,12 +223,66 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def local_stripes(texts: DataFrame, widths: range, maps: dict[int, Broadcast]) -> DataFrame:
-    """Stripes of prefixes of `widths` words, one row per prefix and block of text."""
+    """Stripes of prefixes of `widths` words of each block of text, packed by parts."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted(batches, widths, {k: m.value for k, m in maps.items()}, "stripes")
+        yield from _counted(batches, "stripes", widths, {k: m.value for k, m in maps.items()}, parts)
+
+    return texts.mapInArrow(run, PACKED)
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by(["prefix", "next"]).aggregate([("n", "sum")]).rename_columns(["prefix", "next", "n"])
+
+
+def _frequent(lang: str, part: int, merged: pa.Table, least: int) -> pa.RecordBatch:
+    """Rows of STRIPE of one part, all its entries added up."""
+    merged = merged.sort_by("prefix").combine_chunks()
+    prefix, following, n = (merged[c].combine_chunks() for c in ("prefix", "next", "n"))
+    new = pc.not_equal(prefix.slice(1), prefix.slice(0, len(prefix) - 1)).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(np.r_[True, new.astype(bool)])
+    n = n.to_numpy()
+    kept = (n >= least) & following.is_valid().to_numpy(zero_copy_only=False)
+    bounds = np.r_[0, np.cumsum(np.add.reduceat(kept, starts, dtype=np.int64))]
+    most = np.maximum.reduceat(np.where(kept, n, 0), starts)
+    entries = pa.MapArray.from_arrays(pa.array(bounds, pa.int32()), following.filter(pa.array(kept)), pa.array(n[kept]))
+    columns = [
+        pa.array([lang] * len(starts), pa.string()), prefix.take(pa.array(starts)), pa.array([part] * len(starts), pa.int32()),
+        pa.array(np.add.reduceat(n, starts)), pa.array(most, mask=most == 0), entries,
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "total", "most", "entries"])
 
-    return texts.mapInArrow(run, STRIPE)
+
+def merged_stripes(packed: DataFrame, least: int = LEAST) -> DataFrame:
+    """lang, prefix, part, total, most, entries: stripes of one prefix added up elementwise, part by part.
+
+    entries maps the next words with at least `least` occurrences to their
+    number, most is the greatest of them; total has all occurrences, so the
+    parts of a prefix add up to its count.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tables, held = None, [], 0
+        for batch in batches:
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if key != now:
+                    if tables:
+                        yield _frequent(*now, _added(tables), least)
+                    now, tables, held = key, [], 0
+                prefix, size, following, n = (batch.column(c)[i].values for c in range(2, 6))
+                of = pa.array(np.repeat(np.arange(len(size)), size.to_numpy()))
+                tables.append(pa.table({"prefix": prefix.take(of), "next": following, "n": n}))
+                held += len(n)
+                if held > ENTRIES_AT_ONCE:
+                    tables = [_added(tables)]
+                    held = 0
+        if tables:
+            yield _frequent(*now, _added(tables), least)
+
+    parts = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packed.repartition(parts, "lang", "part").sortWithinPartitions("lang", "part")
+    return dealt.mapInArrow(run, STRIPE)
 
 
 def window_marks(texts: DataFrame, words: int, shorter: Broadcast, windows: int, least: int) -> tuple[Broadcast, int]:
@@ -219,7 +294,7 @@ def window_marks(texts: DataFrame, words: int, shorter: Broadcast, windows: int,
     bits = map_bits(windows // least)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h in _counted(batches, range(words - 1, words), {words - 1: shorter.value}, "counts"):
+        for h in _counted(batches, "counts", range(words - 1, words), {words - 1: shorter.value}):
             place, n = np.unique(h >> np.uint64(64 - bits), return_counts=True)
             bounds = np.searchsorted(place, np.arange((1 << (bits - RANGE_BITS)) + 1, dtype=np.uint64) << np.uint64(RANGE_BITS))
             for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
@@ -261,23 +336,6 @@ def map_bits(count: int) -> int:
     return min(max((LOAD * count).bit_length(), MAP_BITS_LEAST), MAP_BITS_MOST)
 
 
-def merged_stripes(parts: DataFrame, least: int = LEAST) -> DataFrame:
-    """lang, prefix, part, total, most, entries: stripes of one prefix added up elementwise.
-
-    entries maps the next words with at least `least` occurrences to their
-    number, most is the greatest of them; total has all occurrences, so the
-    parts of a prefix add up to its count.
-    """
-    each = parts.select("lang", "prefix", F.inline(F.arrays_zip("next", "n")))
-    each = each.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
-    frequent = F.when(F.col("next").isNotNull() & (F.col("n") >= least), F.struct("next", "n"))
-    part = F.pmod(F.xxhash64("next"), F.lit(pieces_of(parts.sparkSession))).cast("int").alias("part")
-    merged = each.groupBy("lang", "prefix", part).agg(F.sum("n").alias("total"), F.collect_list(frequent).alias("entries"))
-    return merged.select(
-        "lang", "prefix", "part", "total", F.array_max("entries.n").alias("most"), F.map_from_entries("entries").alias("entries")
-    )
-
-
 def phrase_marks(phrases: DataFrame, count: int) -> Broadcast:
     """Broadcast bit map of the hashes of (lang, phrase); its size follows their number up to a bound."""
     bits = map_bits(count)

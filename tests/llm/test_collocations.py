@@ -69,7 +69,7 @@ def test_long_texts_are_read_in_blocks_and_hot_words_counted_once(spark, monkeyp
     rows = [(" ".join(rng.choice(["hot", "hot", "hot", "b", "c.", "longword" * 10], 3000)), "en")] + rows_for(rng, 10)
 
     def stripes(widths, maps):
-        counter = collocations._Counter("en", widths, maps)
+        counter = collocations._Counter("en", widths, maps, 3)
         for text, lang in rows:
             if lang == "en":
                 counter.add((text or "").encode())
@@ -77,8 +77,9 @@ def test_long_texts_are_read_in_blocks_and_hot_words_counted_once(spark, monkeyp
         found = Counter()
         for batch in counter.stripes():
             for row in batch.to_pylist():
-                for word, n in zip(row["next"], row["n"], strict=True):
-                    found[row["prefix"], word] += n
+                prefixes = [p for p, size in zip(row["prefix"], row["size"], strict=True) for _ in range(size)]
+                for prefix, word, n in zip(prefixes, row["next"], row["n"], strict=True):
+                    found[prefix, word] += n
         return found
 
     all_bits = np.full(1 << 14, 2**64 - 1, dtype=np.uint64)
@@ -102,11 +103,11 @@ def test_empty_tables_and_products_beyond_64_bits(spark):
     assert wide == 4000000000000 * 9000000000000 * 1000 // (4000000000001 * 4000000000003)
 
 
-def test_stripes_of_a_hot_prefix_are_dealt(spark):
-    stripes = spark.range(2000).select(
-        F.lit("en").alias("lang"), F.lit("the").alias("prefix"),
-        F.array(F.concat(F.lit("w"), F.pmod("id", F.lit(200)))).alias("next"), F.array(F.lit(1).cast("long")).alias("n"))
-    merged = collocations.merged_stripes(stripes, 10).collect()
-    assert len(merged) > 1 and sum(r.total for r in merged) == 2000
+def test_stripes_of_a_hot_prefix_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "ENTRIES_AT_ONCE", 50)
+    texts = spark.range(2000).select(F.lit("en").alias("lang"), F.concat(F.lit("the w"), F.pmod("id", F.lit(200)), F.lit(". the")).alias("text"))
+    every = spark.sparkContext.broadcast(np.full(1 << 14, 2**64 - 1, dtype=np.uint64))
+    merged = collocations.merged_stripes(collocations.local_stripes(texts, range(1, 2), {1: every}), 10).where("prefix = 'the'").collect()
+    assert len(merged) > 1 and sum(r.total for r in merged) == 4000
     assert {k: v for r in merged for k, v in r.entries.items()} == {f"w{i}": 10 for i in range(200)}
-    assert all(r.most == 10 for r in merged)
+    assert all(r.most == 10 for r in merged if r.entries)
