@@ -36,12 +36,12 @@ VOCABULARY = "word_bpe_49k.json"
 CLASS_WIDTH = 16
 SMALL = 128  # lengths kept out of the program; they fill the room that rounding leaves
 STEP = 0.05
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 STOPS = ".,;:!?$%&#*+-=/()[]{}\"@^_~"  # a run of these after a word is a unit of its own
 # Letters below U+0180 but U+0130 have one lower case letter each and are in normal form.
 PLAIN = re.compile("[A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017f]+")
 UNUSUAL = re.compile("[\\u0130\\u0180-\\U0010ffff]|<\\|")  # not to be lowered as a whole
-BATCH = 8 << 20
+BATCH = 2 << 20
 
 # --- tokens -----------------------------------------------------------------
 
