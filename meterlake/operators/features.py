@@ -260,3 +260,40 @@ def offline_feature_view(
     if name:
         view.createOrReplaceTempView(name)
     return view
+
+
+def point_in_time(
+    labels: DataFrame, features: DataFrame, key: str = "entity_id", label_time: str = "label_time",
+    feature_time: str = "timestamp", **options,
+) -> DataFrame:
+    """Training rows: each label with the newest feature row of its entity at or before the label's time.
+
+    Nothing from after a label's time is looked at. The moments of both sides
+    are counted in one running count of feature rows, in blocks cut by
+    quantiles, so that the number carried to a label names its feature row and
+    an equi join fetches it: no entity has to fit one task, and no label meets
+    more than one row. Of feature rows with one entity and time the last by
+    its hash is taken. Labels before the first feature row, and those
+    without an entity or time, have null features; label columns come first,
+    and the features' time is feature_time.
+    """
+    names = [c for c in features.columns if c not in (key, feature_time)]
+    clash = set(names) & set(labels.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    at = lambda column: S.micros(column).alias("_at")
+    usable = features.where(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
+    given = usable.select(F.col(key).alias("_who"), at(feature_time), F.struct(F.col(feature_time).alias("feature_time"), *names).alias("_row"))
+    given = latest_per_key(given.withColumn("_hash", F.xxhash64("_row")), ["_who", "_at"], ["_hash"]).drop("_hash")
+    asked = labels.withColumn("_who", F.col(key)).withColumn("_at", at(label_time))
+    timed = asked.where("_who IS NOT NULL AND _at IS NOT NULL")
+    moments = given.select("_who", "_at", F.lit(1).alias("_given")).unionByName(timed.select("_who", "_at", F.lit(0).alias("_given")))
+    moments = moments.groupBy("_who", "_at").agg(F.max("_given").cast("long").alias("_given"))
+    numbers = running_counts(moments, ["_who"], "_at", ["_given"], **options)
+    numbers = numbers.select("_who", "_at", "_given", F.col("cum__given").alias("_number"))
+    named = skew_join(given, numbers.where("_given = 1").select("_who", "_at", "_number"), ["_who", "_at"], "inner")
+    placed = skew_join(timed, numbers.select("_who", "_at", "_number"), ["_who", "_at"], "inner")
+    found = skew_join(placed, named.select("_who", "_number", "_row"), ["_who", "_number"], "left")
+    rest = asked.where("_who IS NULL OR _at IS NULL")
+    found = found.unionByName(rest, allowMissingColumns=True)
+    return found.select(*labels.columns, "_row.*")

@@ -63,6 +63,13 @@ def text(column: str) -> Column:
     return F.col(column).cast("string").alias(column)
 
 
+def rounded_values(entries: DataFrame) -> DataFrame:
+    """Figures that are sums of fractions, to the digits that do not depend on their order."""
+    number = F.round(F.col("value").cast("double"), DIGITS).cast(f"decimal(20, {DIGITS})")
+    value = F.when(F.col("feature_name").isin("total_cost", "avg_latency"), number.cast("string")).otherwise(F.col("value"))
+    return entries.withColumn("value", value)
+
+
 # --- shared inputs ----------------------------------------------------------
 
 

@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import features as O
 from meterlake.operators.facts import feature_rows
-from meterlake.plans.catalog import AS_OF, CALLS, calls, query, rounded, text
+from meterlake.plans.catalog import AS_OF, CALLS, calls, query, rounded, rounded_values, text
 from meterlake.plans.session import work_folder
-from meterlake.sources.online import online_rows, online_table, publish_online_features, read_online
+from meterlake.sources.interactions import interactions_from_events, stream_table
+from meterlake.sources.online import online_rows, publish_online_features, read_online
+from meterlake.streaming.jobs import WATERMARK, landed
+from meterlake.streaming.sessions import open_sessions, publish_sessions
+from meterlake.streaming.windows import with_event_time
 
 NOON = datetime(2024, 1, 30, 12)
 
@@ -127,13 +131,12 @@ SELECT user_id, count(*)::VARCHAR AS value FROM calls GROUP BY user_id HAVING ma
 SELECT user_id AS entity_id, value FROM w""")
 def o5_write_back(spark, folder):
     served = o5(spark, folder)
-    table = online_table(spark, work_folder(spark, "write-back"))
+    root = work_folder(spark, "write-back")
     entries = O.write_back_rows(served).select(
         "entity_id", "feature_name", "value", F.lit(NOON).cast("timestamp_ntz").alias("written_at"),
         (F.lit(NOON).cast("timestamp_ntz") + F.expr("INTERVAL 300 SECONDS")).alias("expires_at"))
-    if publish_online_features(entries, table) is None:
-        return entries.select("entity_id", "value")
-    return read_online(table, NOON).select("entity_id", "value")
+    publish_online_features(entries, root)
+    return read_online(spark, root, NOON).select("entity_id", "value")
 
 
 def _event_features(rows):
@@ -229,3 +232,36 @@ def o10_all(spark, folder):
     O.offline_feature_view(calls(spark, folder), None, "2024-01-10", "2024-12-31", name="training_features_of_all")
     view = spark.sql("SELECT * FROM training_features_of_all").drop("first_interaction", "last_interaction")
     return rounded(view, "total_cost", "avg_latency", *_ROLL_NAMES)
+
+
+@query("O10_point_in_time_view", f"""{CALLS}, r AS ({_ROLL.replace("FROM calls", "FROM calls WHERE NOT is_error")})
+SELECT interaction_id, c.user_id AS entity_id, is_error AS label, r."timestamp"::VARCHAR AS feature_time, interaction_count_7d,
+  avg_prompt_length_7d, avg_tokens_per_request_7d, total_cost_7d
+FROM calls c ASOF LEFT JOIN r ON c.user_id = r.user_id AND r."timestamp" <= c.timestamp""")
+def o10_point_in_time(spark, folder):
+    rows = calls(spark, folder)
+    labels = rows.select(
+        "interaction_id", F.col("user_id").alias("entity_id"), F.col("timestamp").alias("label_time"), F.col("is_error").alias("label"))
+    figures = O.rolling_features(rows.where("NOT is_error")).withColumnRenamed("user_id", "entity_id")
+    view = O.point_in_time(labels, figures).drop("label_time")
+    return rounded(view, *_ROLL_NAMES).withColumn("feature_time", text("feature_time"))
+
+
+_MOMENT = "2024-01-30 12:00:00"
+
+
+@query("T11_open_online_features", f"""{_sessions(21600, f""""timestamp" <= TIMESTAMP '{_MOMENT}'""")},
+newest AS (SELECT * FROM sessions WHERE expires_at > TIMESTAMP '{_MOMENT}'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY session_no DESC) = 1),
+six AS (SELECT user_id AS entity_id, expires_at::VARCHAR AS expires_at, round(total_cost, 7)::VARCHAR AS total_cost,
+  total_tokens::VARCHAR AS total_tokens, interaction_count::VARCHAR AS interaction_count, round(avg_latency, 7)::VARCHAR AS avg_latency,
+  last_model, last_interaction_time::VARCHAR AS last_interaction_time FROM newest)
+SELECT entity_id, expires_at, feature_name, CASE WHEN feature_name IN ('total_cost', 'avg_latency') THEN value::DECIMAL(20, 7)::VARCHAR ELSE value END AS value
+FROM (UNPIVOT six ON COLUMNS(* EXCLUDE (entity_id, expires_at)) INTO NAME feature_name VALUE value)""")
+def t11_open(spark, folder):
+    path = work_folder(spark, "open-sessions")
+    events = interactions_from_events(stream_table(spark, folder, "events")).where(f"timestamp <= '{_MOMENT}'")
+    changes = open_sessions(with_event_time(events, WATERMARK), 21600)
+    landed(publish_sessions(changes, f"{path}/online", f"{path}/checkpoint"))
+    live = read_online(spark, f"{path}/online", _MOMENT)
+    return rounded_values(live).select("entity_id", "feature_name", "value", text("expires_at"))

@@ -8,7 +8,7 @@ from meterlake.operators import features as O
 from meterlake.operators import validation as V
 from meterlake.operators.facts import insert_features, insert_interactions, rejected_interactions
 from meterlake.operators.embeddings import cache_table
-from meterlake.plans.catalog import AS_OF, CALLS, calls, documents, query, rounded, text
+from meterlake.plans.catalog import AS_OF, CALLS, calls, documents, query, rounded, rounded_values, text
 from meterlake.plans.session import work_folder
 from meterlake.schemas import RAW_INTERACTION
 from meterlake.sources import online as N
@@ -232,25 +232,21 @@ def s13(spark, folder):
     return messages.select("key", field("interaction_id"), field("total_tokens"), field("prompt"))
 
 
-def _published(spark, folder):
-    """Totals of each user published after the 20th and again at the end."""
-    table = N.online_table(spark, work_folder(spark, "online"))
-    rows, names = calls(spark, folder), ["interaction_count", "last_model"]
-    for part, moment in ((rows.where(_before("2024-01-20")), datetime(2024, 1, 20)),
-                         (rows.where(F.col("operation") != "error"), NOON)):
-        entries = N.online_rows(O.online_features_lifetime(part), names, moment)
-        N.publish_online_features(entries, table)
-    return table
+_SIX = """SELECT user_id AS entity_id, count(*)::VARCHAR AS interaction_count, sum(total_tokens)::VARCHAR AS total_tokens,
+  round(sum(cost_usd), 7)::VARCHAR AS total_cost, round(avg(latency_ms), 7)::VARCHAR AS avg_latency,
+  arg_max(model, ("timestamp", interaction_id)) AS last_model, max("timestamp")::VARCHAR AS last_interaction_time FROM {}
+GROUP BY user_id"""
 
 
-@query("S14_publish_online_features", f"""{CALLS}
-SELECT user_id AS entity_id, 'interaction_count' AS feature_name, count(*)::VARCHAR AS value,
-  '2024-01-30 12:05:00' AS expires_at FROM calls WHERE operation <> 'error' GROUP BY user_id
-UNION ALL SELECT user_id, 'last_model', arg_max(model, ("timestamp", interaction_id)), '2024-01-30 12:05:00'
-FROM calls WHERE operation <> 'error' GROUP BY user_id""")
+@query("S14_publish_online_features", f"""{CALLS}, six AS ({_SIX.format("calls WHERE operation <> 'error'")})
+SELECT entity_id, feature_name, CASE WHEN feature_name IN ('total_cost', 'avg_latency') THEN value::DECIMAL(20, 7)::VARCHAR ELSE value END AS value,
+  '2024-01-30 12:05:00' AS expires_at FROM (UNPIVOT six ON COLUMNS(* EXCLUDE entity_id) INTO NAME feature_name VALUE value)""")
 def s14(spark, folder):
-    live = N.read_online(_published(spark, folder), NOON)
-    return live.select("entity_id", "feature_name", "value", text("expires_at"))
+    root, rows = work_folder(spark, "online"), calls(spark, folder)
+    # Totals of each user, published after the 20th and again at the end.
+    for part, moment in ((rows.where(_before("2024-01-20")), datetime(2024, 1, 20)), (rows.where(F.col("operation") != "error"), NOON)):
+        N.publish_online_features(N.online_rows(O.online_features_lifetime(part), O.ONLINE_NAMES, moment), root)
+    return rounded_values(N.read_online(spark, root, NOON)).select("entity_id", "feature_name", "value", text("expires_at"))
 
 
 def _entries(spark, folder, ttl=86400):
@@ -475,12 +471,10 @@ def u2(spark, folder):
     return seen.groupBy("model").agg(F.sum("calls").alias("calls"))
 
 
-@query("O2_online_features_stream", f"""{CALLS}
-SELECT user_id AS entity_id, 'interaction_count' AS feature_name, count(*)::VARCHAR AS value FROM calls GROUP BY user_id
-UNION ALL SELECT user_id, 'total_tokens', sum(total_tokens)::VARCHAR FROM calls GROUP BY user_id""")
+@query("O2_online_features_stream", f"""{CALLS}, six AS ({_SIX.format("calls")})
+SELECT entity_id, feature_name, CASE WHEN feature_name IN ('total_cost', 'avg_latency') THEN value::DECIMAL(20, 7)::VARCHAR ELSE value END AS value
+FROM (UNPIVOT six ON COLUMNS(* EXCLUDE entity_id) INTO NAME feature_name VALUE value)""")
 def o2_stream(spark, folder):
     path = work_folder(spark, "online")
-    online = N.online_table(spark, f"{path}/online")
-    J.landed(J.start_online_features(_event_stream(spark, folder), online, f"{path}/checkpoint"))
-    entries = N.merge_online(None, online.read())
-    return entries.where("feature_name IN ('interaction_count', 'total_tokens')").select("entity_id", "feature_name", "value")
+    J.landed(J.start_online_features(_event_stream(spark, folder), f"{path}/online", f"{path}/checkpoint"))
+    return rounded_values(N.stored_entries(spark, f"{path}/online").where("entity_id <> ''")).select("entity_id", "feature_name", "value")

@@ -158,14 +158,15 @@ def decoded_stream(messages: DataFrame) -> DataFrame:
 
 
 def start_online_features(
-    interactions: DataFrame, online: VersionedTable, checkpoint: str, trigger: dict | None = None
+    interactions: DataFrame, online: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Lifetime totals per user, published for the users of each batch.
+    """Lifetime totals per user, published to the online store for the users of each batch.
 
     The totals live in the state store and full values are written, so a
     repeated batch publishes the same entries again. So do the ids that were
-    counted, however late a row is; use the RocksDB state store for that.
+    counted, however late a row is, on disk and not in memory.
     """
+    interactions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
     # Without a watermark: a late row counts, as it does in the facts.
     totals = online_features_lifetime(interactions.dropDuplicates(INTERACTION_KEY))
 

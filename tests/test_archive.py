@@ -1,4 +1,6 @@
+import glob
 import os
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -167,12 +169,35 @@ def test_entry_is_gone_at_its_expiry(spark):
 
 
 def test_newest_entry_counts(spark, tmp_path):
-    table = N.online_table(spark, str(tmp_path / "online"))
-    N.publish_online_features(entry(spark, [("u", "f", "1", AT), ("v", "f", "9", AT)]), table)
-    N.publish_online_features(entry(spark, [("u", "f", "2", AT + timedelta(seconds=30))]), table)
-    assert {r.entity_id: r.value for r in N.read_online(table, AT + timedelta(seconds=59)).collect()} == {"u": "2", "v": "9"}
+    root = str(tmp_path / "online")
+    N.publish_online_features(entry(spark, [("u", "f", "1", AT), ("v", "f", "9", AT)]), root)
+    N.publish_online_features(entry(spark, [("u", "f", "2", AT + timedelta(seconds=30))]), root)
+    # A late update does not replace a newer entry, and a repeated one changes nothing.
+    N.publish_online_features(entry(spark, [("u", "f", "old", AT - timedelta(seconds=1))]), root)
+    N.publish_online_features(entry(spark, [("u", "f", "2", AT + timedelta(seconds=30))]), root)
+    live = lambda seconds, *ids: {r.entity_id: r.value for r in N.read_online(spark, root, AT + timedelta(seconds=seconds), *ids).collect()}
+    assert live(59) == {"u": "2", "v": "9"} and live(59, ["v", "nobody"]) == {"v": "9"}
     # The newer entry of u outlives the older one of v.
-    assert {r.entity_id: r.value for r in N.read_online(table, AT + timedelta(seconds=61)).collect()} == {"u": "2"}
+    assert live(61) == {"u": "2"}
+
+
+def test_an_update_touches_its_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "online")
+    N.publish_online_features(entry(spark, [(f"u{i}", "f", str(i), AT) for i in range(500)]), root)
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{root}/bucket=*/*.parquet")}
+    before = files()
+    N.publish_online_features(entry(spark, [("u7", "f", "new", AT + timedelta(seconds=1))]), root)
+    after = files()
+    assert len({f.split("/")[-2] for f in before}) == N.BUCKETS
+    assert {f.split("/")[-2] for f in set(before) ^ set(after)} == {f.split("/")[-2] for f in set(after) - set(before)} and len(set(after) - set(before)) == 1
+    assert N.read_online(spark, root, AT).count() == 500
+    plan = N.touched_entries(spark, root, spark.range(1).select(F.lit(3).alias("bucket")))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*bucket[^]]* = 3", plan), plan
+    plan = N.read_online(spark, root, AT)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    # Entries that expired go when their bucket is written again.
+    N.publish_online_features(entry(spark, [(f"u{i}", "f", "x", AT + timedelta(days=1)) for i in range(10)]), root, AT + timedelta(days=1))
+    assert {r.entity_id for r in N.read_online(spark, root, AT + timedelta(days=1)).collect()} == {f"u{i}" for i in range(10)}
 
 
 def test_delete(spark):
@@ -191,17 +216,3 @@ def test_delete(spark):
 def test_table_without_rows(spark, tmp_path):
     with pytest.raises(ValueError):
         VersionedTable(spark, str(tmp_path / "none")).read()
-
-
-def test_compacting_keeps_the_newest_entries(spark, tmp_path):
-    table = N.online_table(spark, str(tmp_path / "online"))
-    wide = spark.createDataFrame([("a", 1), ("b", 2)], "user_id string, n int")
-    for hour in (1, 2, 3):
-        N.publish_online_features(N.online_rows(wide, ["n"], datetime(2024, 1, 1, hour), 7200), table)
-    old = N.online_rows(wide.where("user_id = 'a'").withColumn("user_id", F.lit("gone")), ["n"], datetime(2023, 1, 1))
-    N.publish_online_features(old, table)
-    before = N.read_online(table, datetime(2024, 1, 1, 4)).collect()
-    assert table.read().count() == 7
-    N.compact_online(table, datetime(2024, 1, 1, 4))
-    assert table.read().count() == 2
-    assert sorted(N.read_online(table, datetime(2024, 1, 1, 4)).collect()) == sorted(before)

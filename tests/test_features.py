@@ -170,3 +170,33 @@ def test_a_query_views_the_features_of_all_users(spark, folder):
     calls = spark.read.parquet(f"{folder}/events.parquet")
     listed = {r.entity_id for r in catalog["O10_offline_feature_view"].run(spark, folder).collect()}
     assert listed < users and len(users) > 0.5 * calls.select("user_id").distinct().count()
+
+
+def _brute_point_in_time(labels, features):
+    out = {}
+    for label in labels:
+        past = [f for f in features if f[0] is not None and f[0] == label[1] and label[2] is not None and f[1] <= label[2]]
+        out[label[0]] = max(past, key=lambda f: f[1])[2] if past else None
+    return out
+
+
+@pytest.mark.parametrize("rows_per_cut", [1, 10**9])
+def test_point_in_time_never_looks_ahead(spark, rows_per_cut):
+    rng = np.random.default_rng(4)
+    base = datetime(2024, 1, 1)
+    # One user holds half of all rows; some labels fall exactly on a feature's time.
+    who = lambda: "hot" if rng.random() < 0.5 else [None, "a", "b", "never"][rng.integers(4)]
+    labels = [(i, who(), base + timedelta(seconds=int(rng.integers(0, 500))) if i % 17 else None) for i in range(600)]
+    moments = {(who(), base + timedelta(seconds=int(rng.integers(100, 400)))) for _ in range(300)}
+    features = [(u, t, float(i)) for i, (u, t) in enumerate(sorted(moments, key=str)) if u != "never"]
+    left = spark.createDataFrame(labels, "id long, entity_id string, label_time timestamp_ntz")
+    right = spark.createDataFrame(features, "entity_id string, timestamp timestamp_ntz, x double")
+    rows = O.point_in_time(left, right, rows_per_cut=rows_per_cut).collect()
+    assert {r.id: r.x for r in rows} == _brute_point_in_time(labels, features) and len(rows) == len(labels)
+    assert all(r.feature_time is None or r.feature_time <= r.label_time for r in rows)
+    again = O.point_in_time(left, right.unionByName(right), rows_per_cut=rows_per_cut)
+    assert sorted(r.x or -1 for r in again.collect()) == sorted(r.x or -1 for r in rows)
+    assert O.point_in_time(left.limit(0), right).count() == 0
+    assert {r.x for r in O.point_in_time(left, right.limit(0)).collect()} == {None}
+    with pytest.raises(ValueError):
+        O.point_in_time(left, right.withColumnRenamed("x", "id"))

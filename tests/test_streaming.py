@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import features as O
 from meterlake.sources.interactions import as_messages, stream_interactions
-from meterlake.sources.online import merge_online, online_table
+from meterlake.sources.online import read_online, stored_entries
 from meterlake.streaming import jobs as J
 from meterlake.streaming import windows as T
+from meterlake.streaming.sessions import open_sessions, publish_sessions
 
 START = datetime(2024, 1, 1)
 RAW = ["interaction_id", "user_id", "session_id", "model", "provider", "prompt", "response", "input_tokens",
@@ -144,12 +145,12 @@ def test_stream_sessions_split_at_the_gap(spark, make_calls, tmp_path):
 
 
 def test_online_stream_equals_batch(spark, calls, tmp_path):
-    online = online_table(spark, str(tmp_path / "online"))
+    online = str(tmp_path / "online")
     # Repeats within the watermark delay are counted once.
     twice = calls.unionByName(calls.where("model = 'm0'"))
     stream = read_stream(spark, twice, tmp_path / "in")
     finish(J.start_online_features(stream, online, str(tmp_path / "cp")))
-    entries = merge_online(None, online.read()).where("feature_name IN ('interaction_count', 'last_model')")
+    entries = stored_entries(spark, online).where("feature_name IN ('interaction_count', 'last_model')")
     got = {(r.entity_id, r.feature_name): r.value for r in entries.collect()}
     for r in O.online_features_lifetime(calls).collect():
         assert got[r.user_id, "interaction_count"] == str(r.interaction_count)
@@ -160,3 +161,49 @@ def test_drift_bands(spark):
     rows = spark.createDataFrame([(0.05,), (0.07,)], "drift_score double")
     assert T.drift_score_total(rows).first().band == "yellow"
     assert T.drift_score_total(rows.where("false")).first().drift_score_total == 0.0
+
+
+def test_open_sessions_are_what_a_batch_sees_at_any_time(spark, make_calls, tmp_path):
+    rng = np.random.default_rng(12)
+    events = [{"interaction_id": f"i{i:04}", "user_id": "hot" if i % 2 else f"u{i % 7}", "model": f"m{i % 3}", "cost_usd": (i % 10) / 1000,
+               "timestamp": START + timedelta(seconds=i * 20 + int(rng.integers(-90, 90)))} for i in range(240)]
+    # Exactly the gap, a microsecond less, and a late call that puts two sessions together.
+    gaps = [0, 300_000_000, 599_999_999, 1_199_999_998, 1_700_000_000]
+    events += [{"interaction_id": f"g{k}", "user_id": "gap", "timestamp": START + timedelta(microseconds=us)} for k, us in enumerate(gaps)]
+    late = {"interaction_id": "late", "user_id": "gap", "timestamp": START + timedelta(microseconds=1_450_000_000)}
+    events.sort(key=lambda e: e["timestamp"])
+    parts = [events[i : i + 60] for i in range(0, len(events), 60)]
+    parts[-1].append(late)
+    seen, online = [], str(tmp_path / "online")
+    for part in parts:
+        seen += part
+        make_calls(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(make_calls(part).schema).parquet(str(tmp_path / "in"))
+        changes = open_sessions(T.with_event_time(stream, "1 hour"))
+        finish(publish_sessions(changes, online, str(tmp_path / "cp")))
+        newest = max(e["timestamp"] for e in seen)
+        for moment in (newest, newest + timedelta(seconds=150), newest + timedelta(seconds=299.999999), newest + timedelta(seconds=300)):
+            want = O.online_features_ttl(make_calls(seen), moment).collect()
+            got = {(r.entity_id, r.feature_name): r.value for r in read_online(spark, online, moment).collect()}
+            assert {k[0] for k in got} == {r.user_id for r in want} and len(got) == 6 * len(want)
+            for r in want:
+                assert got[r.user_id, "interaction_count"] == str(r.interaction_count)
+                assert got[r.user_id, "total_tokens"] == str(r.total_tokens)
+                assert got[r.user_id, "last_model"] == r.last_model
+                assert float(got[r.user_id, "total_cost"]) == pytest.approx(r.total_cost)
+                assert float(got[r.user_id, "avg_latency"]) == pytest.approx(r.avg_latency)
+
+
+def test_timers_end_the_state_of_expired_sessions(spark, make_calls, tmp_path):
+    rows = [{"interaction_id": "a", "user_id": "a", "timestamp": START}]
+    later = [{"interaction_id": "b", "user_id": "b", "timestamp": START + timedelta(hours=2)}]
+    changes = []
+    for part in (rows, later, [{**later[0], "interaction_id": "c", "timestamp": START + timedelta(hours=2, seconds=1)}]):
+        make_calls(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(make_calls(part).schema).parquet(str(tmp_path / "in"))
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", J.ROCKS_DB)
+        writer = open_sessions(T.with_event_time(stream, "1 minute")).writeStream.outputMode("update")
+        writer = writer.foreachBatch(lambda batch, n: changes.extend((r.user_id, r.expired, r.interaction_count) for r in batch.collect()))
+        finish(writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    assert changes == [("a", False, 1), ("b", False, 1), ("a", True, 1), ("b", False, 2)] or changes == [
+        ("a", False, 1), ("a", True, 1), ("b", False, 1), ("b", False, 2)]
