@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from meterlake.operators import embeddings as E
+from meterlake.operators import vector_index as X
 from meterlake.operators.validation import REASONS, validate_embedding_responses
 from meterlake.plans.catalog import documents, query, rounded, text
 from meterlake.plans.queries_values import sql_cache_key
@@ -180,6 +181,18 @@ def e8_all_by_rows(spark, folder):
     return E.nearest_of_all(vectors, probes, 5)
 
 
+@query("E8_index_search", """WITH probes AS (SELECT vec_id AS probe_id, embedding AS probe FROM embeddings WHERE vec_id % 100 = 0),
+scored AS (SELECT probe_id, vec_id, round(list_inner_product(embedding::DOUBLE[], probe::DOUBLE[]), 7) AS score FROM embeddings, probes)
+SELECT probe_id, row_number() OVER (PARTITION BY probe_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5""")
+def e8_index(spark, folder):
+    vectors = read_table(spark, folder, "embeddings")
+    probes = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("probe_id"), F.col("embedding").alias("probe"))
+    path = work_folder(spark, "vector-index")
+    found, _ = X.search(X.build_index(vectors, f"{path}/cells"), probes, 5, f"{path}/first-round")
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query("U3_pluggable_embedder", f"""{_REQ}
 SELECT DISTINCT {sql_cache_key('text', 'model', 64)} AS cache_key, length(text)::DOUBLE AS chars, length(model)::DOUBLE AS salt
 FROM req""")
