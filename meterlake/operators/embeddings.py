@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
-from meterlake.functions.keyed import latest_per_key, skew_join, top_per_key
+from meterlake.functions.keyed import first_per_key, latest_per_key, skew_join, top_per_key
 from meterlake.operators.analytics import cache_hit_rate
 from meterlake.operators.validation import REASONS, validate_embedding_requests
+from meterlake.plans.session import work_folder
 from meterlake.schemas import (
     EMBEDDING_BATCH_SIZE,
     EMBEDDING_CACHE,
     EMBEDDING_DIMENSION,
     EMBEDDING_TTL_SECONDS,
 )
-from meterlake.sources.archive import VersionedTable
 from meterlake.sources.online import visible, with_expiry
 
 # Maps a list of texts to a (len(texts), dimension) array.
@@ -57,27 +58,48 @@ def current_entries(cache: DataFrame, as_of) -> DataFrame:
     return latest_per_key(visible(cache, as_of), ["cache_key"], ["written_at", "expires_at"])
 
 
+def _hits(keys: DataFrame, cache: DataFrame, as_of) -> DataFrame:
+    """cache_key and embedding of the given keys (no repeats) that the cache can serve.
+
+    The keys go to the cache: where it is bucketed by key, it is neither
+    exchanged nor sorted across tasks.
+    """
+    return current_entries(cache, as_of).select("cache_key", "embedding").join(keys.select("cache_key"), "cache_key")
+
+
 def cache_lookup(requests: DataFrame, cache: DataFrame, as_of) -> DataFrame:
     """Requests with cache_key, embedding (null on a miss) and cache_hit.
 
     The key covers text and model, so models never share an entry.
     """
-    entries = current_entries(cache, as_of).select("cache_key", "embedding")
+    keyed = with_cache_key(requests)
+    hits = _hits(keyed.select("cache_key").distinct(), cache, as_of)
     # One text may make up most of the requests.
-    found = skew_join(with_cache_key(requests), entries, ["cache_key"], "left")
+    found = skew_join(keyed, hits, ["cache_key"], "left")
     return found.withColumn("cache_hit", F.col("embedding").isNotNull())
 
 
+def _asked(keyed: DataFrame) -> DataFrame:
+    """Distinct (cache_key, model) with the time to live asked for last; no text is grouped or moved."""
+    newest = F.max(F.struct("timestamp", "request_id", "cache_ttl"))
+    asked = keyed.groupBy("cache_key", "model").agg(newest.alias("_last"))
+    return asked.select("cache_key", "model", F.col("_last.cache_ttl").alias("cache_ttl"))
+
+
+def _with_text(asked: DataFrame, keyed: DataFrame) -> DataFrame:
+    """asked with the text of each key: every task sends one copy of a text at most."""
+    texts = first_per_key(keyed.select("cache_key", "text"), ["cache_key"], [F.col("cache_key")])
+    return asked.join(texts, "cache_key").select("cache_key", "model", "text", "cache_ttl")
+
+
 def misses(requests: DataFrame, cache: DataFrame | None, as_of) -> DataFrame:
     """Distinct (cache_key, model, text) that the cache cannot serve, with the
-    time to live asked for last. Copies of a text are folded before the exchange."""
-    newest = F.max(F.struct("timestamp", "request_id", "cache_ttl"))
-    wanted = with_cache_key(requests).groupBy("cache_key", "model", "text").agg(newest.alias("_last"))
-    wanted = wanted.select("cache_key", "model", "text", F.col("_last.cache_ttl").alias("cache_ttl"))
-    if cache is None:
-        return wanted
-    served = visible(cache, as_of).select("cache_key")
-    return wanted.join(served, "cache_key", "left_anti")
+    time to live asked for last."""
+    keyed = with_cache_key(requests)
+    wanted = _asked(keyed)
+    if cache is not None:
+        wanted = wanted.join(visible(cache, as_of).select("cache_key"), "cache_key", "left_anti")
+    return _with_text(wanted, keyed)
 
 
 def embed_texts(
@@ -124,57 +146,80 @@ def cache_entries(embedded: DataFrame, written_at) -> DataFrame:
     return with_expiry(stamped, ttl).select(*[f.name for f in EMBEDDING_CACHE])
 
 
-def cache_table(spark, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, partition_by=None)
+CACHE_BUCKETS = 32
 
 
-def compact_cache(cache: VersionedTable, as_of) -> int | None:
-    """Rewrite the cache with the newest entry of every key, without those that have expired."""
-    return cache.write(current_entries(cache.read(), as_of), "overwrite")
+class EmbeddingCache:
+    """Cache entries under a folder, as a Parquet table bucketed by key.
+
+    Adding appends one file per bucket; the newest entry of a key counts. The
+    table is bucketed with the hash that joins use, so a lookup exchanges the
+    keys asked for and never the cache. Take more buckets for a larger cache, and the same
+    number whenever the folder is opened.
+    """
 
+    def __init__(self, spark: SparkSession, root: str, buckets: int = CACHE_BUCKETS):
+        self.spark, self.root, self.buckets = spark, root, buckets
+        self.name = f"embedding_cache_{hashlib.md5(root.encode()).hexdigest()}"
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_CACHE)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet CLUSTERED BY (cache_key)"
+                  f" SORTED BY (cache_key) INTO {buckets} BUCKETS LOCATION '{root}'")
 
-def _responses(requests: DataFrame, entries: DataFrame, known: DataFrame | None, as_of) -> DataFrame:
-    took = F.col("latency_ms") if "latency_ms" in entries.columns else F.lit(None).cast("double")
-    entries = entries.select("cache_key", "embedding", took.alias("_took"))
-    if known is None:
-        entries = entries.withColumn("cache_hit", F.lit(False))
-    else:
-        before = known.select("cache_key", F.lit(True).alias("cache_hit"))
-        entries = entries.join(before, "cache_key", "left").withColumn(
-            "cache_hit", F.coalesce("cache_hit", F.lit(False))
-        )
-    # The hit flag is settled per key, so the requests are joined once.
-    found = skew_join(with_cache_key(requests), entries, ["cache_key"], "left")
-    return found.select(
-        "request_id", "embedding", "model", "cache_hit",
-        # A hit takes no time of the model.
-        F.when(F.col("cache_hit"), 0.0).otherwise(F.coalesce("_took", F.lit(0.0))).alias("latency_ms"),
-        F.lit(0.0).alias("cost_usd"),
-        F.lit(as_of).cast("timestamp_ntz").alias("timestamp"),
-        S.dimension().alias("dimension"),
-    )
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def add(self, entries: DataFrame, mode: str = "append") -> None:
+        rows = entries.select(*[F.col(f.name) if f.name in entries.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in EMBEDDING_CACHE])
+        writer = rows.repartition(self.buckets, "cache_key").write.mode(mode).format("parquet").option("path", self.root)
+        writer.bucketBy(self.buckets, "cache_key").sortBy("cache_key").saveAsTable(self.name)
+
+
+def cache_table(spark: SparkSession, root: str, buckets: int = CACHE_BUCKETS) -> EmbeddingCache:
+    return EmbeddingCache(spark, root, buckets)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def compact_cache(cache: EmbeddingCache, as_of) -> None:
+    """Rewrite the cache with the newest entry of every key, without those that have expired."""
+    cache.add(_kept(current_entries(cache.read(), as_of), "cache"), "overwrite")
 
 
 def embed_requests(
-    requests: DataFrame, cache: VersionedTable, as_of, factory: EmbedderFactory = hash_embedder,
+    requests: DataFrame, cache: EmbeddingCache, as_of, factory: EmbedderFactory = hash_embedder,
     use_cache: bool = True, **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """(responses, refused requests); new vectors are added to the cache table.
+    """(responses, refused requests); new vectors are added to the cache.
 
-    The new entries are written first and read back, so the model runs once per
-    distinct text whatever is done with the responses, and a lost executor does
-    not cause texts to be embedded again. With use_cache=False nothing counts
-    as a hit and every distinct text is embedded.
+    The cache is read once, for the keys asked for. New entries are written
+    aside and read back, so the model runs once per distinct text whatever is
+    done with the responses, and a lost executor does not cause texts to be
+    embedded again. With use_cache=False nothing counts as a hit and every
+    distinct text is embedded.
     """
     good, bad = validate_embedding_requests(requests)
-    has_entries = bool(cache._visible(None))
-    known = current_entries(cache.read(), as_of) if has_entries and use_cache else None
-    to_embed = misses(good, known, as_of)
-    cache.write(cache_entries(embed_texts(to_embed, factory, **options), as_of))
-    entries = current_entries(cache.read(), as_of) if cache._visible(None) else None
-    if entries is None:
-        entries = requests.sparkSession.createDataFrame([], EMBEDDING_CACHE)
-    return _responses(good, entries, known, as_of), bad.select("request_id", REASONS)
+    keyed = with_cache_key(good)
+    asked = _asked(keyed)
+    if use_cache:
+        entries = current_entries(cache.read(), as_of).select("cache_key", "embedding")
+        found = _kept(asked.join(entries, "cache_key", "left"), "asked")
+        missing = found.where("embedding IS NULL").drop("embedding")
+    else:
+        found = missing = asked.withColumn("embedding", F.lit(None).cast("array<float>"))
+    new = _kept(cache_entries(embed_texts(_with_text(missing.drop("embedding"), keyed), factory, **options), as_of), "embedded")
+    cache.add(new)
+    hits = found.where("embedding IS NOT NULL").select("cache_key", "embedding", F.lit(True).alias("cache_hit"), F.lit(0.0).alias("took"))
+    served = hits.unionByName(new.select("cache_key", "embedding", F.lit(False).alias("cache_hit"), F.coalesce("latency_ms", F.lit(0.0)).alias("took")))
+    # The hit flag is settled per key, so the requests are joined once; a hit takes no time of the model.
+    rows = skew_join(keyed, served, ["cache_key"], "left")
+    responses = rows.select(
+        "request_id", "embedding", "model", "cache_hit", F.col("took").alias("latency_ms"), F.lit(0.0).alias("cost_usd"),
+        F.lit(as_of).cast("timestamp_ntz").alias("timestamp"), S.dimension().alias("dimension"))
+    return responses, bad.select("request_id", REASONS)
 
 
 def embedding_batch_metrics(lookups: DataFrame, model: str | None = None) -> DataFrame:
@@ -188,8 +233,8 @@ def embedding_batch_metrics(lookups: DataFrame, model: str | None = None) -> Dat
 
 def get_many(keys: DataFrame, cache: DataFrame, as_of) -> DataFrame:
     """(position, cache_key, embedding) aligned with the asked positions, null for misses."""
-    entries = current_entries(cache, as_of).select("cache_key", "embedding")
-    found = skew_join(keys.select("position", "cache_key"), entries, ["cache_key"], "left")
+    hits = _hits(keys.select("cache_key").distinct(), cache, as_of)
+    found = skew_join(keys.select("position", "cache_key"), hits, ["cache_key"], "left")
     return found.select("position", "cache_key", "embedding")
 
 

@@ -63,9 +63,8 @@ def validate_embedding_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(df, embedding_request_rules())
 
 
-def validate_embedding_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    df = df.withColumn("cost_usd", F.coalesce("cost_usd", F.lit(0.0)))
-    return split(df, {
+def embedding_response_rules() -> dict[str, Column]:
+    return {
         "request_id_missing": _missing("request_id"),
         "embedding_missing": _missing("embedding"),
         "embedding_empty": F.size("embedding") == 0,
@@ -74,7 +73,12 @@ def validate_embedding_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         "latency_ms_missing": _missing("latency_ms"),
         "latency_ms_negative": _negative("latency_ms"),
         "cost_usd_negative": _negative("cost_usd"),
-    })
+    }
+
+
+def validate_embedding_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    df = df.withColumn("cost_usd", F.coalesce("cost_usd", F.lit(0.0)))
+    return split(df, embedding_response_rules())
 
 
 def validate_drift_results(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import embeddings as E
 from meterlake.operators import vector_index as X
-from meterlake.operators.validation import REASONS, validate_embedding_responses
+from meterlake.operators.validation import REASONS, embedding_response_rules, with_reasons
 from meterlake.plans.catalog import documents, query, rounded, text
 from meterlake.plans.queries_values import sql_cache_key
 from meterlake.plans.session import work_folder
@@ -77,22 +77,24 @@ WHERE NOT EXISTS (SELECT 1 FROM live l WHERE r.text = l.text AND r.model = l.mod
 def e3(spark, folder):
     table = E.cache_table(spark, work_folder(spark, "cache"))
     wanted = E.misses(requests(spark, folder), stored(spark, folder), NOW)
-    table.write(E.cache_entries(E.embed_texts(wanted), NOW))
+    table.add(E.cache_entries(E.embed_texts(wanted), NOW))
     live = E.current_entries(table.read(), NOW)
     return live.groupBy("model", text("expires_at")).agg(F.count(F.lit(1)).alias("entries"))
 
 
 @query("E4_embed_requests", f"""{_REQ}, {_LIVE}
 SELECT request_id, r.model, l.text IS NOT NULL AS cache_hit, 0::DOUBLE AS cost_usd,
-  CASE WHEN l.text IS NOT NULL THEN 1 ELSE 384 END AS dimension, true AS accepted
+  CASE WHEN l.text IS NOT NULL THEN 1 ELSE 384 END AS dimension, true AS accepted,
+  l.n_chars::DOUBLE AS stored, CASE WHEN l.text IS NULL THEN 1.0::DOUBLE END AS norm
 FROM req r LEFT JOIN live l ON r.text = l.text AND r.model = l.model""")
 def e4(spark, folder):
     table = E.cache_table(spark, work_folder(spark, "cache"))
-    table.write(stored(spark, folder))
+    table.add(stored(spark, folder))
     responses, _ = E.embed_requests(requests(spark, folder), table, NOW)
-    valid, refused = validate_embedding_responses(responses)
-    both = valid.withColumn("accepted", F.lit(True)).unionByName(refused.withColumn("accepted", F.lit(False)), True)
-    return both.select("request_id", "model", "cache_hit", "cost_usd", "dimension", "accepted")
+    checked = with_reasons(responses, embedding_response_rules())
+    return checked.select("request_id", "model", "cache_hit", "cost_usd", "dimension", (F.size(REASONS) == 0).alias("accepted"),
+                          F.when(F.col("cache_hit"), F.col("embedding")[0].cast("double")).alias("stored"),
+                          F.round(F.when(~F.col("cache_hit"), F.sqrt(E.dot("embedding", "embedding"))), 4).alias("norm"))
 
 
 @query("E4_refused_requests", f"""{_REQ}, odd AS (
@@ -120,7 +122,7 @@ SELECT count(*) AS total_requests, 0 AS cache_hits, count(*) AS cache_misses, 0:
   0::DOUBLE AS cost_saved_usd, '{MODEL}' AS model FROM req""")
 def e5_without_cache(spark, folder):
     table = E.cache_table(spark, work_folder(spark, "cache"))
-    table.write(stored(spark, folder))
+    table.add(stored(spark, folder))
     responses, _ = E.embed_requests(requests(spark, folder), table, NOW, use_cache=False)
     return rounded(E.embedding_batch_metrics(responses, MODEL), "cache_hit_rate", "cost_saved_usd")
 

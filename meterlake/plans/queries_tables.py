@@ -12,7 +12,7 @@ from meterlake.plans.catalog import AS_OF, CALLS, calls, documents, query, round
 from meterlake.plans.session import work_folder
 from meterlake.schemas import RAW_INTERACTION
 from meterlake.sources import online as N
-from meterlake.sources.archive import Archive, VersionedTable
+from meterlake.sources.archive import Archive
 from meterlake.sources.daily import move_days, read_all_tiers, read_days, write_days
 from meterlake.sources.interactions import (
     as_messages,
@@ -85,18 +85,25 @@ def s2(spark, folder):
     return spark.read.parquet(f"{path}/out").select("interaction_id", "model", "total_tokens", text("date"))
 
 
-@query("S3_stream_embedding_requests", """
-SELECT doc_id::VARCHAR AS request_id, 'all-MiniLM-L6-v2' AS model, false AS cache_hit, 384 AS dimension FROM documents""")
+@query("S3_stream_embedding_requests", """WITH words AS (
+SELECT doc_id, length(text) AS chars, length(replace(text, ' ', '')) AS letters FROM documents)
+SELECT doc_id::VARCHAR AS request_id, 'all-MiniLM-L6-v2' AS model, false AS cache_hit, 3 AS dimension,
+  [chars::FLOAT, letters::FLOAT, 16::FLOAT]::VARCHAR AS vector FROM words""")
 def s3(spark, folder):
     path = work_folder(spark, "embed")
     messages = documents(spark, folder).select(
         F.to_json(F.struct(F.col("doc_id").cast("string").alias("request_id"), "text")).alias("value"))
     messages.write.text(f"{path}/in")
-    responses = VersionedTable(spark, f"{path}/responses", None)
+
+    def sizes(model):
+        """Vectors that SQL can check: the text's length, that without blanks, and that of the model's name."""
+        return lambda texts: [[len(t), len(t.replace(" ", "")), len(model)] for t in texts]
+
     J.landed(J.start_embedding_requests(
         stream_embedding_requests(spark, source="files", path=f"{path}/in"),
-        cache_table(spark, f"{path}/cache"), responses, f"{path}/refused", f"{path}/checkpoint"))
-    return responses.read().select("request_id", "model", "cache_hit", "dimension")
+        cache_table(spark, f"{path}/cache"), f"{path}/responses", f"{path}/refused", f"{path}/checkpoint", sizes))
+    return spark.read.parquet(f"{path}/responses").select(
+        "request_id", "model", "cache_hit", "dimension", F.format_string("[%s]", F.array_join(F.col("embedding").cast("array<string>"), ", ")).alias("vector"))
 
 
 @query("S4_split_valid_invalid", f"""{CALLS}, m AS (

@@ -12,12 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from meterlake.functions import scalars as S
-from meterlake.operators.embeddings import EmbedderFactory, embed_requests, hash_embedder
+from meterlake.operators.embeddings import EmbedderFactory, EmbeddingCache, embed_requests, hash_embedder
 from meterlake.operators.facts import INTERACTION_KEY
 from meterlake.operators.features import online_features_lifetime
 from meterlake.operators.validation import OUTCOME, REASONS, apply_defaults, mark_messages, split_messages
 from meterlake.schemas import INTERACTION
-from meterlake.sources.archive import VersionedTable
 from meterlake.sources.interactions import decode_embedding_requests, decode_json, with_derived
 from meterlake.sources.online import online_rows, publish_online_features
 from meterlake.streaming.windows import with_event_time
@@ -190,21 +189,21 @@ def start_metric(
 
 def start_embedding_requests(
     messages: DataFrame,
-    cache: VersionedTable,
-    responses: VersionedTable,
+    cache: EmbeddingCache,
+    responses: str,
     refused: str,
     checkpoint: str,
     factory: EmbedderFactory = hash_embedder,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Embedding requests -> responses; misses are embedded and cached per batch."""
+    """Embedding requests -> responses by batch; misses are embedded and cached. A batch run again replaces its own folders."""
 
     def serve(batch: DataFrame, batch_id: int) -> None:
         requests = decode_embedding_requests(batch).persist()
         try:
             done, bad = embed_requests(requests, cache, _now(), factory)
             bad.write.mode("overwrite").parquet(f"{refused}/batch={batch_id}")
-            responses.write(done)
+            done.write.mode("overwrite").parquet(f"{responses}/batch={batch_id}")
         finally:
             requests.unpersist()
 

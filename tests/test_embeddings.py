@@ -165,3 +165,49 @@ def test_nearest_of_all_deals_by_row_counts(spark, monkeypatch):
         got.setdefault(r.probe_id, []).append(r.vec_id)
     assert got == {p: np.lexsort((np.arange(205), -np.round(vectors @ vectors[p], 7)))[:3].tolist() for p in range(0, 205, 20)}
     assert E.nearest_of_all(corpus.limit(0), probes, 3).count() == 0
+
+
+def _above_scan(plan):
+    """Operators from the bucketed scan up to the first join above it."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth, out = len(lines[at]) - len(lines[at].lstrip(" :+-")), []
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            depth = own
+            out.append(line.strip(" :+-"))
+            if "Join" in line:
+                return out
+    raise AssertionError(plan)
+
+
+def test_a_lookup_does_not_exchange_the_cache(spark, tmp_path):
+    cache = E.cache_table(spark, str(tmp_path / "cache"), 8)
+    for part in (["a", "b", "c"], ["c", "d"]):
+        E.embed_requests(requests(spark, part), cache, NOW)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = E.cache_lookup(requests(spark, ["a", "d", "a", "x"]), cache.read(), NOW)
+        assert [r.cache_hit for r in found.orderBy("request_id").collect()] == [True, True, True, False]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        path = _above_scan(plan)
+        assert path and not any("Exchange" in line for line in path), plan
+        wanted = E.get_many(E.with_cache_key(requests(spark, ["a"])).withColumn("position", F.lit(0)), cache.read(), NOW)
+        assert not any("Exchange" in line for line in _above_scan(wanted._jdf.queryExecution().executedPlan().toString()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_compacting_the_cache(spark, tmp_path):
+    cache = E.cache_table(spark, str(tmp_path / "cache"), 4)
+    E.embed_requests(requests(spark, ["a", "b"], ttl=3600), cache, NOW)
+    E.embed_requests(requests(spark, ["a"]), cache, NOW + timedelta(minutes=1), use_cache=False)
+    assert cache.read().count() == 3
+    E.compact_cache(cache, NOW + timedelta(hours=2))
+    assert cache.read().count() == 1
+    # Another session finds the table by its folder.
+    spark.sql(f"DROP TABLE {cache.name}")
+    again = E.cache_table(spark, str(tmp_path / "cache"), 4)
+    assert E.cache_lookup(requests(spark, ["a", "b"]), again.read(), NOW + timedelta(hours=2)).where("cache_hit").count() == 1
