@@ -8,6 +8,8 @@ deviations are all read from those counts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -126,26 +128,25 @@ def exact_ks_pvalue(d: float, n1: int, n2: int) -> float:
 
     Every order of the pooled sample is a lattice path from (0, 0) to (n1, n2).
     The probability of having touched |i/n1 - j/n2| >= d is carried forward
-    along the diagonals i + j = k; a point that is itself outside has 1.
+    along the diagonals i + j = k, over the band of points inside only; a point
+    outside has 1.
     """
-    bound = round(d * n1 * n2) - 0.5
-    previous = np.array([1.0 if bound <= 0 else 0.0])
-    low = 0
-    for k in range(1, n1 + n2 + 1):
-        new_low, new_high = max(0, k - n2), min(n1, k)
+    bound, both = round(d * n1 * n2) - 0.5, n1 + n2
+    if bound <= 0:
+        return 1.0
+    previous, low = np.zeros(1), 0
+    for k in range(1, both + 1):
+        # Inside: |i n2 - (k - i) n1| = |i (n1 + n2) - k n1| < bound.
+        new_low = max(0, k - n2, math.floor((k * n1 - bound) / both) + 1)
+        new_high = min(n1, k, math.ceil((k * n1 + bound) / both) - 1)
+        if new_low > new_high:
+            return 1.0
         i = np.arange(new_low, new_high + 1)
-        # Share of paths that come from (i - 1, j) and from (i, j - 1).
-        from_i = np.zeros(len(i))
-        from_j = np.zeros(len(i))
-        left = i - 1 - low
-        ok = (left >= 0) & (left < len(previous))
-        from_i[ok] = previous[left[ok]]
-        below = i - low
-        ok = (below >= 0) & (below < len(previous))
-        from_j[ok] = previous[below[ok]]
-        current = (from_i * i + from_j * (k - i)) / k
-        current[np.abs(i * n2 - (k - i) * n1) >= bound] = 1.0
-        previous, low = current, new_low
+        padded = np.concatenate([[1.0], previous, [1.0]])
+        # Paths come from (i - 1, j) and from (i, j - 1); off the lattice the weight is 0.
+        from_i = padded[np.clip(i - low, 0, len(padded) - 1)]
+        from_j = padded[np.clip(i - low + 1, 0, len(padded) - 1)]
+        previous, low = (from_i * i + from_j * (k - i)) / k, new_low
     return float(min(1.0, previous[0]))
 
 
@@ -161,7 +162,7 @@ def with_pvalue(stats: DataFrame, exact: bool = False) -> DataFrame:
     """Add ks_pvalue and ks_method: the limit series, or the exact value where it is asked for.
 
     The method never follows the sample sizes. The exact recursion takes
-    n_hist * n_cur steps for a result row, so it is for small samples; the
+    up to n_hist * n_cur steps for a result row, so it is for small samples; the
     limit series differs from it by less than 0.01 from 50 values a side on.
     """
     d, n1, n2 = F.col("ks_statistic"), F.col("n_hist"), F.col("n_cur")

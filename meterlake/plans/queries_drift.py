@@ -98,10 +98,28 @@ def d3(spark, folder):
     return rounded(result.select(*D.KEY, "ks_pvalue", "ks_method"), "ks_pvalue")
 
 
-@query("D3_ks_pvalue_exact")
+# The lattice row by row: p[j + 1] is the share of paths to (i, j) that were outside.
+_OUTSIDE = "abs(i * n_cur - j * n_hist) >= round(ks_statistic * n_hist * n_cur) - 0.5"
+
+
+@query("D3_ks_pvalue_exact", f"""{DRIFT_BY_USER.replace("WITH ", "WITH RECURSIVE ", 1)},
+paths AS (
+  SELECT feature_name, entity_id, n_hist, n_cur, ks_statistic, 0::BIGINT AS i, list_reduce(
+    list_prepend([CASE WHEN {_OUTSIDE.replace("i *", "0 *").replace("j *", "0 *")} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END],
+      list_transform(range(1, n_cur + 1), lambda j: [j::DOUBLE])),
+    lambda p, x: list_append(p, CASE WHEN {_OUTSIDE.replace("i *", "0 *").replace("j *", "x[1] *")} THEN 1.0::DOUBLE ELSE p[-1] END)) AS p
+  FROM ks
+  UNION ALL
+  SELECT feature_name, entity_id, n_hist, n_cur, ks_statistic, i + 1, list_reduce(
+    list_prepend([CASE WHEN {_OUTSIDE.replace("i *", "(i + 1) *").replace("j *", "0 *")} THEN 1.0::DOUBLE ELSE p[1] END],
+      list_transform(range(1, n_cur + 1), lambda j: [j::DOUBLE, p[j + 1]])),
+    lambda a, x: list_append(a, CASE WHEN {_OUTSIDE.replace("i *", "(i + 1) *").replace("j *", "x[1] *")} THEN 1.0::DOUBLE
+      ELSE (x[2] * (i + 1) + a[-1] * x[1]) / (i + 1 + x[1]) END))
+  FROM paths WHERE i < n_hist)
+SELECT feature_name, entity_id, n_hist, n_cur, round(least(1.0, p[-1]), 7) AS ks_pvalue, 'exact' AS ks_method FROM paths WHERE i = n_hist""")
 def d3_exact(spark, folder):
-    # No SQL form: the exact small-sample value is a recursion over lattice paths.
-    result = D.with_pvalue(D.ks_statistic(by_type(spark, folder)), exact=True)
+    samples = D.samples_from_columns(calls(spark, folder), COLUMNS, AS_OF, entity="user_id")
+    result = D.with_pvalue(D.ks_statistic(samples), exact=True)
     return rounded(result.select(*D.KEY, "n_hist", "n_cur", "ks_pvalue", "ks_method"), "ks_pvalue")
 
 
