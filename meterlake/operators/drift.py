@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions import scalars as S
@@ -72,12 +72,16 @@ def _psi_score() -> str:
 
 
 def drift_statistics(samples: DataFrame, **options) -> DataFrame:
-    """Per (feature, entity) with both samples: sizes, PSI, KS distance, means, deviations.
+    """Per (feature, entity) with both samples: sizes, PSI, KS distance, means, deviations."""
+    return statistics_of_counts(_collapse(samples), **options)
+
+
+def statistics_of_counts(collapsed: DataFrame, **options) -> DataFrame:
+    """drift_statistics of samples that are collapsed to KEY, value, hist, cur.
 
     The second pass joins the one row per key back to the distinct values; a
     key with very many of them is split there.
     """
-    collapsed = _collapse(samples)
     stats = _group_statistics(running_counts(collapsed, KEY, "value", ["hist", "cur"], **options))
     bin_no = " + ".join(f"CAST(value >= e{i} AS INT)" for i in range(1, PSI_BINS))
     placed = null_safe_join(collapsed, stats, KEY, "inner").selectExpr("*", f"{bin_no} AS bin")
@@ -204,8 +208,12 @@ def check_drift(
     the PSI alone.
     """
     check_lookback(days)
-    stats = with_pvalue(drift_statistics(samples, **options), exact)
-    keys = samples.select(*KEY).distinct()
+    stats = drift_statistics(samples, **options)
+    return _drift_rows(samples.select(*KEY).distinct(), stats, as_of, threshold, days, exact)
+
+
+def _drift_rows(keys: DataFrame, stats: DataFrame, as_of, threshold: float, days: int, exact: bool) -> DataFrame:
+    stats = with_pvalue(stats, exact)
     joined = null_safe_join(keys, stats, KEY, "left")
     score = F.coalesce("psi", F.lit(0.0))
     known = F.col("psi").isNotNull()
@@ -273,6 +281,39 @@ def drift_sweep(df: DataFrame, columns, as_of, current_days: int = DRIFT_WINDOW_
     return check_drift(samples, as_of, days=current_days, **options)
 
 
+COUNTS = "feature_name string, entity_id string, value double, n bigint, date date"
+
+
+def refresh_daily_counts(df: DataFrame, root: str, columns, entity: str | None = None) -> None:
+    """Counts of the distinct values of each column on each day of df, kept as plain Parquet by date.
+
+    The days of df are replaced and no other is touched, so a sweep gives the
+    days that are new or have late rows, whole, and nothing else is read.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    who = F.col(entity).cast("string") if entity else F.lit("all")
+    rows = df.select(who.alias("entity_id"), "date", F.inline(pairs))
+    # Without a value a row still shows that its key is there.
+    value = F.when(~F.isnan("value"), F.col("value")).alias("value")
+    counts = rows.groupBy("feature_name", "entity_id", value, "date").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("feature_name", "entity_id", "value", "n", "date").hint("rebalance", F.col("date"))
+    writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(root)
+
+
+def drift_from_counts(
+    spark: SparkSession, root: str, as_of, current_days: int = DRIFT_WINDOW_DAYS, threshold: float = DRIFT_THRESHOLD,
+    exact: bool = False, **options,
+) -> DataFrame:
+    """drift_sweep from the daily counts: they are added up on both sides of the cut, and no fact is read."""
+    check_lookback(current_days)
+    counts = spark.read.schema(COUNTS).parquet(root)
+    current = F.col("date") >= F.date_sub(as_date(as_of), current_days)
+    n = lambda side: F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0))
+    collapsed = counts.where("value IS NOT NULL").groupBy(*KEY, "value").agg(n(~current).alias("hist"), n(current).alias("cur"))
+    return _drift_rows(counts.select(*KEY).distinct(), statistics_of_counts(collapsed, **options), as_of, threshold, current_days, exact)
+
+
 def spc_limits(samples: DataFrame, sigmas: float = 3.0) -> DataFrame:
     """Control limits per key from the historical sample."""
     return samples.where(F.col("side") == HISTORICAL).groupBy(*KEY).agg(

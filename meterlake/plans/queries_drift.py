@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import drift as D
 from meterlake.plans.catalog import AS_OF, CALLS, calls, query, rounded, text
+from meterlake.plans.session import work_folder
 from meterlake.sources.interactions import read_table
 
 COLUMNS = ["latency_ms", "total_tokens"]
@@ -199,6 +200,17 @@ def d8(spark, folder):
     return _checked(D.drift_sweep(calls(spark, folder), COLUMNS, AS_OF, entity="operation"))
 
 
+@query("D8_drift_sweep_from_counts", _check(DRIFT_BY_TYPE))
+def d8_counts(spark, folder):
+    root, rows = work_folder(spark, "drift-counts"), calls(spark, folder)
+    last = F.col("date") >= F.lit("2024-01-30").cast("date")
+    # The days before, one of them incomplete; then the new days, and the late one whole.
+    D.refresh_daily_counts(rows.where(~last & ((F.col("date") != F.lit("2024-01-20").cast("date")) | F.col("is_error"))), root, COLUMNS, "operation")
+    D.refresh_daily_counts(rows.where(last), root, COLUMNS, "operation")
+    D.refresh_daily_counts(rows.where("date = DATE '2024-01-20'"), root, COLUMNS, "operation")
+    return _checked(D.drift_from_counts(spark, root, AS_OF))
+
+
 _LIMITS = """limits AS (SELECT feature_name, entity_id, avg(value) AS center, stddev_pop(value) AS sigma
 FROM samples WHERE hist GROUP BY 1, 2)"""
 

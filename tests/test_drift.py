@@ -146,3 +146,26 @@ def test_null_entities_are_a_key(spark):
     got = {r.entity_id: r for r in D.check_drift(samples, "2024-01-31").collect()}
     assert set(got) == {None, "e"} and all(r.details["method"] == "PSI + KS Test" for r in got.values())
     assert all(r.details["ks_method"] == "asymptotic" for r in got.values())
+
+
+def test_a_sweep_from_counts_reads_the_new_day_only(spark, make_calls, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [{"timestamp": datetime(2024, 1, 1 + i % 20, 3), "latency_ms": float(rng.choice([1.5, 2.0, 7.25, float(i % 13)])),
+             "input_tokens": int(rng.integers(0, 9)), "model": f"m{i % 3}"} for i in range(400)]
+    calls, root, facts = make_calls(rows), str(tmp_path / "counts"), str(tmp_path / "facts")
+    names = ["latency_ms", "input_tokens"]
+    calls.where("date < DATE '2024-01-20'").write.partitionBy("date").parquet(facts)
+    read = lambda: spark.read.schema(calls.schema).parquet(facts)
+    D.refresh_daily_counts(read(), root, names, "model")
+    calls.where("date = DATE '2024-01-20'").write.mode("append").partitionBy("date").parquet(facts)
+    new = read().where("date = DATE '2024-01-20'")
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    before = {p: p.stat().st_mtime for p in (tmp_path / "counts").glob("date=*/*.parquet")}
+    D.refresh_daily_counts(new, root, names, "model")
+    assert all(p.exists() and p.stat().st_mtime == t for p, t in before.items())
+    flat = lambda df: sorted(tuple(str(round(x, 9) if isinstance(x, float) else x) for x in r) for r in df.drop("details").collect())
+    swept = D.drift_from_counts(spark, root, "2024-01-21")
+    assert flat(swept) == flat(D.drift_sweep(calls, names, "2024-01-21", entity="model")) and swept.count() == 6
+    scans = [line for line in swept._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert scans and all("latency_ms" not in line and "feature_name" in line for line in scans)
