@@ -6,6 +6,9 @@ from meterlake.operators import alerts as R
 from meterlake.operators import analytics as A
 from meterlake.operators import drift as D
 from meterlake.plans.catalog import AS_OF, CALLS, calls, query, rounded, text
+from meterlake.plans.session import work_folder
+from meterlake.sources.interactions import interactions_from_events, stream_table
+from meterlake.streaming.jobs import WATERMARK, landed, start_metric
 from meterlake.plans.queries_drift import DRIFT_BY_TYPE
 from meterlake.streaming import windows as T
 
@@ -54,6 +57,16 @@ def t4(spark, folder):
     return _windows(T.latency_p95_p99(calls(spark, folder)))
 
 
+@query("T4_latency_sketch_stream", f"""WITH every AS ({_sliding(5, 1, """quantile_disc(latency_ms, 0.95) AS p95,
+quantile_disc(latency_ms, 0.99) AS p99, count(*) AS calls""", "operation")})
+SELECT * FROM every WHERE window_end::TIMESTAMP <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""")
+def t4_stream(spark, folder):
+    path = work_folder(spark, "latency")
+    events = interactions_from_events(stream_table(spark, folder, "events")).withColumn("operation", F.col("event_type"))
+    landed(start_metric(T.latency_p95_p99_panes(T.with_event_time(events, WATERMARK)), f"{path}/out", f"{path}/checkpoint"))
+    return _windows(spark.read.parquet(f"{path}/out"))
+
+
 @query("T5_cost_24h", _sliding(1440, 60, "round(sum(cost_usd), 7) AS total_cost"))
 def t5(spark, folder):
     return rounded(_windows(T.cost_24h(calls(spark, folder))), "total_cost")

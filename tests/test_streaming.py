@@ -207,3 +207,24 @@ def test_timers_end_the_state_of_expired_sessions(spark, make_calls, tmp_path):
         finish(writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     assert changes == [("a", False, 1), ("b", False, 1), ("a", True, 1), ("b", False, 2)] or changes == [
         ("a", False, 1), ("a", True, 1), ("b", False, 1), ("b", False, 2)]
+
+
+def test_sketch_panes_keep_their_rank_error(spark, make_calls):
+    base = make_calls([{"interaction_id": "i", "timestamp": START}])
+    many = spark.range(300_000).select(
+        F.col("id"), F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double").alias("latency_ms"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=F.pmod("id", F.lit(600)).cast("decimal(18, 6)"))).alias("timestamp"))
+    rows = base.limit(1).drop("latency_ms", "timestamp").crossJoin(F.broadcast(many)).withColumn("operation", F.lit("chat"))
+    sketched = {r.window_start: r for r in T.latency_p95_p99_panes(rows).collect()}
+    values = many.select(F.col("latency_ms").alias("v"), F.col("timestamp").alias("t")).toPandas()
+    assert len(sketched) == 14
+    for start, r in sketched.items():
+        inside = np.sort(values.v[(values.t >= start) & (values.t < start + timedelta(minutes=5))].to_numpy())
+        assert r.calls == len(inside)
+        for q, got in ((0.95, r.p95), (0.99, r.p99)):
+            low, high = np.searchsorted(inside, got, "left") / len(inside), np.searchsorted(inside, got, "right") / len(inside)
+            assert low - 1.5 * T.KLL_ERROR <= q <= high + 1.5 * T.KLL_ERROR
+    # Few values are exact.
+    few = rows.where("id < 400")
+    exact = T.latency_p95_p99(few).select(*T.latency_p95_p99_panes(few).columns)
+    assert exact.exceptAll(T.latency_p95_p99_panes(few)).count() == 0 < exact.count()
