@@ -310,9 +310,9 @@ def u1(spark, folder):
 @query("V1_validate_interactions", f"""{CALLS}
 SELECT interaction_id, array_to_string({_REASONS}, ',') AS reasons FROM calls""")
 def v1(spark, folder):
-    valid, invalid = V.validate_interactions(with_faults(calls(spark, folder)))
-    good = valid.select("interaction_id", F.lit("").alias("reasons"))
-    return good.union(invalid.select("interaction_id", F.array_join(V.REASONS, ",")))
+    # Both sides of the split in one pass: a row that breaks no rule has no reasons.
+    marked = V.with_reasons(with_faults(calls(spark, folder)), V.interaction_rules())
+    return marked.select("interaction_id", F.array_join(V.REASONS, ",").alias("reasons"))
 
 
 @query("V2_validate_embedding_requests", """

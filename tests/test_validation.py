@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import facts, validation as V
-from meterlake.sources.interactions import decode_json, read_interactions
+from meterlake.schemas import RAW_INTERACTION
+from meterlake.sources.interactions import as_messages, decode_json, read_interactions
 
 GOOD = ('{"interaction_id":"a","user_id":"u","model":"gpt-4","provider":"openai","prompt":"hi","response":"",'
         '"input_tokens":1,"output_tokens":2,"latency_ms":3.5,"cost_usd":0.1}')
@@ -117,3 +118,20 @@ def test_insert_against_brute_force(make_calls):
             want.setdefault(r["interaction_id"], r["cost_usd"])
     got = facts.insert_interactions(make_calls(rows), table).collect()
     assert {r.interaction_id: r.cost_usd for r in got} == want and len(got) == len(want)
+
+
+def test_written_apart_scans_and_parses_once(spark, make_calls, tmp_path):
+    whole = as_messages(make_calls([{"interaction_id": f"i{i}", "input_tokens": -1 if i % 3 == 0 else 5} for i in range(30)]), RAW_INTERACTION.names)
+    whole.select("value").union(spark.createDataFrame([("{broken",), ("",)], "value string")).write.text(str(tmp_path / "in"))
+    messages = spark.read.text(str(tmp_path / "in")).withColumns({"source_partition": F.lit("p"), "source_offset": F.lit("0")})
+    marked = V.mark_messages(decode_json(messages))
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("from_json") == 1
+    valid, dead = V.written_apart(marked, str(tmp_path / "out"))
+    for side in (valid, dead):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and plan.count("FileScan") == 1 and "outcome" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    one, two = V.split_messages(decode_json(messages))
+    assert sorted(r.interaction_id for r in valid.collect()) == sorted(r.interaction_id for r in one.collect()) and valid.count() == 20
+    assert sorted((r.value, tuple(r.reject_reasons)) for r in dead.collect()) == sorted((r.value, tuple(r.reject_reasons)) for r in two.collect())
+    assert dead.count() == 11 + (1 if "" in {r.value for r in dead.collect()} else 0)
