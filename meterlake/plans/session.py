@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_own_folder: tempfile.TemporaryDirectory | None = None
+
 
 def build_session(name: str = "meterlake", master: str | None = None, **config) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -36,11 +39,15 @@ def build_session(name: str = "meterlake", master: str | None = None, **config)
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the shared folder of the session.
 
-    A local session without spark.checkpoint.dir (a test) uses a temporary one.
+    A local session without spark.checkpoint.dir (a test) uses a temporary one,
+    which is removed when the process ends.
     """
+    global _own_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster" has executors of its own.
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="meterlake-")
+        _own_folder = _own_folder or tempfile.TemporaryDirectory(prefix="meterlake-")
+        shared = _own_folder.name
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
