@@ -8,7 +8,7 @@ from helpers import documents, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterlake.llm import repeats, simhash
+from meterlake.llm import minhash, repeats, simhash
 
 
 def brute_repeats(texts, threshold):
@@ -206,3 +206,33 @@ def test_stage_keeps_one_of_similar_texts(spark):
     kept = corpus_pipeline.near_duplicates(spark, documents(spark, texts, ids), "")
     assert sorted(r.doc_id for r in kept.collect()) == [*expected, 1000, 1002, 1004]
     assert corpus_pipeline.near_duplicates(spark, documents(spark, []), "").count() == 0
+
+
+@pytest.mark.parametrize("n", [150, 1500])
+def test_links_among_texts_of_one_template(spark, n):
+    """Pairs at a similarity above 0.8 among texts that are all alike at about 0.69; a tenth of the size is no easier."""
+    rng = np.random.default_rng(n)
+    template, texts, wanted = [f"t{i}" for i in range(400)], [], 0
+    for k in range(n):
+        own = [f"o{k}x{i}" for i in range(83)]
+        first = template + own
+        second = list(first)
+        for i in rng.choice(len(first), 6, replace=False):
+            second[i] = f"c{k}x{i}"
+        texts += [" ".join(first), " ".join(second)]
+    sets = [set(minhash.shingles(t).tolist()) for t in texts]
+    similarity = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    across = [len(sets[0] & b) / len(sets[0] | b) for b in sets[2:40:2]]
+    assert min(similarity) > 0.8 and 0.6 < min(across) <= max(across) < 0.8
+    rows = minhash.near_duplicates(documents(spark, texts)).collect()
+    group = {r.id: r.component for r in rows}
+    linked = sum(group[2 * k] == group[2 * k + 1] for k in range(n))
+    assert linked >= 0.95 * n and len(set(group.values())) == 2 * n - linked
+
+
+def test_similar_pairs_against_sets():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.int32)) for _ in range(60)] + [np.arange(9000, dtype=np.int32)] * 2
+    want = {(i, j) for i in range(62) for j in range(i + 1, 62)
+            if len(set(sets[i]) & set(sets[j])) >= 0.5 * len(set(sets[i]) | set(sets[j]))}
+    assert {tuple(p) for p in minhash.similar_pairs(sets, 0.5).tolist()} == want
