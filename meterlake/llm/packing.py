@@ -36,10 +36,12 @@ VOCABULARY = "word_bpe_49k.json"
 CLASS_WIDTH = 16
 SMALL = 128  # lengths kept out of the program; they fill the room that rounding leaves
 STEP = 0.05
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
 STOPS = ".,;:!?$%&#*+-=/()[]{}\"@^_~"  # a run of these after a word is a unit of its own
 # Letters below U+0180 but U+0130 have one lower case letter each and are in normal form.
-PLAIN = re.compile("[A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017f]+")
+LETTERS = "A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017f"
+# One word a line: letters and the run after them, or anything else.
+WORD = re.compile(f"^(?:([{LETTERS}]+)([{re.escape(STOPS)}]*)|(.*))$", re.MULTILINE)
 UNUSUAL = re.compile("[\\u0130\\u0180-\\U0010ffff]|<\\|")  # not to be lowered as a whole
 BATCH = 2 << 20
 
@@ -91,7 +93,7 @@ class WordCoder:
             return []
         if len(self.words) > CACHED_WORDS:
             self.forget()
-        texts = [t if UNUSUAL.search(t) else t.lower() for t in texts]
+        texts = [t.lower() if (t.isascii() and "<|" not in t) or not UNUSUAL.search(t) else t for t in texts]
         words = [t.replace("\n", " ").split(" ") for t in texts]
         ends = np.cumsum([len(w) for w in words])
         at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(words)), dtype=np.int32, count=int(ends[-1]))
@@ -105,30 +107,18 @@ class WordCoder:
         return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops, strict=False)]
 
     def learn(self, new: list[str]) -> None:
-        parts, plain, odd = [], [], []
-        for word in new:
-            core = word.rstrip(STOPS)
-            if PLAIN.fullmatch(core):
-                if core not in self.units:
-                    plain.append(core)
-                tail = word[len(core) :]
-            else:
-                core, tail = word, ""
-                if core not in self.units:
-                    odd.append(core)
-            if tail and tail not in self.units:
-                odd.append(tail)
-            parts.append((core, tail))
-        # A core of one word may be the tail of another; each is numbered and encoded once.
-        plain = list(dict.fromkeys(plain))
-        odd = list(dict.fromkeys(odd))
-        for unit in chain(plain, odd):
-            self.units[unit]
-        number = self.units.__getitem__
-        flat = np.fromiter(map(number, chain.from_iterable(parts)), dtype=np.int32, count=2 * len(parts))
-        self.parts = np.concatenate([self.parts, flat.reshape(-1, 2)])
+        found = WORD.findall("\n".join(new)) if new else []
+        cores, tails, odd = zip(*found, strict=True) if found else ((), (), ())
+        number = lambda units: np.fromiter(map(self.units.__getitem__, units), dtype=np.int32, count=len(found))
+        known = len(self.units)
+        first = number(cores)
+        plain = list(islice(self.units, known, None))
+        # A word that is no plain unit with a tail has no core, and the empty unit is 0.
+        parts = np.stack([first + number(odd), number(tails)], axis=1)
+        other = list(islice(self.units, known + len(plain), None))
+        self.parts = np.concatenate([self.parts, parts])
         ids, size = self.encode_plain(plain)
-        rest = [x.ids for x in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+        rest = [x.ids for x in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
         self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(rest), dtype="<u4")])
         self.size = np.concatenate([self.size, size, np.array([len(x) for x in rest], dtype=np.int64)])
 
