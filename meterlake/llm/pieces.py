@@ -27,6 +27,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,7 @@ class Lattice:
         # Character to [further characters, (ids, score) of the piece that ends here].
         self.trie: dict[str, list] = {}
         self.bytes: dict[int, int] = {}
+        self.longest = 1
         pairs: set[str] = set()
         crossing = False
         for i in range(size):
@@ -73,6 +75,7 @@ class Lattice:
                 continue
             rank = min(-model.get_score(i), size)
             node: list = [self.trie, None]
+            self.longest = max(self.longest, len(piece))
             for ch in piece:
                 node = node[0].setdefault(ch, [{}, None])
             node[1] = ((i,), -round(UNIT * math.log(rank + 1)))
@@ -87,30 +90,50 @@ class Lattice:
 
     def forward(self, text: str) -> tuple[list[list[tuple[int, int, tuple[int, ...]]]], list[int]]:
         """For every place, the pieces that end there (start, score, ids) and the best score from the start (Viterbi)."""
-        size = len(text)
+        size, trie = len(text), self.trie
         ends: list[list[tuple[int, int, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         best: list[int] = [0, *[-(1 << 62)] * size]
         for start in range(size):
-            single, reached, children = False, best[start], self.trie
-            for end in range(start + 1, size + 1):
-                node = children.get(text[end - 1])
+            reached, children, end = best[start], trie, start
+            for ch in text[start : start + self.longest]:
+                node = children.get(ch)
                 if node is None:
                     break
+                end += 1
                 children, found = node
-                if found:
+                if found is not None:
                     ids, score = found
                     ends[end].append((start, score, ids))
-                    if reached + score > best[end]:
-                        best[end] = reached + score
-                    if end == start + 1:
-                        single = True
-            if not single:
+                    score += reached
+                    if score > best[end]:
+                        best[end] = score
+            # The piece of one character, if there is one, is the first that was added behind it.
+            if not ends[start + 1] or ends[start + 1][-1][0] != start:
                 raw = text[start].encode("utf-8", "surrogatepass")
                 score = len(raw) * self.byte_score
                 ends[start + 1].append((start, score, tuple(self.bytes[b] for b in raw)))
                 best[start + 1] = max(best[start + 1], reached + score)
         return ends, best
 
+    def best(self, text: str) -> Entry:
+        """The best segmentation of one part, and what the second one loses.
+
+        The search's first step: along the best path, the least loss of a piece
+        beside it is that of the next path.
+        """
+        ends, best = self.forward(text)
+        place, ids, second = len(text), (), None
+        while place:
+            follow, reached = None, best[place]
+            for start, score, piece in ends[place]:
+                less = reached - best[start] - score
+                if less == 0 and follow is None:
+                    follow, behind = start, piece
+                elif second is None or less < second:
+                    second = less
+            place, ids = follow, behind + ids
+        return best[-1], len(ids), array("I", ids).tobytes(), second
+
     def search(self, text: str, n: int) -> list[Path]:
         """The n best segmentations of one part, best first; equal ones in the order they are met.
 
@@ -144,6 +167,8 @@ class Lattice:
 
     def fine(self, part: str) -> list[str]:
         """A coarse part, cut at pairs that occur in no piece."""
+        if all(map(self.pairs.__contains__, map(add, part, part[1:]))):
+            return [part]
         cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.pairs]
         return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)]
 
@@ -158,8 +183,7 @@ class Lattice:
                 ids = b"".join([e[2] for e in every])
                 found = (sum([e[0] for e in every]), sum([e[1] for e in every]), ids, min(losses, default=None))
             else:
-                two = self.search(part, min(self.n, 2))
-                found = (*two[0], two[0][0] - two[1][0] if len(two) > 1 else None)
+                found = self.best(part)
             if len(self.cache) >= CACHED_PARTS:
                 self.cache.clear()
             self.cache[part] = found
