@@ -178,13 +178,21 @@ def a15(spark, folder):
     return rounded(A.latency_percentiles(rows), "avg")
 
 
-@query("A16_tier_consistency", f"""{CALLS}
-SELECT user_id, count(*) AS fact_count, count(*) AS online_count, sum(total_tokens)::BIGINT AS fact_tokens,
-  sum(total_tokens)::BIGINT AS online_tokens, round(sum(cost_usd), 7) AS fact_cost, round(sum(cost_usd), 7) AS online_cost,
-  true AS consistent FROM calls GROUP BY user_id""")
+_STALE = "date < DATE '2024-01-28' OR user_id NOT LIKE '%3%'"
+
+
+@query("A16_tier_consistency", f"""{CALLS},
+online AS (SELECT user_id, count(*) AS online_count, sum(total_tokens)::BIGINT AS online_tokens, sum(cost_usd) AS online_cost
+  FROM calls WHERE {_STALE} GROUP BY user_id),
+facts AS (SELECT user_id, count(*) AS fact_count, sum(total_tokens)::BIGINT AS fact_tokens, sum(cost_usd) AS fact_cost
+  FROM calls WHERE user_id <> 'user_7' GROUP BY user_id)
+SELECT user_id, fact_count, online_count, fact_tokens, online_tokens, round(fact_cost, 7) AS fact_cost, round(online_cost, 7) AS online_cost,
+  coalesce(online_count = fact_count AND online_tokens = fact_tokens AND abs(online_cost - fact_cost) <= 0.01, false) AS consistent
+FROM online FULL JOIN facts USING (user_id)""")
 def a16(spark, folder):
     rows = calls(spark, folder)
-    joined = A.tier_consistency(O.online_features_lifetime(rows), rows)
+    # Some users' online totals are behind, and one user's facts are missing.
+    joined = A.tier_consistency(O.online_features_lifetime(rows.where(_STALE)), rows.where("user_id <> 'user_7'"))
     return rounded(joined, "fact_cost", "online_cost")
 
 

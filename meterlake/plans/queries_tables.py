@@ -231,12 +231,19 @@ def s12(spark, folder):
     return warm.union(read_days(spark, root).select(F.lit("cold"), "interaction_id"))
 
 
+_PLAIN_FIELDS = ["interaction_id", "user_id", "session_id", "model", "provider", "prompt", "response", "metadata",
+                 "input_tokens", "output_tokens", "total_tokens"]
+
+
 @query("S13_publish_interactions", f"""{CALLS}
-SELECT user_id AS key, interaction_id, total_tokens::VARCHAR AS total_tokens, prompt FROM calls""")
+SELECT user_id AS key, {", ".join(f"{c}::VARCHAR AS {c}" for c in _PLAIN_FIELDS)}, round(latency_ms, 7) AS latency_ms,
+  round(cost_usd, 7) AS cost_usd, "timestamp"::VARCHAR AS "timestamp", date::VARCHAR AS date FROM calls""")
 def s13(spark, folder):
     messages = as_messages(calls(spark, folder))
-    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
-    return messages.select("key", field("interaction_id"), field("total_tokens"), field("prompt"))
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    numbers = [F.round(field(c).cast("double"), 7).alias(c) for c in ("latency_ms", "cost_usd")]
+    moments = [field("timestamp").cast("timestamp_ntz").cast("string").alias("timestamp"), field("date").alias("date")]
+    return messages.select("key", *[field(c).alias(c) for c in _PLAIN_FIELDS], *numbers, *moments)
 
 
 _SIX = """SELECT user_id AS entity_id, count(*)::VARCHAR AS interaction_count, sum(total_tokens)::VARCHAR AS total_tokens,
