@@ -359,7 +359,7 @@ def phrase_marks(phrases: DataFrame, count: int) -> Broadcast:
 
 
 def phrase_levels(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> list[DataFrame]:
-    """One table per number of words: lang, phrase, f, lefts, rights, most.
+    """The totals (lang, n), then one table per number of words: lang, phrase, f, lefts, rights, most.
 
     lefts has the counts of the first 1, 2, .. words, rights those of what
     follows them; most is the greatest count of a phrase that is one word longer
