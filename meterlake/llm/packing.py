@@ -36,14 +36,14 @@ VOCABULARY = "word_bpe_49k.json"
 CLASS_WIDTH = 16
 SMALL = 128  # lengths kept out of the program; they fill the room that rounding leaves
 STEP = 0.05
-CACHED_WORDS = 300_000
+CACHED_WORDS = 120_000
 STOPS = ".,;:!?$%&#*+-=/()[]{}\"@^_~"  # a run of these after a word is a unit of its own
 # Letters below U+0180 but U+0130 have one lower case letter each and are in normal form.
 LETTERS = "A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017f"
 # One word a line: letters and the run after them, or anything else.
 WORD = re.compile(f"^(?:([{LETTERS}]+)([{re.escape(STOPS)}]*)|(.*))$", re.MULTILINE)
 UNUSUAL = re.compile("[\\u0130\\u0180-\\U0010ffff]|<\\|")  # not to be lowered as a whole
-BATCH = 2 << 20
+BATCH = 1 << 20
 
 # --- tokens -----------------------------------------------------------------
 
