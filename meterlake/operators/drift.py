@@ -41,6 +41,28 @@ _BOTH_SIDES = "all_hist > 0 AND all_cur > 0"
 _CDF_GAP = "max(abs(cum_hist / all_hist - cum_cur / all_cur))"
 
 
+_STEP = f"{2.0**62}D"
+# A double as three whole numbers, in units of 1, 2^-62 and 2^-124; exact from 2^-72 to 2^62.
+_WHOLE = "rint(value)"
+_MIDDLE = f"(value - {_WHOLE}) * {_STEP}"
+_SMALL = f"({_MIDDLE} - rint({_MIDDLE})) * {_STEP}"
+
+
+def _mean(counts: str) -> str:
+    """Aggregate: the mean of the counted values, the same whatever the order they are added in.
+
+    A sum of doubles follows the order in which tasks finish. Here the parts of
+    the values are added as whole numbers; beyond the range of these it is the sum of doubles.
+    """
+    fits = f"bool_and(abs(value) < {_STEP} AND {_SMALL} = rint({_SMALL}) AND {counts} < 10000000000)"
+    sums = [
+        f"CAST(try_sum(CASE WHEN abs({part}) < {_STEP} THEN CAST(rint({part}) AS DECIMAL(19, 0)) END * try_cast({counts} AS DECIMAL(10, 0))) AS DOUBLE)"
+        for part in (_WHOLE, _MIDDLE, _SMALL)
+    ]
+    exact = f"CASE WHEN {fits} THEN {sums[0]} + ({sums[1]} + {sums[2]} / {_STEP}) / {_STEP} END"
+    return f"coalesce({exact}, sum(value * {counts})) / sum({counts})"
+
+
 def _group_statistics(ranked: DataFrame) -> DataFrame:
     """Per key: sizes, means, KS distance, and the inner PSI edges e1..e9."""
     neighbours, edges = [], []
@@ -51,8 +73,8 @@ def _group_statistics(ranked: DataFrame) -> DataFrame:
     grouped = ranked.where(_BOTH_SIDES).groupBy(*KEY).agg(*map(F.expr, [
         "max(all_hist) AS n_hist",
         "max(all_cur) AS n_cur",
-        "sum(value * hist) / sum(hist) AS mean_hist",
-        "sum(value * cur) / sum(cur) AS mean_cur",
+        f"{_mean('hist')} AS mean_hist",
+        f"{_mean('cur')} AS mean_cur",
         f"{_CDF_GAP} AS ks_statistic",
         *neighbours,
     ]))
