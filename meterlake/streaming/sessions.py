@@ -9,10 +9,9 @@ says when it has expired.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -27,26 +26,21 @@ from meterlake.streaming.windows import EVENT_TIME
 SESSION = "first bigint, last bigint, cost double, tokens bigint, latency double, calls bigint, last_id string, model string"
 CHANGE = f"user_id string, {SESSION}, expired boolean"
 FIELDS = ["first", "last", "cost", "tokens", "latency", "calls", "last_id", "model"]
+CHANGED = Row("user_id", *FIELDS, "expired")
+CALLS_AT_ONCE = 10_000
 
 
-def sessions_of(calls: pd.DataFrame, gap: int) -> list[tuple]:
+def sessions_of(calls: list[dict], gap: int) -> list[tuple]:
     """Sessions (FIELDS) of calls of one user (at, cost, tokens, latency, id, model), in any order."""
-    calls = calls.sort_values(["at", "id"])
-    at = calls["at"].to_numpy()
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(at) >= gap]))
-    ends = np.append(starts[1:], len(at)) - 1
-    sums = [np.add.reduceat(calls[c].fillna(0).to_numpy(), starts) for c in ("cost", "tokens", "latency")]
-    ids, models = calls["id"].to_numpy(), calls["model"].to_numpy()
-    return [
-        (int(at[a]), int(at[b]), float(sums[0][i]), int(sums[1][i]), float(sums[2][i]), int(b - a + 1), ids[b], models[b])
-        for i, (a, b) in enumerate(zip(starts, ends, strict=True))
-    ]
+    return merged([
+        (c["at"], c["at"], c["cost"] or 0.0, c["tokens"] or 0, c["latency"] or 0.0, 1, c["id"], c["model"]) for c in calls
+    ], gap)
 
 
 def merged(sessions: list[tuple], gap: int) -> list[tuple]:
     """Sessions in order, with those put together that lie less than the gap apart."""
     out: list[tuple] = []
-    for s in sorted(sessions, key=lambda s: s[0]):
+    for s in sorted(sessions, key=lambda s: (s[0], s[6] or "")):
         if out and s[0] - out[-1][1] < gap:
             o = out[-1]
             last = max(o, s, key=lambda x: (x[1], x[6] or ""))
@@ -66,34 +60,36 @@ class OpenSessions(StatefulProcessor):
         self.handle = handle
         self.sessions = handle.getListState("sessions", SESSION)
 
-    def _timer(self, sessions: list[tuple]) -> None:
-        """One timer, at the expiry of the newest session; a timer counts milliseconds."""
-        at = -(-(sessions[-1][1] + self.gap) // 1000)
-        for timer in self.handle.listTimers():
-            if timer != at:
-                self.handle.deleteTimer(timer)
+    def _expiry(self, session: tuple) -> int:
+        """The moment a session expires; a timer counts milliseconds."""
+        return -(-(session[1] + self.gap) // 1000)
+
+    def _timer(self, before: tuple | None, newest: tuple) -> None:
+        """One timer, at the expiry of the newest session. Every call goes to the task's JVM and back, so only a changed one is set."""
+        at = self._expiry(newest)
+        if before is not None:
+            if self._expiry(before) == at:
+                return
+            self.handle.deleteTimer(self._expiry(before))
         self.handle.registerTimer(at)
 
-    def _row(self, key, session: tuple, expired: bool) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *session, expired)], columns=["user_id", *FIELDS, "expired"])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        sessions = [tuple(s) for s in self.sessions.get()] if self.sessions.exists() else []
-        before = sessions[-1] if sessions else None
-        for calls in rows:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        stored = [tuple(s) for s in self.sessions.get()]
+        before, sessions = stored[-1] if stored else None, stored
+        while calls := [r["call"] for r in islice(rows, CALLS_AT_ONCE)]:
             sessions = merged(sessions + sessions_of(calls, self.gap), self.gap)
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         kept = [s for s in sessions[:-1] if s[1] + self.gap > watermark] + sessions[-1:]
         self.sessions.put(kept)
-        self._timer(kept)
+        self._timer(before, kept[-1])
         if kept[-1] != before:
-            yield self._row(key, kept[-1], False)
+            yield CHANGED(key[0], *kept[-1], False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        sessions = [tuple(s) for s in self.sessions.get()] if self.sessions.exists() else []
-        if sessions and -(-(sessions[-1][1] + self.gap) // 1000) <= timerValues.getCurrentWatermarkInMs():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        sessions = [tuple(s) for s in self.sessions.get()]
+        if sessions and self._expiry(sessions[-1]) <= timerValues.getCurrentWatermarkInMs():
             self.sessions.clear()
-            yield self._row(key, sessions[-1], True)
+            yield CHANGED(key[0], *sessions[-1], True)
 
     def close(self) -> None:
         pass
@@ -108,11 +104,13 @@ def open_sessions(stream: DataFrame, gap_seconds: int = FEATURE_TTL_SECONDS) ->
     when the watermark passes a session's expiry; each row of a user is added
     to a few sums, so a user with very many calls costs no memory.
     """
-    calls = stream.where("user_id IS NOT NULL AND timestamp IS NOT NULL").select(
-        "user_id", S.micros("timestamp").alias("at"), F.col("cost_usd").cast("double").alias("cost"),
+    # One column, as Python turns every cell into an object of its own.
+    call = F.struct(
+        S.micros("timestamp").alias("at"), F.col("cost_usd").cast("double").alias("cost"),
         F.col("total_tokens").cast("long").alias("tokens"), F.col("latency_ms").cast("double").alias("latency"),
-        F.col("interaction_id").alias("id"), "model", EVENT_TIME)
-    changes = calls.groupBy("user_id").transformWithStateInPandas(OpenSessions(gap_seconds), CHANGE, "Update", "EventTime")
+        F.col("interaction_id").alias("id"), "model")
+    calls = stream.where("user_id IS NOT NULL AND timestamp IS NOT NULL").select("user_id", call.alias("call"), EVENT_TIME)
+    changes = calls.groupBy("user_id").transformWithState(OpenSessions(gap_seconds), CHANGE, "Update", "EventTime")
     return changes.select(
         "user_id", F.col("cost").alias("total_cost"), F.col("tokens").alias("total_tokens"), F.col("calls").alias("interaction_count"),
         (F.col("latency") / F.col("calls")).alias("avg_latency"), F.col("model").alias("last_model"),

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from meterlake.operators import features as O
@@ -13,7 +14,7 @@ from meterlake.sources.interactions import as_messages, stream_interactions
 from meterlake.sources.online import read_online, stored_entries
 from meterlake.streaming import jobs as J
 from meterlake.streaming import windows as T
-from meterlake.streaming.sessions import open_sessions, publish_sessions
+from meterlake.streaming.sessions import OpenSessions, open_sessions, publish_sessions
 
 START = datetime(2024, 1, 1)
 RAW = ["interaction_id", "user_id", "session_id", "model", "provider", "prompt", "response", "input_tokens",
@@ -209,6 +210,54 @@ def test_timers_end_the_state_of_expired_sessions(spark, make_calls, tmp_path):
         ("a", False, 1), ("a", True, 1), ("b", False, 1), ("b", False, 2)]
 
 
+class StateCalls:
+    """A processor's handle that counts its calls, each a way to the task's JVM and back."""
+
+    def __init__(self):
+        self.rows, self.timers, self.n = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.n += 1
+        return bool(self.rows)
+
+    def get(self):
+        self.n += 1
+        return iter(list(self.rows))
+
+    def put(self, rows):
+        self.n, self.rows = self.n + 1, rows
+
+    def listTimers(self):
+        self.n += 1
+        return iter(list(self.timers))
+
+    def registerTimer(self, at):
+        self.n, self.timers = self.n + 1, [*self.timers, at]
+
+    def deleteTimer(self, at):
+        self.n, self.timers = self.n + 1, [t for t in self.timers if t != at]
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_user_of_a_batch_costs_few_calls_to_the_state():
+    handle, sessions = StateCalls(), OpenSessions(300)
+    sessions.init(handle)
+
+    def give(*seconds):
+        handle.n = 0
+        rows = iter([Row(call={"at": s * 10**6, "cost": 1.0, "tokens": 2, "latency": None, "id": f"i{s}", "model": "m"}) for s in seconds])
+        return [(r.calls, r.tokens, r.cost) for r in sessions.handleInputRows(("u",), rows, handle)], handle.n
+
+    assert give(1000, 1100) == ([(2, 4, 2.0)], 3) and handle.timers == [1_400_000]
+    assert give(1050) == ([(3, 6, 3.0)], 2) and handle.timers == [1_400_000]
+    assert give(1500) == ([(1, 2, 1.0)], 4) and handle.timers == [1_800_000]
+
+
 def test_sketch_panes_keep_their_rank_error(spark, make_calls):
     base = make_calls([{"interaction_id": "i", "timestamp": START}])
     many = spark.range(300_000).select(
