@@ -30,6 +30,9 @@ CENTRES_MOST = 1024
 ROUNDS = 8
 PART_ROWS = 8192  # rows of a cell that a task holds at once
 PROBE_ROWS = 1024
+# What a task holds of a matrix at once: rows against centres, probes against centres or a part's rows; and visits it gives at once.
+AT_ONCE = 256
+VISITS_AT_ONCE = 1 << 13
 # What floating-point sums may lose against the bound.
 SLACK = 1e-9
 
@@ -70,11 +73,17 @@ def fit_centres(sample: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 0)
 
 def nearest_centre(vectors: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cell of each vector, and its distance from the centre."""
-    squares = (centres**2).sum(axis=1) - 2 * vectors @ centres.T
-    cell = squares.argmin(axis=1)
+    own = (centres**2).sum(axis=1)
+    parts = np.split(vectors, range(AT_ONCE, len(vectors), AT_ONCE))
+    cell = np.concatenate([(own - 2 * part @ centres.T).argmin(axis=1) for part in parts])
     return cell, np.sqrt(((vectors - centres[cell]) ** 2).sum(axis=1))
 
 
+def in_parts(pdf: pd.DataFrame, rows: int) -> Iterator[pd.DataFrame]:
+    """pdf in parts of at most so many rows."""
+    return (pdf.iloc[start : start + rows] for start in range(0, len(pdf), rows))
+
+
 def build_index(
     corpus: DataFrame, path: str, id_column: str = "vec_id", embedding: str = "embedding", cells: int | None = None
 ) -> Index | None:
@@ -111,30 +120,39 @@ def build_index(
     return Index(rows.select("cell", "part", "id", "vector"), centres.value, radius, size, parts, int(size.sum()))
 
 
+def chosen_cells(
+    batches: Iterator[pd.DataFrame], shared: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, first: bool
+) -> Iterator[pd.DataFrame]:
+    """A row (asked, wanted, cell) per visit, in frames of bounded size, of batches of probes."""
+    centres, radius, sizes = shared
+    for pdf in (part for batch in batches for part in in_parts(batch, AT_ONCE)):
+        q = np.stack(pdf["wanted"].to_numpy())
+        bound = q @ centres.T + np.sqrt((q**2).sum(axis=1))[:, None] * radius
+        bound = np.where(sizes > 0, bound, -np.inf)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        held = np.cumsum(sizes[order], axis=1)
+        # Cells in front of the one that makes the rows k, and that one.
+        early = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(early, order, held - sizes[order] < k, axis=1)
+        early &= sizes > 0
+        if first:
+            chosen = early
+        else:
+            chosen = ~early & (bound >= pdf["floor"].to_numpy()[:, None] - SLACK * (1 + np.abs(bound))) & (sizes > 0)
+        probe, cell = np.nonzero(chosen)
+        visits = pd.DataFrame({"probe": probe, "cell": cell.astype(np.int32)})
+        # A visit carries its probe's vector, and a probe may look into every cell.
+        for some in in_parts(visits, VISITS_AT_ONCE):
+            rows = pdf.iloc[some["probe"].to_numpy()]
+            yield pd.DataFrame({"asked": rows["asked"].to_numpy(), "wanted": rows["wanted"].to_numpy(), "cell": some["cell"].to_numpy()})
+
+
 def _visits(probes: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
     """asked, wanted, cell: the cells that each probe looks into, in the first round or the second (with its column floor)."""
     shared = probes.sparkSession.sparkContext.broadcast((index.centres, index.radius, index.sizes))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centres, radius, sizes = shared.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            q = np.stack(pdf["wanted"].to_numpy())
-            bound = q @ centres.T + np.sqrt((q**2).sum(axis=1))[:, None] * radius
-            bound = np.where(sizes > 0, bound, -np.inf)
-            order = np.argsort(-bound, axis=1, kind="stable")
-            held = np.cumsum(sizes[order], axis=1)
-            # Cells in front of the one that makes the rows k, and that one.
-            early = np.zeros(bound.shape, dtype=bool)
-            np.put_along_axis(early, order, held - sizes[order] < k, axis=1)
-            early &= sizes > 0
-            if first:
-                chosen = early
-            else:
-                chosen = ~early & (bound >= pdf["floor"].to_numpy()[:, None] - SLACK * (1 + np.abs(bound))) & (sizes > 0)
-            probe, cell = np.nonzero(chosen)
-            yield pdf.iloc[probe].assign(cell=cell.astype(np.int32))[[c for c in pdf.columns if c != "floor"] + ["cell"]]
+        return chosen_cells(batches, shared.value, k, first)
 
     kind = probes.schema["asked"].dataType.simpleString()
     return probes.mapInPandas(choose, f"asked {kind}, wanted array<double>, cell int")
@@ -152,14 +170,16 @@ def _scored(index: Index, visits: DataFrame, k: int, digits: int, blocks: int) -
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"asked": [], "id": [], "score": []})
-        ids, found = left["id"].to_numpy(), []
-        scores = np.round(np.stack(right["wanted"].to_numpy()) @ np.stack(left["vector"].to_numpy()).T, digits)
-        for name, line in zip(right["asked"], scores, strict=True):
-            # All rows that tie with the kth score are ranked by id.
-            near = np.flatnonzero(line >= np.partition(line, -k)[-k]) if len(line) > k else np.arange(len(line))
-            best = near[np.lexsort((ids[near], -line[near]))[:k]]
-            found.append(pd.DataFrame({"asked": name, "id": ids[best], "score": line[best]}))
-        return pd.concat(found)
+        ids, kind, found = left["id"].to_numpy(), right["asked"].to_numpy().dtype, []
+        vectors = np.stack(left["vector"].to_numpy()).T
+        for some in in_parts(right, AT_ONCE):
+            scores = np.round(np.stack(some["wanted"].to_numpy()) @ vectors, digits)
+            for name, line in zip(some["asked"], scores, strict=True):
+                # All rows that tie with the kth score are ranked by id.
+                near = np.flatnonzero(line >= np.partition(line, -k)[-k]) if len(line) > k else np.arange(len(line))
+                best = near[np.lexsort((ids[near], -line[near]))[:k]]
+                found.append((np.full(len(best), name, kind), ids[best], line[best]))
+        return pd.DataFrame(dict(zip(("asked", "id", "score"), map(np.concatenate, zip(*found)), strict=True)))
 
     kinds = [df.schema[c].dataType.simpleString() for df, c in ((visits, "asked"), (index.rows, "id"))]
     met = rows.groupBy("of_cell", "of_part", "of_block").cogroup(asked.groupBy("cell", "part", "block")).applyInPandas(score, f"asked {kinds[0]}, id {kinds[1]}, score double")

@@ -1,6 +1,7 @@
 """The vector index against a full scan."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +44,19 @@ def clustered(rng, n, d=8, clusters=12):
     return [(i, centres[rng.integers(clusters)] + rng.normal(size=d) * 0.2) for i in range(n)]
 
 
+def test_visits_are_given_in_frames_of_bounded_size():
+    rng = np.random.default_rng(4)
+    # Radii so large that every probe looks into every cell.
+    shared = rng.normal(size=(900, 8)), np.full(900, 100.0), np.ones(900, dtype=np.int64)
+    probes = pd.DataFrame({"asked": np.arange(700), "wanted": list(rng.normal(size=(700, 8))), "floor": 0.0})
+    frames = list(X.chosen_cells(iter([probes]), shared, 2, False))
+    assert max(map(len, frames)) <= X.VISITS_AT_ONCE
+    early = pd.concat(X.chosen_cells(iter([probes]), shared, 2, True))
+    visits = pd.concat([*frames, early])
+    assert len(early) == 2 * 700 and len(visits) == 900 * 700 == len(visits[["asked", "cell"]].drop_duplicates())
+    assert all(np.array_equal(row.wanted, probes["wanted"][row.asked]) for row in early.itertuples())
+
+
 @pytest.mark.parametrize("k", [1, 5, 700])
 def test_equals_a_full_scan_and_skips_cells(spark, tmp_path, monkeypatch, k):
     monkeypatch.setattr(X, "PART_ROWS", 20)
