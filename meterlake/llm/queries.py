@@ -19,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
 SEGMENTATIONS = 3
+PASSAGE = 200  # bytes of 50 words of few letters
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,13 +45,16 @@ def op3_nbest_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cut = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    cut = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"), passage=PASSAGE)
     return cut.select(
         "row.doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # Beyond the contract: what strings of PASSAGE bytes that also start elsewhere cover, which is not cut.
+        F.size("passages").cast("long").alias("n_passages"),
+        F.expr("aggregate(passages, 0L, (n, s) -> n + s.end - s.start)").alias("passage_bytes"),
     )
 
 

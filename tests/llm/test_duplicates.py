@@ -8,7 +8,7 @@ from helpers import documents, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterlake.llm import minhash, repeats, simhash
+from meterlake.llm import minhash, queries, repeats, simhash
 
 
 def brute_repeats(texts, threshold):
@@ -90,6 +90,44 @@ def test_thresholds_that_do_not_fit_are_refused(spark):
             repeats.cut_repeats(documents(spark, ["a"]), threshold=threshold)
 
 
+@pytest.mark.parametrize(("seed", "passage", "threshold"), [(0, 60, 100), (6, 60, 400), (7, 200, 400)])
+def test_passages_beside_the_cut_against_brute_force(spark, seed, passage, threshold):
+    texts = passages(seed)
+    rows = repeats.cut_repeats(documents(spark, texts), threshold=threshold, passage=passage).collect()
+    rows = sorted(rows, key=lambda r: r.row.doc_id)
+    for row, cut, short in zip(rows, brute_repeats(texts, threshold), brute_repeats(texts, passage), strict=True):
+        assert (row.n_bytes, [(s.start, s.end) for s in row.spans], bytes(row.kept)) == cut
+        assert [(s.start, s.end) for s in row.passages] == short[1]
+    with pytest.raises(ValueError):
+        repeats.cut_repeats(documents(spark, ["a"]), threshold=threshold, passage=threshold)
+
+
+def test_op4_reports_passages_of_over_fifty_words_that_it_does_not_cut(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    passage = words(rng, 60)
+    texts = [f"{words(rng, 90, 9000)} {passage} {words(rng, 90, 9000)}" for _ in range(3)] + [words(rng, 250, 9000) for _ in range(3)]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op4_suffix_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert 200 < len(passage) < 390
+    assert [(r.n_removed, r.n_spans, r.n_passages) for r in rows] == [(0, 0, 1)] * 3 + [(0, 0, 0)] * 3
+    assert all(len(passage) <= r.passage_bytes < len(passage) + 12 for r in rows[:3]) and rows[3].passage_bytes == 0
+
+
+def test_runs_alone_with_their_gram_stay_at_home(spark):
+    rng = np.random.default_rng(12)
+    texts = [words(rng, 400, 9000) for _ in range(200)]
+    docs = documents(spark, [*texts, texts[0]]).withColumns({"rid": F.col("doc_id"), "rhash": F.xxhash64("text")})
+    docs = docs.select("rid", "rhash", F.col("text").cast("binary").alias("text"), F.xxhash64("rid", "rhash").alias("key"))
+    often = repeats.repeated_grams(docs, 200)
+    whole = len(repeats.runs_of(np.frombuffer(texts[0].encode(), dtype=np.uint8), 200)[0])
+    assert often.count() <= whole
+    found = repeats.runs(docs, 200, repeats.marks_of(often)).groupBy("rid").count().collect()
+    found = {r.rid: r["count"] for r in found}
+    assert found[0] == found[200] == whole
+    # Wrong hits of the bit map, of at least one bit in eight.
+    assert sum(found.values()) < 0.4 * 201 * whole
+
+
 def test_cut_repeats_as_text_keeps_whole_characters(spark):
     docs = documents(spark, ["aé" + "x" * 90, "bé" + "x" * 90])
     # é ends with the same byte in both, and the byte before it is the same too.
