@@ -24,21 +24,25 @@ pass 3  digit: what is left of the window, the few bytes beside the common
         ones. A row per window.
 
 Grams and common bytes are compared by 64-bit hashes of their own, runs by two
-more, and the bytes of pass 3 as they are.
-
-A text with two thresholds goes through the passes twice, first with the smaller
-one: what is repeated over the larger is so over the smaller, so the second time
-only blocks of texts in which something was found are looked at. Texts in which
-nothing was found are never exchanged.
+more, and the bytes of pass 3 by one beside one of all digits before.
+
+A text with two thresholds goes through the passes twice, first with the larger
+one: what is repeated over the larger is so over the smaller. Runs that are equal
+as a whole need to be looked at only once more, in the text with the smallest key
+that has them; in all others their bytes are left out the second time. The bytes
+that stay for a run that was left out lie in a text with a smaller key, or are
+left out there for a text with a key smaller still, so one always stays. Texts in
+which nothing was found are never exchanged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +52,10 @@ from meterlake.llm.common import row_ref, stored
 
 THRESHOLD = 400
 GRAM = 80  # bytes of a gram, from a fifth to two fifths of the threshold
-BLOCK_BITS = 8
 PIECE = 16
-STARTS = 1 << 18  # window starts that are hashed at once
+STARTS = 1 << 15  # window starts of a long text that are hashed at once
+TOGETHER = 1 << 16  # bytes of several texts that are hashed at once; their places have 16 bits
+ROWS = 1 << 18  # rows of a batch
 PLACE_BITS = 20
 MARK_BITS_LEAST, MARK_BITS_MOST = 10, 28  # a bit map has 128 bytes to 32 MB, and at least eight bits per key below that
 LEAST, MOST = 40, 1278  # thresholds: common bytes must be left beside a piece, distances from the gram take 10 bits
@@ -136,26 +141,42 @@ def marks_of(keys: DataFrame) -> Broadcast:
 # --- pass 1 -----------------------------------------------------------------
 
 
-def grams_of(data: np.ndarray, first: Hashes, threshold: int) -> tuple[np.ndarray, ...]:
-    """The grams of the runs of one stretch of bytes: gram hash, gram position, first and last window start."""
+def grams_of(data: np.ndarray, first: Hashes, threshold: int, begins: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The grams of the runs of one stretch of bytes: gram hash, gram position, first and last window start.
+
+    begins has the first bytes of the texts in it, if there are several; no window lies in two texts.
+    """
     gram = max(threshold // 5, min(GRAM, 2 * threshold // 5))
-    grams = _mixed(first.rolling(gram))
-    ranked = (grams >> np.uint64(PLACE_BITS)) << np.uint64(PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
+    grams = first.rolling(gram)
+    # 16 bits of hash and 16 of place: the first of equals is as much the window's own choice as the smallest.
+    ranked = (grams >> np.uint64(32)).astype(np.uint32)
+    ranked &= np.uint32(0xFFFF0000)
+    ranked |= np.arange(len(grams), dtype=np.uint32)
     best = _sliding_min(ranked, threshold - gram + 1)[: len(data) - threshold + 1]
-    place = (best & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    place = (best & np.uint32(0xFFFF)).astype(np.int64)
+    if begins is not None and len(begins) > 1:
+        size = np.diff(begins, append=len(data))
+        inside = np.maximum(size - threshold + 1, 0)
+        within = np.repeat(np.tile([True, False], len(size)), np.stack([inside, size - inside], axis=1).ravel())
+        place[~within[: len(place)]] = -1
     low = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     high = np.append(low[1:], len(place)) - 1
     place = place[low]
-    return grams[place], place, low, high
+    if begins is not None:
+        held = place >= 0
+        place, low, high = place[held], low[held], high[held]
+    return _mixed(grams[place]), place, low, high
 
 
-def runs_of(data: np.ndarray, threshold: int, marks: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def runs_of(
+    data: np.ndarray, threshold: int, marks: np.ndarray | None = None, begins: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """The runs of windows of one stretch of bytes (at least the threshold long) whose gram is marked.
 
     gram hash, two hashes of the run's bytes, gram position, first and last window start.
     """
     first = Hashes(data, 1)
-    grams, place, low, high = grams_of(data, first, threshold)
+    grams, place, low, high = grams_of(data, first, threshold, begins)
     if marks is not None:
         held = _marked(marks, grams)
         grams, place, low, high = grams[held], place[held], low[held], high[held]
@@ -171,55 +192,84 @@ def _stretches(size: int, threshold: int) -> Iterator[tuple[int, int]]:
         yield start, min(start + STARTS + threshold - 1, size)
 
 
-def _stretches_among(batch: pa.RecordBatch, threshold: int, blocks: Broadcast | None) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Place in the batch, first byte and bytes of the stretches of texts, without the blocks that are not marked."""
-    for i, key in enumerate(_keys(batch)):
-        data = np.frombuffer(batch.column("text")[i].as_py(), dtype=np.uint8)
-        ranges = [(0, len(data))]
-        if blocks is not None:
-            held = _marked(blocks.value, key ^ np.arange((len(data) >> BLOCK_BITS) + 1, dtype=np.uint64))
-            edges = np.flatnonzero(np.diff(held, prepend=False, append=False)) << BLOCK_BITS
-            ranges = zip(edges[::2].tolist(), np.minimum(edges[1::2], len(data)).tolist(), strict=True)
-        for low, high in ranges:
-            for start, end in _stretches(high - low, threshold):
-                yield i, low + start, data[low + start : low + end]
+def _stretches_among(
+    batch: pa.RecordBatch, threshold: int, without: Broadcast | None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts of a batch whose key is not marked, in stretches.
+
+    Bytes, first bytes of the texts in them, these texts' places in the batch, and where in their text they start.
+    """
+    places = np.arange(batch.num_rows)
+    if without is not None:
+        places = np.flatnonzero(~_marked(without.value, _keys(batch)))
+        batch = batch.take(pa.array(places))
+    if not batch.num_rows:
+        return
+    texts = batch.column("text").cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+    starts = batch.column("start").to_numpy()
+    i = 0
+    while i < len(texts):
+        j = max(int(np.searchsorted(ends, ends[i] + TOGETHER, "right")) - 1, i + 1)
+        if j > i + 1 and ends[j] - ends[i] >= threshold:
+            yield data[ends[i] : ends[j]], ends[i:j] - ends[i], places[i:j], starts[i:j]
+        elif j == i + 1:
+            for start, end in _stretches(int(ends[j] - ends[i]), threshold):
+                yield data[ends[i] + start : ends[i] + end], np.zeros(1, dtype=np.int64), places[i:j], starts[i:j] + start
+        i = j
+
+
+Parts = list[tuple[DataFrame, Broadcast | None]]  # rows with rid, rhash, text, start and key, and the keys that are left out
+
 
+def _scanned(parts: Parts, run: Callable[[Iterator[pa.RecordBatch], Broadcast | None], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    def over(docs: DataFrame, without: Broadcast | None) -> DataFrame:
+        return docs.select("rid", "rhash", "text", "key", "start").mapInArrow(lambda batches: run(batches, without), schema)
 
-def repeated_grams(docs: DataFrame, threshold: int, blocks: Broadcast | None = None) -> DataFrame:
+    return reduce(DataFrame.unionByName, [over(*part) for part in parts])
+
+
+def _whole(docs: DataFrame) -> Parts:
+    return [(docs.withColumn("start", F.lit(0).cast("long")), None)]
+
+
+def repeated_grams(docs: DataFrame | Parts, threshold: int) -> DataFrame:
     """The grams that several runs of docs (see runs) have."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], without: Broadcast | None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, held = [], 0
-            for _, _, data in _stretches_among(batch, threshold, blocks):
-                parts.append(grams_of(data, Hashes(data, 1), threshold)[0])
+            for data, begins, _, _ in _stretches_among(batch, threshold, without):
+                parts.append(grams_of(data, Hashes(data, 1), threshold, begins)[0])
                 held += len(parts[-1])
-                if held > STARTS:
+                if held > ROWS:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["gram"])
                     parts, held = [], 0
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["gram"])
 
-    found = docs.select("text", "key").mapInArrow(run, "gram long")
+    found = _scanned(docs if isinstance(docs, list) else _whole(docs), run, "gram long")
     return found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
 
 
-def runs(docs: DataFrame, threshold: int, often: Broadcast, blocks: Broadcast | None = None) -> DataFrame:
-    """Rows of pass 1 of docs (rid, rhash, text, key): gram, c1, c2, rid, rhash, place.
+def runs(docs: DataFrame | Parts, threshold: int, often: Broadcast) -> DataFrame:
+    """Rows of pass 1 of docs (rid, rhash, text, key), or of parts of texts: gram, c1, c2, rid, rhash, place.
 
     place packs the gram's position, its distance from the first window and that from the last.
-    often marks the grams that are looked at, blocks (if any) the parts of texts, see blocks_of.
+    often marks the grams that are looked at.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], without: Broadcast | None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, held = [], 0
-            for i, start, data in _stretches_among(batch, threshold, blocks):
-                gram, c1, c2, at, low, high = runs_of(data, threshold, often.value)
-                place = (at + start) << PLACE_BITS | (at - low) << 10 | (at - high)
-                parts.append((gram.view(np.int64), c1.view(np.int64), c2.view(np.int64), np.full(len(at), i), place))
+            for data, begins, texts, starts in _stretches_among(batch, threshold, without):
+                gram, c1, c2, at, low, high = runs_of(data, threshold, often.value, begins)
+                of = np.searchsorted(begins, at, "right") - 1
+                place = (at - begins[of] + starts[of]) << PLACE_BITS | (at - low) << 10 | (at - high)
+                parts.append((gram.view(np.int64), c1.view(np.int64), c2.view(np.int64), texts[of], place))
                 held += len(at)
-                if held > STARTS:
+                if held > ROWS:
                     yield rows(batch, parts)
                     parts, held = [], 0
             if parts:
@@ -227,10 +277,11 @@ def runs(docs: DataFrame, threshold: int, often: Broadcast, blocks: Broadcast |
 
     def rows(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
         gram, c1, c2, at, place = (pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))
-        arrays = [gram, c1, c2, batch.column(0).take(at), batch.column(1).take(at), place]
+        arrays = [gram, c1, c2, batch.column("rid").take(at), batch.column("rhash").take(at), place]
         return pa.RecordBatch.from_arrays(arrays, ["gram", "c1", "c2", "rid", "rhash", "place"])
 
-    return docs.select("rid", "rhash", "text", "key").mapInArrow(run, "gram long, c1 long, c2 long, rid long, rhash long, place long")
+    parts = docs if isinstance(docs, list) else _whole(docs)
+    return _scanned(parts, run, "gram long, c1 long, c2 long, rid long, rhash long, place long")
 
 
 # --- pass 2 -----------------------------------------------------------------
@@ -275,22 +326,40 @@ def pieces(texts: DataFrame, kinds: DataFrame, threshold: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rid, rhash, size, packed, found in zip(*batch.columns, strict=True):
+            parts, n, held = [], 0, 0
+            for i, (size, packed, found) in enumerate(zip(*(batch.column(c) for c in ("size", "packed", "runs")), strict=True)):
                 data = np.frombuffer(pa.decompress(packed.as_py(), size.as_py(), "zstd", asbytes=True), dtype=np.uint8)
                 flat = found.values
                 gram, place = flat.field(0).to_numpy(), flat.field(1).to_numpy()
                 order = np.argsort(place, kind="stable")
                 for part in np.array_split(order, max(1, len(order) // 4096)):
-                    gram_, number, common, beside, low, high, base = pieces_of_runs(data, gram[part], place[part], threshold)
-                    n, width = beside.shape
-                    ends = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-                    arrays = [
-                        pa.array(gram_), pa.array(number.astype(np.int32)), pa.array(common),
-                        pa.Array.from_buffers(pa.binary(), n, [None, ends.buffers()[1], pa.py_buffer(beside.tobytes())]),
-                        pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(base),
-                        pa.repeat(rid, n), pa.repeat(rhash, n),
-                    ]
-                    yield pa.RecordBatch.from_arrays(arrays, names)
+                    # No window starts 1024 bytes before its gram.
+                    start, end = max(int(place[part[0]] >> PLACE_BITS) - 1023, 0), int(place[part[-1]] >> PLACE_BITS) + threshold
+                    parts.append((i, start, data[start:end], gram[part], place[part]))
+                    n, held = n + len(part), held + end - start
+                    if n >= 4096 or held >= ROWS:
+                        yield rows(batch, parts)
+                        parts, n, held = [], 0, 0
+            if parts:
+                yield rows(batch, parts)
+
+    def rows(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
+        texts, starts, data, gram, place = zip(*parts, strict=True)
+        begins = np.cumsum([0, *map(len, data)])[:-1]
+        shift = begins - np.array(starts)
+        place = np.concatenate([p + (s << PLACE_BITS) for p, s in zip(place, shift, strict=True)])
+        gram, number, common, beside, low, high, base = pieces_of_runs(np.concatenate(data), np.concatenate(gram), place, threshold)
+        n, width = beside.shape
+        ends = pa.array(np.arange(n + 1, dtype=np.int32) * width)
+        part = np.searchsorted(begins, base, "right") - 1
+        at = pa.array(np.array(texts)[part])
+        arrays = [
+            pa.array(gram), pa.array(number.astype(np.int32)), pa.array(common),
+            pa.Array.from_buffers(pa.binary(), n, [None, ends.buffers()[1], pa.py_buffer(beside.tobytes())]),
+            pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(base - shift[part]),
+            batch.column("rid").take(at), batch.column("rhash").take(at),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     names = ["gram", "number", "common", "beside", "low", "high", "base", "rid", "rhash"]
     schema = "gram long, number int, common long, beside binary, low int, high int, base long, rid long, rhash long"
@@ -321,56 +390,92 @@ def _packed(docs: DataFrame, among: Broadcast) -> DataFrame:
     return docs.mapInArrow(run, f"{schema}, size long, packed binary")
 
 
-def repeated_windows(docs: DataFrame, threshold: int, blocks: Broadcast | None = None) -> DataFrame:
-    """(rid, rhash, low, high): ranges of window starts that are repeated.
+def repeated_windows(docs: DataFrame, threshold: int, parts: Parts | None = None) -> DataFrame:
+    """(rid, rhash, low, high, home): ranges of window starts that are repeated.
 
-    docs has rid, rhash, text and key, a hash of rid and rhash; blocks marks the parts of texts that are looked at.
+    docs has rid, rhash, text and key, a hash of rid and rhash. home is the
+    smallest key of a text with the same run, null for less than a run. With
+    parts, only these of the texts are looked at.
     """
     long = docs.where(F.octet_length("text") >= threshold)
-    often = marks_of(stored(repeated_grams(long, threshold, blocks), "grams"))
-    first = stored(runs(long, threshold, often, blocks), "runs")
-    by_gram = first.groupBy("gram").agg(
-        F.count("*").alias("n"), F.min("c1").alias("a"), F.max("c1").alias("b"), F.min("c2").alias("c"), F.max("c2").alias("d")
-    )
-    by_gram = by_gram.where("n > 1").select("gram", F.expr("a <> b OR c <> d").alias("several"))
-    met = stored(skew_join(first, by_gram, ["gram"], "inner"), "met")
-    at, low, high = (F.shiftright("place", PLACE_BITS), F.expr("shiftright(place, 10) & 1023L"), F.expr("place & 1023L"))
-    as_range = ["rid", "rhash", (at - low).alias("low"), (at - high).alias("high")]
-    equal = met.where("NOT several").select(*as_range)
-
-    mixed = met.where("several")
-    kinds = mixed.groupBy("gram", "c1", "c2").agg(
-        F.count("*").alias("n"), F.first("rid").alias("rid"), F.first("rhash").alias("rhash"), F.first("place").alias("place")
-    )
+    parts = parts or _whole(long)
+    often = marks_of(stored(repeated_grams(parts, threshold), "grams"))
+    first = stored(runs(parts, threshold, often), "runs")
+    kind = ["gram", "c1", "c2"]
+    # One text for the kinds of many: that with the smallest key.
+    one = [F.min_by(c, "key").alias(c) for c in ("rid", "rhash", "place")]
+    kinds = first.withColumn("key", _key()).groupBy(*kind).agg(F.count("*").alias("n"), F.min("key").alias("home"), *one)
     kinds = stored(kinds, "kinds")
-    again = kinds.where("n > 1").select("gram", "c1", "c2")
-    equal = equal.unionByName(skew_join(mixed, again, ["gram", "c1", "c2"], "inner").select(*as_range))
+    again = kinds.where("n > 1").select(*kind, "home")
+    at, low, high = (F.shiftright("place", PLACE_BITS), F.expr("shiftright(place, 10) & 1023L"), F.expr("place & 1023L"))
+    equal = skew_join(first, again.hint("shuffle_hash"), kind, "inner").select("rid", "rhash", (at - low).alias("low"), (at - high).alias("high"), "home")
 
-    texts = _packed(long.select("rid", "rhash", "text", "key"), marks_of(kinds.select(_key()).distinct()))
-    second = stored(pieces(texts, kinds, threshold), "pieces")
+    # A run alone with its kind can share windows with other kinds; where there is none, all are done.
+    several = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("n").alias("n")).where("kinds > 1 AND n = 1").select("gram")
+    mixed = stored(skew_join(kinds, several, ["gram"], "inner").select("gram", "rid", "rhash", "place"), "mixed")
+    texts = _packed(long.select("rid", "rhash", "text", "key"), marks_of(mixed.select(_key()).distinct()))
+    second = stored(pieces(texts, mixed, threshold), "pieces")
     digit = ["gram", "number", "common"]
     look = F.xxhash64("beside", "low", "high")
     by_digit = second.groupBy(*digit).agg(F.count("*").alias("n"), F.min(look).alias("a"), F.max(look).alias("b"))
     by_digit = by_digit.where("n > 1").select(*digit, F.expr("a <> b").alias("several"))
-    met = skew_join(second, by_digit, digit, "inner")
-    starts = ["rid", "rhash", (F.col("base") - F.col("high")).alias("low"), (F.col("base") - F.col("low")).alias("high")]
-    equal = equal.unionByName(met.where("NOT several").select(*starts))
-
-    windows = met.where("several").withColumn("i", F.explode(F.sequence("low", "high")))
-    rest = F.expr(f"substring(beside, {PIECE} - i, {PIECE - 1})")
-    windows = windows.select(*digit, "i", rest.alias("rest"), "rid", "rhash", (F.col("base") - F.col("i")).alias("start"))
-    windows = stored(windows, "windows")
-    last = [*digit, "i", "rest"]
+    # Pieces that are equal wherever their digit is are done, and stay as they are beside the windows of the others.
+    here = f"xxhash64(gram, number, common, i) AS place, xxhash64(substring(beside, {PIECE} - i, {PIECE - 1})) AS rest"
+    rest = f"transform(sequence(low, high), i -> struct({here}, base - i AS low, base - i AS high))"
+    done = "array(struct(CAST(null AS long) AS place, CAST(null AS long) AS rest, base - high AS low, base - low AS high))"
+    met = skew_join(second, by_digit.hint("shuffle_hash"), digit, "inner")
+    windows = stored(met.select("rid", "rhash", F.expr(f"inline(if(several, {rest}, {done}))")), "windows")
+    as_range = ["rid", "rhash", "low", "high", F.lit(None).cast("long").alias("home")]
+    equal = equal.unionByName(windows.where("rest IS NULL").select(*as_range))
+    windows = windows.where("rest IS NOT NULL").select("place", "rest", "rid", "rhash", "low")
+    last = ["place", "rest"]
     twice = windows.groupBy(*last).agg(F.count("*").alias("n")).where("n > 1").select(*last)
-    found = skew_join(windows, twice, last, "inner")
-    return equal.unionByName(found.select("rid", "rhash", F.col("start").alias("low"), F.col("start").alias("high")))
+    found = skew_join(windows, twice.hint("shuffle_hash"), last, "inner").withColumn("high", F.col("low"))
+    return equal.unionByName(found.select(*as_range))
+
+
+def _lists(found: DataFrame, name: str) -> DataFrame:
+    """One row per text: its ranges, each as its first start, its length less one (11 bits), and whether another text is its home."""
+    away = F.coalesce((_key() > F.col("home")).cast("long"), F.lit(0))
+    packed = F.shiftleft("low", 12) + F.shiftleft(F.col("high") - F.col("low"), 1) + away
+    return found.groupBy("rid", "rhash").agg(F.collect_set(packed).alias(name))
+
 
+def _ranges(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    low = packed >> 12
+    return low, low + (packed >> 1 & 2047)
 
-def blocks_of(found: DataFrame, name: str, threshold: int) -> DataFrame:
-    """Keys of the blocks of 2^BLOCK_BITS bytes that windows of the lists of ranges touch."""
-    of = f"s -> sequence(shiftright(s.low, {BLOCK_BITS}), shiftright(s.high + {threshold - 1}L, {BLOCK_BITS}))"
-    touched = found.select(_key(), F.explode(F.expr(f"array_distinct(flatten(transform({name}, {of})))")).alias("block"))
-    return touched.select(F.col("key").bitwiseXOR(F.col("block")))
+
+def _parts(docs: DataFrame, lists: DataFrame, name: str, larger: int, threshold: int) -> Parts:
+    """What is left of docs without the windows of `threshold` bytes in runs of `larger` bytes that have another home."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, starts, texts = [], [], []
+            for i, (packed, size) in enumerate(zip(batch.column("packed"), batch.column("size").to_pylist(), strict=True)):
+                data = pa.decompress(packed.as_py(), size, "zstd", asbytes=True)
+                edges = [0]
+                if batch.column(name)[i].is_valid:
+                    away = batch.column(name)[i].values.to_numpy()
+                    low, high = _ranges(away[away & 1 == 1])
+                    if len(low):
+                        edges += [x for span in _union(low, high + larger - threshold + 1) for x in span]
+                edges.append(size - threshold + 1)
+                for a, b in zip(edges[::2], edges[1::2], strict=True):
+                    if a < b:
+                        of.append(i)
+                        starts.append(a)
+                        texts.append(data[a : b + threshold - 1])
+            at = pa.array(of, pa.int64())
+            arrays = [batch.column("rid").take(at), batch.column("rhash").take(at), pa.array(starts, pa.int64()), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["rid", "rhash", "start", "text"])
+
+    lists = lists.where(F.exists(name, lambda x: x.bitwiseAND(F.lit(1)) == 1))
+    among = marks_of(lists.select(_key()))
+    long = docs.where(F.octet_length("text") >= threshold).select("rid", "rhash", "text", "key")
+    joined = skew_join(_packed(long, among), lists, ["rid", "rhash"], "left")
+    left = joined.select("rid", "rhash", "size", "packed", name).mapInArrow(run, "rid long, rhash long, start long, text binary")
+    return [(_whole(long)[0][0], among), (stored(left, "parts").withColumn("key", _key()), None)]
 
 
 def _key() -> Column:
@@ -407,32 +512,30 @@ def cut_repeats(
     rows = docs.select(row.alias("row"), text.cast("binary").alias("text"), ref.alias("ref"))
     rows = rows.select("row", "ref.id", "ref.hash", "text").withColumnsRenamed({"id": "rid", "hash": "rhash"})
     rows = rows.withColumn("key", _key())
-    sizes = {"passages": passage, "spans": threshold} if passage else {"spans": threshold}
-    lists, among, blocks = None, None, None
-    for name, size in sizes.items():
-        found = repeated_windows(rows, size, blocks).groupBy("rid", "rhash").agg(F.collect_set(F.struct("low", "high")).alias(name))
-        found = stored(found, name)
-        if lists is None:
-            lists, among = found, marks_of(found.select(_key()))
-            blocks = marks_of(blocks_of(found, name, size)) if len(sizes) > 1 else None
-        else:
-            lists = lists.join(found, ["rid", "rhash"], "left")
-
-    def cut(row: pa.Array, texts: Iterator[bytes], found: dict[str, pa.Array | None]) -> pa.RecordBatch:
+    lists = stored(_lists(repeated_windows(rows, threshold), "spans"), "spans")
+    if passage is not None:
+        shorter = repeated_windows(rows, passage, _parts(rows, lists, "spans", threshold, passage))
+        lists = stored(lists.join(_lists(shorter, "passages"), ["rid", "rhash"], "full"), "lists")
+    among = marks_of(lists.select(_key()))
+    sizes = {"spans": threshold} if passage is None else {"spans": threshold, "passages": passage}
+
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+
+    def cut(row: pa.Array, texts: Iterator[bytes], found: dict[str, pa.Array]) -> pa.RecordBatch:
         size, kept, spans = [], [], {name: [] for name in sizes}
         for i, data in enumerate(texts):
+            starts, ends = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             for name, least in sizes.items():
-                merged: list[tuple[int, int]] = []
-                if found[name] is not None and found[name][i].is_valid:
-                    starts, ends = (found[name][i].values.field(k).to_numpy() for k in (0, 1))
-                    merged = _union(starts, ends + least)
-                spans[name].append([{"start": a, "end": b} for a, b in merged])
+                if found[name][i].is_valid:
+                    low, high = _ranges(found[name][i].values.to_numpy())
+                    # What the larger threshold has found belongs to the smaller one too.
+                    starts, ends = np.append(starts, low), np.append(ends, high + least)
+                spans[name].append([{"start": a, "end": b} for a, b in _union(starts, ends)])
             edges = [0, *[x for s in spans["spans"][-1] for x in (s["start"], s["end"])], len(data)]
             parts = [data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
             size.append(len(data))
             kept.append("".join(p.decode("utf-8", "ignore") for p in parts) if as_text else b"".join(parts))
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        arrays = [row, pa.array(size, pa.int64()), *[pa.array(spans[n], kind) for n in reversed(sizes)]]
+        arrays = [row, pa.array(size, pa.int64()), *[pa.array(spans[n], pa.list_(span)) for n in sizes]]
         return pa.RecordBatch.from_arrays([*arrays, pa.array(kept, pa.string() if as_text else pa.binary())], names)
 
     def cut_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,10 +547,14 @@ def cut_repeats(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = batch.filter(pa.array(~_marked(among.value, _keys(batch))))
-            yield cut(rest.column("row"), (t.as_py() for t in rest.column("text")), dict.fromkeys(sizes))
-
-    names = ["row", "n_bytes", *reversed(sizes), "kept"]
-    ranges = ", ".join(f"{name} array<struct<start: bigint, end: bigint>>" for name in reversed(sizes))
+            texts, n = rest.column("text"), rest.num_rows
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, dtype=np.int32)), pa.array([], span))
+            kept = pa.array([t.as_py().decode("utf-8", "ignore") for t in texts], pa.string()) if as_text else texts
+            size = pc.binary_length(texts).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([rest.column("row"), size, *[none] * len(sizes), kept], names)
+
+    names = ["row", "n_bytes", *sizes, "kept"]
+    ranges = ", ".join(f"{name} array<struct<start: bigint, end: bigint>>" for name in sizes)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, {ranges}, kept {'string' if as_text else 'binary'}"
     joined = skew_join(_packed(rows, among), lists, ["rid", "rhash"], "left")
     done = joined.select("row", "size", "packed", *sizes).mapInArrow(cut_found, schema)
@@ -455,6 +562,8 @@ def cut_repeats(
 
 
 def _union(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    if not len(start):
+        return []
     order = np.argsort(start, kind="stable")
     start, end = start[order], np.maximum.accumulate(end[order])
     new = np.concatenate([[True], start[1:] > end[:-1]])

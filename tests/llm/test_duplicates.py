@@ -102,6 +102,42 @@ def test_passages_beside_the_cut_against_brute_force(spark, seed, passage, thres
         repeats.cut_repeats(documents(spark, ["a"]), threshold=threshold, passage=threshold)
 
 
+def test_passages_of_texts_that_share_long_parts_in_turn(spark):
+    rng = np.random.default_rng(13)
+    base = words(rng, 260, 9000).split()
+    texts = []
+    for _ in range(40):
+        a = int(rng.integers(0, 180))
+        own = base[a : a + int(rng.integers(12, 80))]
+        own[int(rng.integers(len(own)))] = f"own{len(texts)}"
+        texts.append(f"{words(rng, 3, 9000)} {' '.join(own)} {words(rng, 3, 9000)}")
+    rows = repeats.cut_repeats(documents(spark, texts), threshold=120, passage=60).orderBy("row.doc_id").collect()
+    for row, cut, short in zip(rows, brute_repeats(texts, 120), brute_repeats(texts, 60), strict=True):
+        assert (row.n_bytes, [(s.start, s.end) for s in row.spans], bytes(row.kept)) == cut
+        assert [(s.start, s.end) for s in row.passages] == short[1]
+    assert any(r.passages != r.spans for r in rows)
+
+
+def test_what_repeats_over_the_larger_threshold_is_looked_at_in_one_text_for_the_smaller(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    shared = words(rng, 500, 9000)
+    texts = [f"{words(rng, 20, 9000)} {shared} {words(rng, 20, 9000)}" for _ in range(30)]
+    seen = {}
+
+    def counted(docs, threshold, *more):
+        found = runs(docs, threshold, *more)
+        seen[threshold] = found.count()
+        return found
+
+    runs = repeats.runs
+    monkeypatch.setattr(repeats, "runs", counted)
+    rows = repeats.cut_repeats(documents(spark, texts), threshold=400, passage=200).collect()
+    whole = len(repeats.runs_of(np.frombuffer(shared.encode(), dtype=np.uint8), 200)[0])
+    assert all(r.passages == r.spans and r.spans[0].end - r.spans[0].start >= len(shared) for r in rows)
+    # Once, and some runs beside its ends in every text.
+    assert seen[200] < 30 * whole / 2
+
+
 def test_op4_reports_passages_of_over_fifty_words_that_it_does_not_cut(spark, tmp_path):
     rng = np.random.default_rng(11)
     passage = words(rng, 60)
