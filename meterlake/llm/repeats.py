@@ -142,7 +142,7 @@ def marks_of(keys: DataFrame) -> Broadcast:
 
 
 def grams_of(data: np.ndarray, first: Hashes, threshold: int, begins: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """The grams of the runs of one stretch of bytes: gram hash, gram position, first and last window start.
+    """The grams of the runs of one stretch of at most TOGETHER bytes: gram hash, gram position, first and last window start.
 
     begins has the first bytes of the texts in it, if there are several; no window lies in two texts.
     """
