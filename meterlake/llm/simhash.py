@@ -304,18 +304,21 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def with_components(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """rows (id, text_hash, fp) with component, the smallest id of the component of fp under the edges."""
+    """rows (id, text_hash, fp) with component, the smallest id of the component of fp under the edges, and root, its smallest fp.
+
+    The root tells components apart also where ids repeat or are null.
+    """
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(stored(edges, "links"))
     nodes = distinct.join(roots, distinct.fp == roots.node, "left")
     nodes = nodes.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component"))
-    nodes = skew_join(nodes.select("fp", "root"), least, ["root"], "inner").select("fp", "component")
+    nodes = skew_join(nodes.select("fp", "root"), least, ["root"], "inner").select("fp", "component", "root")
     return skew_join(rows, nodes, ["fp"], "inner")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """id, text_hash, fp, component per row of docs; component is the smallest id of the component.
+    """id, text_hash, fp, component, root per row of docs; component is the smallest id of the component, root its smallest fp.
 
     Texts without words (null and empty ones too) have fingerprint 0 and link
     like any other. Rows with equal fingerprints, copies and repeated rows
@@ -330,16 +333,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs with one row of each component: the one with the smallest id, then text hash.
 
     A repeated row (same id and text) that would stay is kept once. A row without
-    id is kept only if no row of its component has one.
+    id is kept only if no row of its component has one. An id that occurs in
+    several components stays in each.
     """
     return keep_one(docs, near_duplicates(docs, id_col, text_col, width), id_col, text_col)
 
 
 def keep_one(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component in marked (id, text_hash, fp, component)."""
-    group = F.coalesce(F.col("component").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string")))
-    order = [F.col("id").asc_nulls_last(), F.col("text_hash")]
-    kept = first_per_key(marked.withColumn("_group", group), ["_group"], order)
+    """docs with one row of each component in marked (id, text_hash, fp, component, root)."""
+    kept = first_per_key(marked, ["root"], [F.col("id").asc_nulls_last(), F.col("text_hash")])
     smallest = F.lit(-(2**63)).cast("long")
     kept = kept.select(F.coalesce("id", smallest).alias("_id"), F.coalesce("text_hash", F.lit(0)).alias("_hash"))
     # One exchange serves the join and the choice among repeated rows.

@@ -282,6 +282,16 @@ def test_stage_keeps_one_of_similar_texts(spark):
     assert corpus_pipeline.near_duplicates(spark, documents(spark, []), "").count() == 0
 
 
+def test_groups_with_one_id_or_none_keep_a_row_each(spark):
+    rng = np.random.default_rng(12)
+    a, b, c, d = (" ".join(f"w{rng.integers(10**6)}" for _ in range(300)) for _ in range(4))
+    docs = documents(spark, [a, b, a + " more", c, c + " more", d, a], [5, 5, 6, None, None, None, 5])
+    for kept in (corpus_pipeline.near_duplicates(spark, docs, ""), simhash.one_of_each(docs)):
+        rows = kept.collect()
+        assert sorted(str(r.doc_id) for r in rows) == ["5", "5", "None", "None"]
+        assert {r.text[:20] for r in rows} == {t[:20] for t in (a, b, c, d)}
+
+
 @pytest.mark.parametrize("n", [150, 1500])
 def test_links_among_texts_of_one_template(spark, n):
     """Pairs at a similarity above 0.8 among texts that are all alike at about 0.69; a tenth of the size is no easier."""
