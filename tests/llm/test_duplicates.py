@@ -314,6 +314,30 @@ def test_links_among_texts_of_one_template(spark, n):
     assert linked >= 0.95 * n and len(set(group.values())) == 2 * n - linked
 
 
+@pytest.mark.parametrize("most", [minhash.CELL_SETS, 6])
+def test_links_of_all_that_meet(spark, monkeypatch, most):
+    """Chains in which only neighbours are similar, a few to a bucket: no set stands for its component."""
+    monkeypatch.setattr(minhash, "CELL_SETS", most)
+    rng = np.random.default_rng(most)
+    at = [1000 * (k // 30) + (k % 30) * 4 + 9 * (k % 30 > 22) for k in range(120)]
+    sets = [np.arange(x, x + 40, dtype=np.int32) for x in at]
+    bands = [[k // 60, 10 + k % 2, 20 + int(rng.integers(3))] for k in range(120)]
+    names = rng.permutation(120).tolist()
+    rows = spark.createDataFrame([(n, b, s.tolist()) for n, b, s in zip(names, bands, sets, strict=True)], "fp long, bands array<long>, hashes array<int>")
+    root = list(range(120))
+
+    def find(k):
+        return k if root[k] == k else find(root[k])
+
+    for i, j in minhash.similar_pairs(sets, 0.75).tolist():
+        if set(bands[i]) & set(bands[j]):
+            root[find(j)] = find(i)
+    roots = {r.node: r.root for r in simhash.components(minhash.links(rows, 0.75)).collect()}
+    least = {find(k): min(names[m] for m in range(120) if find(m) == find(k)) for k in range(120)}
+    assert 4 < len(least) < 12
+    assert [roots.get(names[k], names[k]) for k in range(120)] == [least[find(k)] for k in range(120)]
+
+
 def test_similar_pairs_against_sets():
     rng = np.random.default_rng(9)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.int32)) for _ in range(60)] + [np.arange(9000, dtype=np.int32)] * 2
